@@ -35,7 +35,7 @@ from termtide.operators.tokens import drop_stop_table, drop_stop_words, tokenize
 from termtide.operators.trends import recent_top_words, wide_trend, word_trend
 from termtide.operators.windows import flat_window, windowed_count
 from termtide.plans.batch import line_words, review_words
-from termtide.session import scratch_dir, spread
+from termtide.session import scratch_dir, spread, spread_tasks, use_disk_state
 from termtide.sinks.streams import read_snapshot, to_parquet, to_snapshots
 from termtide.sinks.tables import (
     result_path,
@@ -107,8 +107,10 @@ def as_messages(rows: DataFrame) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    schema = table(spark, sf, name).schema
-    return table_files(spark, f"{sf}/{name}*.parquet", schema)
+    static = table(spark, sf, name)
+    rows = table_files(spark, f"{sf}/{name}*.parquet", static.schema)
+    tasks = spread_tasks(static)
+    return rows.repartition(tasks) if tasks else rows
 
 
 def review_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,17 +137,23 @@ def flat(windowed: DataFrame) -> DataFrame:
     return out
 
 
-def complete(spark: SparkSession, result: DataFrame) -> DataFrame:
+def complete(
+    spark: SparkSession,
+    result: DataFrame,
+    finish: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> DataFrame:
     """Run a complete-mode query over what is there and read its last snapshot."""
-    out = scratch_dir(spark, "snapshot")
-    to_snapshots(result, out, scratch_dir(spark, "offsets"), bounded=True).awaitTermination()
+    use_disk_state(spark)
+    out, offsets = scratch_dir(spark, "snapshot"), scratch_dir(spark, "offsets")
+    to_snapshots(result, out, offsets, bounded=True, finish=finish).awaitTermination()
     return read_snapshot(spark, out)
 
 
 def appended(spark: SparkSession, result: DataFrame) -> DataFrame:
     """Run an append-mode query over what is there and read the saved windows."""
-    out = scratch_dir(spark, "appended")
-    to_parquet(result, out, scratch_dir(spark, "offsets"), bounded=True).awaitTermination()
+    use_disk_state(spark)
+    out, offsets = scratch_dir(spark, "appended"), scratch_dir(spark, "offsets")
+    to_parquet(result, out, offsets, bounded=True).awaitTermination()
     return read_windowed(spark, out)
 
 
@@ -287,13 +295,15 @@ def win_words_sorted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_words_event_time(spark: SparkSession, sf: str) -> DataFrame:
-    result = review_stream.words_by_event_time(review_messages(spark, sf))
-    return flat(complete(spark, by_count(result)))
+    words = review_stream.words_at_event_time(review_messages(spark, sf))
+    windows = review_stream.windows_from("60 seconds", "20 seconds")
+    return flat(complete(spark, review_stream.panes(words, "20 seconds"), windows))
 
 
 def stream_words_broker_time(spark: SparkSession, sf: str) -> DataFrame:
-    result = review_stream.words_by_broker_time(review_messages(spark, sf))
-    return flat(complete(spark, by_count(result)))
+    words = review_stream.words_at_broker_time(review_messages(spark, sf))
+    windows = review_stream.windows_from("30 seconds", "10 seconds")
+    return flat(complete(spark, review_stream.panes(words, "10 seconds"), windows))
 
 
 def stream_words_saved(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,39 @@ def windowed_count(
     return df.groupBy(window.alias("window"), *keys).count()
 
 
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400}
+
+
+def seconds(duration: str) -> int:
+    """Length of a duration such as `90 seconds` or `1 minute`."""
+    found = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day)s?\s*", duration)
+    if not found:
+        raise ValueError(f"not a duration in seconds, minutes, hours or days: {duration!r}")
+    return int(found[1]) * UNIT_SECONDS[found[2]]
+
+
+def slide_panes(panes: DataFrame, keys: Sequence[str], size: str, slide: str) -> DataFrame:
+    """Sliding windows from tumbling counts of `slide` length, `(window, *keys, count)`.
+
+    A stream that keeps only the tumbling panes holds one state row per pane and key,
+    where sliding windows would hold size / slide of them.
+    """
+    length, step = seconds(size), seconds(slide)
+    if length % step:
+        raise ValueError("the window size must be a multiple of the slide")
+    starts = [
+        F.col("window.start") - F.expr(f"interval {back} seconds")
+        for back in range(0, length, step)
+    ]
+    summed = (
+        panes.select(F.explode(F.array(*starts)).alias("start"), *keys, "count")
+        .groupBy("start", *keys)
+        .agg(F.sum("count").alias("count"))
+    )
+    end = F.col("start") + F.expr(f"interval {length} seconds")
+    return summed.select(F.struct("start", end.alias("end")).alias("window"), *keys, "count")
+
+
 def flat_window(df: DataFrame) -> DataFrame:
     """Replace the `window` struct by `window_start` and `window_end`."""
     others = [c for c in df.columns if c != "window"]

@@ -13,8 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
 SPREAD_TASKS_PER_CORE = 2
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+# Streaming state on local disk, uploaded as change logs, so that a large vocabulary
+# neither fills the heap nor is copied whole at each trigger.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 def session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -24,7 +31,7 @@ def session(app_name: str, master: str | None = None, **conf: str) -> SparkSessi
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        STATE_PROVIDER_KEY: ROCKSDB,
+        **STATE_SETTINGS,
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -55,17 +62,26 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small scan enough tasks to use every core.
+def use_disk_state(spark: SparkSession) -> None:
+    """Apply the state settings to a session made elsewhere."""
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
+def spread_tasks(df: DataFrame) -> int | None:
+    """Number of tasks a batch scan should be spread over, or None to leave it as it is.
 
     A Parquet row group cannot be split, so a small file arrives in one task and
-    tokenizing it would leave the other cores idle. Inputs beyond the per-core limit
-    come back unchanged: they have many row groups, and shuffling raw text would cost
-    more than it gains.
+    tokenizing it would leave the other cores idle. Larger inputs have many row groups,
+    and shuffling their raw text would cost more than it gains.
     """
-    if df.isStreaming:
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if cores == 1 or estimated_bytes(df) > cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores * SPREAD_TASKS_PER_CORE)
+        return None
+    return cores * SPREAD_TASKS_PER_CORE
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small batch scan over all cores; streams come back unchanged."""
+    tasks = None if df.isStreaming else spread_tasks(df)
+    return df.repartition(tasks) if tasks else df

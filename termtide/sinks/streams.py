@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,16 +43,22 @@ def to_parquet(
 
 
 def to_snapshots(
-    result: DataFrame, path: str, checkpoint: str, every: str | None = None, bounded: bool = False
+    result: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    bounded: bool = False,
+    finish: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> StreamingQuery:
     """Write the whole current result of a complete-mode query at each trigger.
 
+    `finish` may derive the final table from the state, such as windows from panes.
     Executors write one folder per batch. A batch repeated after a failure overwrites its
     own folder, so nothing counts twice, and earlier snapshots stay readable meanwhile.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finish(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = result.writeStream.outputMode("complete").foreachBatch(save)
     writer = writer.option("checkpointLocation", checkpoint)

@@ -6,6 +6,8 @@ result; where it goes, how often and in which mode is the sink's business.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from termtide.functions.stopwords import STOP7, STOP11
@@ -17,26 +19,45 @@ from termtide.operators.messages import (
     with_event_time,
 )
 from termtide.operators.tokens import drop_stop_words, tokenize
-from termtide.operators.windows import windowed_count
+from termtide.operators.windows import slide_panes, windowed_count
 
 DELAY = "1 minute"
 EVERY_FAST, EVERY_LABELS, EVERY_SAVED = "5 seconds", "10 seconds", "60 seconds"
 
 
-def words_by_event_time(messages: DataFrame) -> DataFrame:
-    """60-second windows every 20 seconds on `created_at`, common words dropped."""
+def words_at_event_time(messages: DataFrame) -> DataFrame:
+    """`(word, event_time)` on `created_at`, common words dropped."""
     timed = with_event_time(parse_messages(messages))
-    words = tokenize(timed, "review", "nonword", keep=["event_time"])
-    words = drop_stop_words(words, STOP11)
+    return drop_stop_words(tokenize(timed, "review", "nonword", keep=["event_time"]), STOP11)
+
+
+def words_at_broker_time(messages: DataFrame) -> DataFrame:
+    """`(word, event_time)` on the broker's time, case kept."""
+    return tokenize(with_broker_time(messages), "review", "nonword_cased", keep=["event_time"])
+
+
+def words_by_event_time(messages: DataFrame) -> DataFrame:
+    """60-second windows every 20 seconds on `created_at`."""
+    words = words_at_event_time(messages)
     return windowed_count(words, "event_time", ["word"], "60 seconds", "20 seconds", DELAY)
 
 
 def words_by_broker_time(messages: DataFrame) -> DataFrame:
-    """30-second windows every 10 seconds on the broker's time, case kept."""
-    words = tokenize(with_broker_time(messages), "review", "nonword_cased", keep=["event_time"])
+    """30-second windows every 10 seconds on the broker's time."""
+    words = words_at_broker_time(messages)
     return windowed_count(words, "event_time", ["word"], "30 seconds", "10 seconds")
 
 
+def panes(words: DataFrame, slide: str) -> DataFrame:
+    """Tumbling counts to keep as state in place of sliding windows, complete mode."""
+    return windowed_count(words, "event_time", ["word"], slide)
+
+
+def windows_from(size: str, slide: str) -> Callable[[DataFrame], DataFrame]:
+    """The step from stored panes to sliding windows, for a snapshot sink."""
+    return lambda stored: slide_panes(stored, ["word"], size, slide)
+
+
 def saved_words(timed: DataFrame) -> DataFrame:
     """60-second windows every 30 seconds over raw words of `(review, event_time)`."""
     words = drop_stop_words(tokenize(timed, "review", "ws_raw", keep=["event_time"]), STOP7)
