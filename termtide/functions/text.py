@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # property; the four separators U+001C-U+001F are the ones that property leaves out.
 SPACE_CLASS = r"[\s\x1c-\x1f]"
 SPACES = rf"(?U){SPACE_CLASS}+"
-SPACES_AT_ENDS = rf"(?U)^{SPACE_CLASS}+|{SPACE_CLASS}+\z"
+SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 PREVIEW_CHARS = 80
 ELLIPSIS = "..."
@@ -18,7 +18,7 @@ RUN_STAMP = "yyyyMMdd_HHmmss"
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends (`F.trim` removes blanks only)."""
-    return F.regexp_replace(text, SPACES_AT_ENDS, "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def first_field(line: Column) -> Column:
