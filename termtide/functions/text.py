@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Every character Python counts as white space. (?U) makes \s follow the Unicode
 # property; the four separators U+001C-U+001F are the ones that property leaves out.
-SPACE_CLASS = r"[\s\x1c-\x1f]"
-SPACES = rf"(?U){SPACE_CLASS}+"
+# They are listed singly, which Java tests faster than a range.
+SPACES = r"(?U)[\s\x1c\x1d\x1e\x1f]+"
 SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 PREVIEW_CHARS = 80

@@ -14,7 +14,7 @@ from termtide.functions.text import SPACES
 # of any script. Spelled out, since the reach of \b differs between Java versions.
 WORD_CHAR = r"[\p{L}\p{N}_]"
 ASCII_RUN = rf"(?<!{WORD_CHAR})[a-z]++(?!{WORD_CHAR})"
-ALL_LETTERS = r"^\p{L}+$"
+ALL_LETTERS = r"^\p{L}++$"
 
 
 @dataclass(frozen=True)

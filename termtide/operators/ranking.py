@@ -7,9 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+PERCENTILE_ACCURACY = 10_000
 
-def by_count(counts: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
-    """Most frequent first. On a stream only complete mode can sort."""
+
+def by_count(counts: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
+    """Most frequent first; on a stream only complete mode can sort.
+
+    Equal counts follow the other columns. Most words occur once, and a sort on the count
+    alone would send all of those to one task.
+    """
+    ties = [c for c in counts.columns if c != "count"] if ties is None else ties
     return counts.orderBy(F.desc("count"), *ties)
 
 
@@ -18,13 +25,34 @@ def top_k(counts: DataFrame, k: int = 10, ties: Sequence[str] = ("word",)) -> Da
     return by_count(counts, ties).limit(k)
 
 
+def nth_key(keys: DataFrame, key: str, n: int) -> int | float | None:
+    """The n-th smallest value of a numeric column, or None if it has fewer.
+
+    Ranking n keys per task and merging them in one would not scale with n or the number
+    of tasks. Approximate percentiles give a narrow band around the wanted rank instead,
+    exact counts place the band, and only keys inside it are sorted.
+    """
+    total = keys.count()
+    if n > total:
+        return None
+    share, slack = n / total, 2 / PERCENTILE_ACCURACY
+    bounds = [max(0.0, share - slack), min(1.0, share + slack)]
+    low, high = keys.agg(F.percentile_approx(key, bounds, PERCENTILE_ACCURACY)).first()[0]
+    value = F.col(key)
+    below, within = keys.agg(F.count_if(value < low), F.count_if(value <= high)).first()
+    if not below < n <= within:
+        low, high, below = None, None, 0
+    band = keys if low is None else keys.where(value.between(low, high))
+    return band.orderBy(key).limit(n - below).agg(F.max(key)).first()[0]
+
+
 def first_records(df: DataFrame, size: int, key: str) -> DataFrame:
-    """The first `size` records by a unique, non-null key.
+    """The first `size` records by a unique, non-null, numeric key.
 
-    Only keys are ranked. The records themselves are filtered where they are and
-    stay spread over their tasks, however long their texts.
+    The key at the cut is looked up first, from that column alone. As a literal it lets
+    the scan skip what lies beyond, and the records stay spread over their tasks.
     """
     if size <= 0:
         return df.limit(0)
-    last = df.select(key).orderBy(key).limit(size).agg(F.max(key)).scalar()
-    return df.where(F.col(key) <= last)
+    last = nth_key(df.select(key), key, size)
+    return df if last is None else df.where(F.col(key) <= F.lit(last))

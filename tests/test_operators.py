@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from termtide.functions import text as X
 from termtide.functions.numbers import round_binary
 from termtide.functions.stopwords import ENGLISH, STOP7, STOP11
+from termtide.operators import ranking
 from termtide.operators import tokens as tokens_module
 from termtide.operators.benchmarks import (
     COARSE_PLACES,
@@ -28,7 +29,7 @@ from termtide.operators.counts import (
     word_count,
 )
 from termtide.operators.messages import build_messages, parse_messages, required, with_event_time
-from termtide.operators.ranking import by_count, first_records, top_k
+from termtide.operators.ranking import by_count, first_records, nth_key, top_k
 from termtide.operators.tokens import drop_stop_table, drop_stop_words, tokenize
 from termtide.operators.trends import recent_top_words, series_keys, wide_trend, word_trend
 from termtide.operators.windows import flat_window, seconds, slide_panes, windowed_count
@@ -118,10 +119,35 @@ def test_top_k_ties(spark):
 def test_first_records(spark):
     rows = spark.range(100).select((F.lit(99) - F.col("id")).alias("key"), F.lit("t").alias("text"))
     assert sorted(r.key for r in first_records(rows, 7, "key").collect()) == list(range(7))
+    assert first_records(rows, 100, "key").count() == 100
     assert first_records(rows, 1_000, "key").count() == 100
     assert first_records(rows, 0, "key").count() == 0
 
 
+def test_nth_key_beyond_the_sketch(spark, monkeypatch):
+    """A coarse sketch, so that the bounds are truly approximate; the result is exact."""
+    rng = random.Random(11)
+    values = rng.sample(range(10**9), 20_000)
+    rows = spark.createDataFrame([(v,) for v in values], "key long").repartition(8)
+    values.sort()
+    for accuracy in (10, 100):
+        monkeypatch.setattr(ranking, "PERCENTILE_ACCURACY", accuracy)
+        for n in (1, 2, 777, 10_000, 19_999, 20_000):
+            assert nth_key(rows, "key", n) == values[n - 1]
+    assert nth_key(rows, "key", 20_001) is None
+
+
+def test_sort_by_count_spreads_ties(spark):
+    """Equal counts must not all fall into one task."""
+    rows = spark.range(40_000).selectExpr("concat('w', id) AS word", "1L AS count")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = by_count(rows).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 30_000
+
+
 def test_messages_round_trip(spark):
     rows = spark.createDataFrame(
         [("a \"b\"\n\té漢", "pos", "2024-01-01T00:00:07Z"), ("", "neg", "x"), ("r", None, "x"),
