@@ -35,8 +35,20 @@ from termtide.operators.tokens import drop_stop_table, drop_stop_words, tokenize
 from termtide.operators.trends import recent_top_words, wide_trend, word_trend
 from termtide.operators.windows import flat_window, windowed_count
 from termtide.plans.batch import line_words, review_words
-from termtide.session import scratch_dir, spread, spread_tasks, use_disk_state
-from termtide.sinks.streams import read_snapshot, to_parquet, to_snapshots
+from termtide.session import (
+    scratch_dir,
+    spread,
+    spread_tasks,
+    use_cluster_sizes,
+    use_disk_state,
+)
+from termtide.sinks.streams import (
+    read_changes,
+    read_snapshot,
+    to_changes,
+    to_parquet,
+    to_snapshots,
+)
 from termtide.sinks.tables import (
     result_path,
     save_messages,
@@ -83,6 +95,7 @@ SCHEMAS = {
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    use_cluster_sizes(spark)
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
@@ -170,6 +183,14 @@ def appended(spark: SparkSession, result: DataFrame) -> DataFrame:
     return read_windowed(spark, out)
 
 
+def changed(spark: SparkSession, result: DataFrame, key: str) -> DataFrame:
+    """Run an update-mode count over what is there and read the current counts."""
+    use_disk_state(spark)
+    out, offsets = scratch_dir(spark, "changes"), scratch_dir(spark, "offsets")
+    to_changes(result, out, offsets, bounded=True).awaitTermination()
+    return read_changes(spark, out, [key])
+
+
 def saved(spark: SparkSession, windowed: DataFrame) -> DataFrame:
     """Windowed counts written to and read back from a table."""
     out = scratch_dir(spark, "windowed")
@@ -342,6 +363,10 @@ def stream_words_running(spark: SparkSession, sf: str) -> DataFrame:
     return complete(spark, review_stream.running_words(review_messages(spark, sf)))
 
 
+def stream_words_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return changed(spark, review_stream.running_words(review_messages(spark, sf)), "word")
+
+
 def stream_total_running(spark: SparkSession, sf: str) -> DataFrame:
     return complete(spark, review_stream.running_total(review_messages(spark, sf)))
 
@@ -474,6 +499,7 @@ def queries() -> dict[str, Query]:
         "stream_labels_running": stream_labels_running,
         "stream_labels_running_norm": stream_labels_running_norm,
         "stream_words_running": stream_words_running,
+        "stream_words_changes": stream_words_changes,
         "stream_total_running": stream_total_running,
         "stream_message_files": stream_message_files,
         "recent_top_words": recent_words,
@@ -671,6 +697,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_labels_running": labels,
         "stream_labels_running_norm": labels_norm,
         "stream_words_running": sql_count(sql_words("ws_alpha", STOP7)),
+        "stream_words_changes": sql_count(sql_words("ws_alpha", STOP7)),
         "stream_total_running": "SELECT count(*) AS total FROM documents "
         "WHERE text <> '' AND lang <> ''",
         "stream_message_files": sql_count(sql_words("ws_alpha", ENGLISH)),

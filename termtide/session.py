@@ -24,6 +24,10 @@ STATE_SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 4
+
+
 def session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings every job relies on; `conf` adds or overrides."""
     settings = {
@@ -39,7 +43,23 @@ def session(app_name: str, master: str | None = None, **conf: str) -> SparkSessi
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    use_cluster_sizes(spark)
+    return spark
+
+
+def use_cluster_sizes(spark: SparkSession) -> None:
+    """On a cluster, start shuffles with a few partitions per core unless set otherwise.
+
+    Spark's default of 200 would make each reduce task of a large vocabulary spill. Too
+    many cost little, since adaptive execution joins small ones.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local") or spark.conf.get(INITIAL_PARTITIONS, None):
+        return
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(shuffles, context.defaultParallelism * PARTITIONS_PER_CORE)
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,11 @@ def to_parquet(
     return _timed(writer, every, bounded).start()
 
 
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def to_snapshots(
     result: DataFrame,
     path: str,
@@ -49,16 +54,21 @@ def to_snapshots(
     every: str | None = None,
     bounded: bool = False,
     finish: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    keep: int = 3,
 ) -> StreamingQuery:
     """Write the whole current result of a complete-mode query at each trigger.
 
     `finish` may derive the final table from the state, such as windows from panes.
     Executors write one folder per batch. A batch repeated after a failure overwrites its
-    own folder, so nothing counts twice, and earlier snapshots stay readable meanwhile.
+    own folder, so nothing counts twice. The last `keep` snapshots stay for readers.
     """
+    if keep < 2:
+        raise ValueError("keep at least 2, one to read while the next is written")
 
     def save(batch: DataFrame, batch_id: int) -> None:
         finish(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if batch_id >= keep:
+            _drop_folder(batch.sparkSession, f"{path}/batch={batch_id - keep}")
 
     writer = result.writeStream.outputMode("complete").foreachBatch(save)
     writer = writer.option("checkpointLocation", checkpoint)
@@ -72,6 +82,29 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return table.where(F.col("batch") == newest).drop("batch")
 
 
+def to_changes(
+    result: DataFrame, path: str, checkpoint: str, every: str | None = None, bounded: bool = False
+) -> StreamingQuery:
+    """Write only the rows that changed at each trigger, one folder per batch.
+
+    For counts over a large vocabulary, where writing the whole result each time costs
+    more than the new rows do. A repeated batch overwrites its own folder.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    writer = result.writeStream.outputMode("update").foreachBatch(save)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return _timed(writer, every, bounded).start()
+
+
+def read_changes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The current count of each key: the one its last change wrote."""
+    changes = spark.read.parquet(path)
+    return changes.groupBy(*keys).agg(F.max_by("count", "batch").alias("count"))
+
+
 def await_idle(query: StreamingQuery, idle_seconds: float = 5.0, poll_seconds: float = 0.5) -> None:
     """Stop a query once no rows have arrived for a while, as a bounded read of a topic."""
     quiet_since = time.monotonic()

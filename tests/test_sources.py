@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from termtide.operators.benchmarks import bench_metrics, run_summary
 from termtide.plans.batch import line_words, review_words, timing_sweep
-from termtide.session import scratch_dir, spread, spread_tasks
+from termtide.session import (
+    INITIAL_PARTITIONS,
+    scratch_dir,
+    spread,
+    spread_tasks,
+    use_cluster_sizes,
+)
 from termtide.sinks.tables import (
     kafka_sink_options,
     result_path,
@@ -156,3 +162,20 @@ def test_scratch_dir():
     assert "termtide" in scratch_dir(stub(None, "local[2]"), "x")
     with pytest.raises(ValueError):
         scratch_dir(stub(None, "yarn"), "x")
+
+
+def test_cluster_sizes():
+    def cluster(master, initial):
+        held = {"spark.sql.shuffle.partitions": "200"}
+        if initial:
+            held[INITIAL_PARTITIONS] = initial
+        conf = SimpleNamespace(
+            get=lambda key, *default: held.get(key, *default), set=held.__setitem__
+        )
+        context = SimpleNamespace(master=master, defaultParallelism=1_000)
+        use_cluster_sizes(SimpleNamespace(conf=conf, sparkContext=context))
+        return held.get(INITIAL_PARTITIONS)
+
+    assert cluster("yarn", None) == "4000"
+    assert cluster("yarn", "50") == "50"
+    assert cluster("local[4]", None) is None

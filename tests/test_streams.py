@@ -12,7 +12,9 @@ from termtide.operators.windows import flat_window, windowed_count
 from termtide.plans import live
 from termtide.sinks.streams import (
     await_idle,
+    read_changes,
     read_snapshot,
+    to_changes,
     to_console,
     to_parquet,
     to_snapshots,
@@ -96,6 +98,27 @@ def test_panes_equal_windows(spark, inbox, tmp_path):
     assert rows_of(got) == rows_of(R.words_by_event_time(static(spark, inbox)))
 
 
+def test_changes_equal_batch(spark, inbox, tmp_path):
+    out = str(tmp_path / "changes")
+    result = R.running_words(message_files(spark, inbox, max_files_per_trigger=1))
+    to_changes(result, out, str(tmp_path / "c"), bounded=True).awaitTermination()
+    assert spark.read.parquet(out).select("batch").distinct().count() == 2
+    got = read_changes(spark, out, ["word"])
+    assert rows_of(got) == rows_of(R.running_words(static(spark, inbox)))
+
+
+def test_old_snapshots_are_dropped(spark, tmp_path):
+    folder = str(tmp_path / "inbox")
+    for n in range(5):
+        put(folder, f"{n}.json", [{"review": "a", "sentiment": "s"}], 1_700_000_000 + n)
+    result = R.running_total(message_files(spark, folder, max_files_per_trigger=1))
+    got = snapshot(spark, result, tmp_path, keep=2)
+    assert got.first().total == 5
+    assert sorted(f for f in os.listdir(tmp_path / "out")) == ["batch=3", "batch=4"]
+    with pytest.raises(ValueError):
+        snapshot(spark, result, tmp_path, keep=1)
+
+
 def test_labels_count_bad_messages(spark, inbox):
     got = {r.sentiment: r["count"] for r in R.running_labels(static(spark, inbox)).collect()}
     assert got == {"Pos": 1, "neg": 1, None: 2, "pos": 2}
