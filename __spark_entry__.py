@@ -62,6 +62,7 @@ from termtide.sources.tables import (
     list_results,
     read_bench_results,
     read_csv,
+    read_csv_split,
     read_lines,
     read_summary,
     read_tsv,
@@ -228,15 +229,22 @@ def top10_words(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(counted("nonword", STOP11)(spark, sf), 10)
 
 
-def review_csv(spark: SparkSession, sf: str) -> DataFrame:
-    """The reviews written as quoted CSV, and read back."""
+def csv_files(spark: SparkSession, sf: str) -> str:
+    """The reviews written as quoted CSV."""
     path = scratch_dir(spark, "reviews-csv")
     writer = reviews(spark, sf).select("review", "sentiment").write.option("header", True)
     writer = writer.option("escape", '"').option("quoteAll", True)
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(
-        path
-    )
-    return read_csv(spark, path)
+    writer = writer.option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+def review_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return read_csv(spark, csv_files(spark, sf))
+
+
+def review_csv_split(spark: SparkSession, sf: str) -> DataFrame:
+    return read_csv_split(spark, csv_files(spark, sf))
 
 
 def review_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -506,6 +514,7 @@ def queries() -> dict[str, Query]:
         "word_trend_long": trend_long,
         "trend_wide": trend_wide,
         "scan_csv": review_csv,
+        "scan_csv_split": review_csv_split,
         "scan_tsv": scan_tsv,
         "scan_lines": review_lines,
         "latest_files": latest_event_files,
@@ -707,6 +716,7 @@ def oracle_sql() -> dict[str, str]:
         "trend_wide": f"SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, {type_columns} "
         "FROM events GROUP BY 1",
         "scan_csv": "SELECT text AS review, lang AS sentiment FROM documents",
+        "scan_csv_split": "SELECT text AS review, lang AS sentiment FROM documents",
         "scan_tsv": "SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, "
         "event_type, props FROM events",
         "scan_lines": f"SELECT line FROM {SQL_LINES} WHERE line <> ''",

@@ -26,7 +26,13 @@ from termtide.sinks.tables import (
     write_summary,
 )
 from termtide.sources.streams import TOPIC, kafka_stream, message_files
-from termtide.sources.tables import read_bench_results, read_csv, read_lines, read_tsv
+from termtide.sources.tables import (
+    read_bench_results,
+    read_csv,
+    read_csv_split,
+    read_lines,
+    read_tsv,
+)
 from termtide.streaming import reviews
 
 SWEEP_SIZES = (1_000, 10_000, 100_000, 150_000)
@@ -37,6 +43,8 @@ def reviews_table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return spark.read.parquet(args.path)
     if args.format == "tsv":
         return read_tsv(spark, args.path)
+    if args.format == "csv-split":
+        return read_csv_split(spark, args.path)
     return read_csv(spark, args.path, multi_line=not args.single_line)
 
 
@@ -135,7 +143,7 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         if table:
             sub.add_argument("path")
-            sub.add_argument("--format", choices=["csv", "tsv", "parquet"], default="csv")
+            sub.add_argument("--format", choices=["csv", "csv-split", "tsv", "parquet"], default="csv")
             sub.add_argument("--single-line", action="store_true")
         if broker:
             sub.add_argument("--servers")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +30,9 @@ SUMMARY_SCHEMA = T.StructType(
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header as an all-text table; doubled quotes and line breaks are kept.
 
-    A file that may hold line breaks inside fields cannot be split, so each becomes one
-    task. Deliver large corpora as many files, or pass `multi_line=False` where fields
-    have none, and save to Parquet for repeated use.
+    A file that may hold line breaks inside fields is not split here, so each becomes one
+    task. For files larger than a task should read use `read_csv_split`, or pass
+    `multi_line=False` where fields hold no line breaks.
     """
     return (
         spark.read.option("header", True)
@@ -41,6 +42,82 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     )
 
 
+def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
+    """`read_csv` for files of any size: they are split, and records put together again.
+
+    A line starts a record if an even number of quotes stands before it in its file. The
+    quotes are summed per split, and the sums, one row per split, are added up along
+    each file. Text is shuffled once, split by split; only the lines of a record that
+    crosses into the next split travel further. Quotes must be balanced, as they are in
+    files that quote every field holding one.
+    """
+    columns = read_csv(spark, path).columns
+    split_key = ["file", "split"]
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("seq"),
+            "value",
+            quotes.alias("quotes"),
+        )
+    )
+    earlier = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    opened = lines.groupBy(*split_key).agg(F.sum("quotes").alias("quotes"))
+    opened = opened.select(
+        *split_key, F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("opened")
+    )
+
+    in_split = W.partitionBy(*split_key).orderBy("seq")
+    before = F.coalesce(
+        F.sum("quotes").over(in_split.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+    )
+    starts = ((F.col("opened") + F.col("before")) % 2 == 0).cast("int")
+    # Pieces of record 0 continue a record of an earlier split.
+    pieces = (
+        lines.withColumn("before", before)
+        .join(opened, split_key)
+        .withColumn("starts", starts)
+        .withColumn("record", F.sum("starts").over(in_split.rowsBetween(W.unboundedPreceding, 0)))
+        .groupBy(*split_key, "record")
+        .agg(F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("parts"))
+        .select(*split_key, "record", F.concat_ws("\n", "parts.value").alias("text"))
+    )
+
+    last = pieces.groupBy(*split_key).agg(
+        F.max("record").alias("last"),
+        F.max(F.when(F.col("record") == 0, F.col("text"))).alias("text"),
+    )
+    complete = F.when(F.col("last") > 0, F.struct("split", "last"))
+    tails = (
+        last.withColumn("owner", F.last(complete, ignorenulls=True).over(earlier))
+        .where("text IS NOT NULL")
+        .groupBy("file", F.col("owner.split").alias("split"), F.col("owner.last").alias("last"))
+        .agg(F.sort_array(F.collect_list(F.struct("split", "text"))).alias("parts"))
+        .select(*split_key, "last", F.concat_ws("\n", "parts.text").alias("tail"))
+    )
+    crosses = F.col("record") == F.col("last")
+    joined = F.concat_ws("\n", "text", "tail")
+    whole = (
+        pieces.where("record > 0")
+        .join(tails, split_key, "left")
+        .select(
+            *split_key,
+            "record",
+            F.when(crosses, joined).otherwise(F.col("text")).alias("text"),
+        )
+        .where("split > 0 OR record > 1")
+        .select(F.rtrim(F.col("text"), F.lit("\r")).alias("text"))
+        .where("text <> ''")
+    )
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    parsed = F.from_csv("text", schema.simpleString(), {"escape": '"', "multiLine": "true"})
+    return whole.select(parsed.alias("row")).select("row.*")
+
+
 def read_tsv(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """Tab-separated table with a header, all text. `quote=""` reads quotes literally."""
     return spark.read.option("header", True).option("sep", "\t").option("quote", quote).csv(path)

@@ -1,7 +1,10 @@
 """Readers and writers, round trips through files."""
 
+import csv
+import io
 import os
 import time
+from collections import Counter
 from types import SimpleNamespace
 
 import pytest
@@ -30,6 +33,7 @@ from termtide.sources.tables import (
     list_results,
     read_bench_results,
     read_csv,
+    read_csv_split,
     read_lines,
     read_summary,
     read_tsv,
@@ -57,6 +61,53 @@ def test_csv(spark, tmp_path):
     assert counts["ok"] == 1 and counts["lines"] == 1 and "" not in counts
 
 
+CSV_CASES = [
+    'review,sentiment\npos "x" y,a\n',
+    'sentiment,review\npos,"He said ""hi, all"" ok"\nneg,"two\nlines"\n,none\n\npos,\n"",x\n',
+    'review,sentiment\r\n"a\r\n\r\nb""\r\n""c",pos\r\nlast,neg',
+    "review,sentiment\n",
+]
+
+
+def plain(rows):
+    """Rows with NULL as the empty string, which Python's reader gives."""
+    return Counter(tuple(v or "" for v in row) for row in rows)
+
+
+@pytest.mark.parametrize("case", range(len(CSV_CASES)))
+def test_csv_equals_python(spark, tmp_path, case):
+    path = save(f"{tmp_path}/r.csv", CSV_CASES[case])
+    reader = csv.DictReader(io.StringIO(CSV_CASES[case], newline=""))
+    expected = [tuple(row.values()) for row in reader]
+    split = read_csv_split(spark, path)
+    assert split.columns == reader.fieldnames
+    assert plain(split.collect()) == plain(expected)
+    # The whole-file reader turns line breaks inside fields into plain newlines.
+    newlines = [tuple((v or "").replace("\r\n", "\n") for v in row) for row in expected]
+    assert plain(read_csv(spark, path).collect()) == plain(newlines)
+
+
+def test_split_csv_in_many_small_splits(spark, small, tmp_path):
+    """Splits far smaller than some records, so that records cross several of them."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = docs.select(F.col("text").alias("review"), F.col("lang").alias("sentiment"))
+    rows = rows.union(rows.where("lang = 'fr'"))
+    with open(f"{tmp_path}/big.csv", "w", newline="", encoding="utf-8") as out:
+        writer = csv.writer(out)
+        writer.writerow(["review", "sentiment"])
+        writer.writerows(tuple(r) for r in rows.collect())
+    size = os.path.getsize(f"{tmp_path}/big.csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        path = f"{tmp_path}/big.csv"
+        split_count = spark.read.text(path).select("_metadata.file_block_start").distinct().count()
+        assert split_count > size / 4_000
+        got = Counter(map(tuple, read_csv_split(spark, path).collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == Counter(map(tuple, rows.collect()))
+
+
 def test_tsv(spark, tmp_path):
     path = save(f"{tmp_path}/r.tsv", 'id\tbody\n1\ta "b" c\n2\t"q\n')
     table = read_tsv(spark, path, quote="")
