@@ -7,6 +7,7 @@ are derived from `lineitem`.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,9 @@ from termtide.streaming import reviews as review_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The training-data operators can be left out as a whole; nothing else depends on them.
+LLM = importlib.util.find_spec("termtide.llm") and importlib.util.find_spec("corpus_pipeline")
+
 EPOCH_2024 = 1_704_067_200
 SECONDS_APART = 7
 SAMPLE_SIZE = 500
@@ -469,8 +473,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return top10_words(spark, "/root/testdata/sf0.001")
 
 
+def llm_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and counterparts of the training-data operators, or none without them."""
+    if not LLM:
+        return {}, {}
+    import corpus_pipeline
+    from termtide.llm import queries as llm
+
+    made = llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    written = llm.ORACLE_SQL | {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return made, {name: sql for name, sql in written.items() if sql}
+
+
 def queries() -> dict[str, Query]:
-    return {
+    return llm_queries()[0] | {
         "wc_ws_alpha": counted("ws_alpha"),
         "wc_ascii_runs": counted("ascii_runs"),
         "wc_nonword": counted("nonword"),
@@ -658,7 +674,7 @@ def oracle_sql() -> dict[str, str]:
     type_columns = ", ".join(
         f"count(*) FILTER (event_type = '{t}') AS \"{t}\"" for t in types
     )
-    return {
+    return llm_queries()[1] | {
         "wc_ws_alpha": sql_count(sql_words("ws_alpha")),
         "wc_ascii_runs": sql_count(sql_words("ascii_runs")),
         "wc_nonword": sql_count(sql_words("nonword")),

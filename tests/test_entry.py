@@ -9,7 +9,9 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+LLM = set(entry.llm_queries()[0])
+QUERIES = {name: query for name, query in entry.queries().items() if name not in LLM}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name not in LLM}
 
 
 @pytest.fixture(scope="module")
