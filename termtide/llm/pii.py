@@ -226,29 +226,38 @@ _MADE = {
     "secret": _secret,
 }
 _LOOK = re.compile("|".join(f"(?P<{kind}>{look})" for kind, look in _LOOKS.items()), re.ASCII)
-_HINT = re.compile(r"[0-9@]")
+_HINT = re.compile(r"[0-9@]+")
 _NEAR_HINT = 24
 _SECRET_NAMES = ("AKIA", "password=", "token=", "token =", "secret=")
 _SPACE = re.compile(r"\s")
 _KEPT_PREFIX = {"secret": "AKIA"}
 
 
+def _hints(text: str) -> list[int]:
+    hints = [match.start() for match in _HINT.finditer(text)]
+    for name in _SECRET_NAMES:
+        at = text.find(name)
+        while at >= 0:
+            hints.append(at + len(name))
+            at = text.find(name, at + 1)
+    return sorted(hints)
+
+
 def _regions(text: str) -> list[tuple[int, int]]:
-    """Whole words around digits and at-signs, and all of a text that names a secret."""
-    if any(name in text for name in _SECRET_NAMES):
-        return [(0, len(text))]
+    """Whole words around digits, at-signs and names of secrets; nothing is found elsewhere."""
     regions: list[tuple[int, int]] = []
-    hint = _HINT.search(text)
-    while hint:
-        first = max(0, hint.start() - _NEAR_HINT)
+    last = 0
+    for hint in _hints(text):
+        if hint < last:
+            continue
+        first = max(0, hint - _NEAR_HINT)
         while first and not text[first - 1].isspace():
             first -= 1
-        space = _SPACE.search(text, hint.end() + _NEAR_HINT)
+        space = _SPACE.search(text, min(len(text), hint + _NEAR_HINT))
         last = space.start() if space else len(text)
         if regions and first <= regions[-1][1]:
             first = regions.pop()[0]
         regions.append((first, last))
-        hint = _HINT.search(text, last)
     return regions
 
 
@@ -283,12 +292,14 @@ def pseudonymize(
     A column of the documents that is named like `spans_col` is replaced.
     """
     kept = docs.drop(spans_col) if spans_col else docs
-    names, schema = list(kept.columns), kept.schema
+    names = kept.columns
+    fields = list(kept.schema.fields)
     kind = pa.list_(
         pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     )
     if spans_col:
-        schema = kept.schema.add(spans_col, _SPANS)
+        fields.append(T.StructField(spans_col, _SPANS))
+    schema = T.StructType(fields)
     secret = hashlib.sha256(key.encode()).digest()
 
     def run(batches):
