@@ -28,10 +28,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from termtide.llm.common import columns_of
+from termtide.llm.common import columns_of, use_text_batches
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 KEPT_WORDS = 400_000
+KEPT_PAIRS = 400_000
 
 # The pattern of byte-level BPE with its classes, and white space as Unicode has it.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -177,6 +178,7 @@ class ByteBpe:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self._index) > KEPT_WORDS:
             self._index, self._encoded = _Index(), []
+        if len(self._follows) > KEPT_PAIRS:
             self._follows.clear()
         number = self._index.__getitem__
         numbered = [array("I", map(number, self._words(text))) for text in texts]
@@ -235,6 +237,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "tex
 
     Columns of the documents with these two names are replaced.
     """
+    use_text_batches(spark)
     shared = spark.sparkContext.broadcast(tokenizer_file(path))
     kept = docs.drop(*{"ids", "decoded"} - {text_col})
     names = [c for c in kept.columns if c not in ("ids", "decoded")]

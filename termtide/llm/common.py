@@ -29,6 +29,14 @@ def sha256_hex(raw: bytes) -> str:
     return hashlib.sha256(raw).hexdigest()
 
 
+# Rows per Arrow batch: texts are long, and both sides hold a batch or two of each task.
+ARROW_ROWS = 2_000
+
+
+def use_text_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,6 +53,7 @@ def cut(df: DataFrame, label: str) -> DataFrame:
 
 def id_and_bytes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id (as `id`) and the text's UTF-8 bytes (as `raw`); other columns are not read."""
+    use_text_batches(df.sparkSession)
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
 
 

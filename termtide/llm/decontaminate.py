@@ -170,6 +170,7 @@ def benchmark_hits(
 
     With `keep_row` the document's own columns come along, in the struct `row`.
     """
+    # The documents' batches are bounded by this call too.
     raw_items = id_and_bytes(items, item_col, item_text_col)
     patterns = cut(
         raw_items.withColumn("id", F.col("id").cast("string"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.common import batch_of, columns_of, cut, small_batches
+from termtide.llm.common import batch_of, columns_of, cut, small_batches, use_text_batches
 
 UNKNOWN = "und"
 DOCS_PER_LANG = 1_500
@@ -35,8 +35,8 @@ MAX_WORDS = 40_000
 MAX_GRAMS = 40_000
 LONGEST_GRAM = 4
 STEP_WEIGHT = 0.5
-BATCH_ROWS = 1_000
-REMEMBERED_WORDS = 400_000
+BATCH_ROWS = 500
+REMEMBERED_WORDS = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _COUNTS = pa.schema(
@@ -140,6 +140,7 @@ def fit(
     longest_gram: int = LONGEST_GRAM,
 ) -> Model:
     """Learn from a bounded sample of the rows that have a label and a text."""
+    use_text_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter("text IS NOT NULL AND lang IS NOT NULL")
@@ -183,6 +184,7 @@ def fit(
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of the documents with `lang_pred` and `score`, replacing columns so named."""
+    use_text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop(*{"lang_pred", "score"} - {text_col})
     names = [c for c in kept.columns if c not in ("lang_pred", "score")]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from termtide.llm.common import columns_of, small_batches
+from termtide.llm.common import columns_of, small_batches, use_text_batches
 
 ROUNDS = 10
 BATCH_ROWS = 2_000
@@ -291,6 +291,7 @@ def pseudonymize(
 
     A column of the documents that is named like `spans_col` is replaced.
     """
+    use_text_batches(docs.sparkSession)
     kept = docs.drop(spans_col) if spans_col else docs
     names = kept.columns
     fields = list(kept.schema.fields)
