@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.functions.stopwords import ENGLISH, STOP7, STOP11
-from termtide.functions.text import escape_dollar, first_field, iso_time, preview, run_stamp
+from termtide.functions.text import base_name, escape_dollar, first_field, iso_time, preview, run_stamp
 from termtide.operators.benchmarks import (
     COARSE_PLACES,
     bench_metrics,
@@ -39,7 +39,6 @@ from termtide.plans.batch import line_words, review_words
 from termtide.session import (
     scratch_dir,
     spread,
-    spread_tasks,
     use_cluster_sizes,
     use_disk_state,
 )
@@ -89,6 +88,7 @@ SCHEMAS = {
     "value double, props string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
     "benchmark": "item_id bigint, text string",
+    "pages": "page_id bigint, url string, html string",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
     "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
@@ -138,10 +138,8 @@ def as_messages(rows: DataFrame) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    static = table(spark, sf, name)
-    rows = table_files(spark, f"{sf}/{name}*.parquet", static.schema)
-    tasks = spread_tasks(static)
-    return rows.repartition(tasks) if tasks else rows
+    rows = table_files(spark, f"{sf}/{name}*.parquet", table(spark, sf, name).schema)
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def review_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -422,7 +420,7 @@ def trend_wide(spark: SparkSession, sf: str) -> DataFrame:
 def events_by_day(spark: SparkSession, sf: str) -> str:
     path = scratch_dir(spark, "events-by-day")
     days = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyyMMdd"))
-    days.write.partitionBy("day").parquet(path)
+    days.repartition("day").write.partitionBy("day").parquet(path)
     return path
 
 
@@ -431,6 +429,23 @@ def latest_event_files(spark: SparkSession, sf: str) -> DataFrame:
     return latest_files(files, 5, by="name").select("event_id", "event_type")
 
 
+def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """Message files counted in two bounded runs on one checkpoint."""
+    use_disk_state(spark)
+    path, out, offsets = (scratch_dir(spark, name) for name in ("messages", "snapshot", "offsets"))
+    rows = reviews(spark, sf).withColumn("created_at", iso_time(F.col("event_time")))
+    for half in (0, 1):
+        save_messages(rows.where(F.pmod("doc_id", F.lit(2)) == half), f"{path}/half={half}")
+        found = message_files(spark, f"{path}/*")
+        counts = review_stream.running_words(found, ENGLISH)
+        to_snapshots(counts, out, offsets, bounded=True).awaitTermination()
+    return read_snapshot(spark, out)
+
+
+def base_names(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "pages").select("page_id", base_name(F.col("url")).alias("name"))
+
+
 def result_listing(spark: SparkSession, sf: str) -> DataFrame:
     """Folders of a results area holding one run per ship month."""
     path = scratch_dir(spark, "runs")
@@ -463,7 +478,8 @@ def bench_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def bench_wide(metric: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return bench_series(bench_metrics(run_log(spark, sf)), metric)
+        # TPC-H orders have up to seven lines, so the worker counts are known.
+        return bench_series(bench_metrics(run_log(spark, sf)), metric, range(1, 8))
 
     return run
 
@@ -526,6 +542,9 @@ def queries() -> dict[str, Query]:
         "stream_words_changes": stream_words_changes,
         "stream_total_running": stream_total_running,
         "stream_message_files": stream_message_files,
+        "stream_restart": stream_restart,
+        "base_names": base_names,
+        "first_rows": lambda s, sf: table(s, sf, "documents").orderBy("doc_id").limit(20),
         "recent_top_words": recent_words,
         "word_trend_long": trend_long,
         "trend_wide": trend_wide,
@@ -619,6 +638,8 @@ def sql_win_words(
     return sql_windows(rows, "word", size, slide, SQL_TIMED if closed else "")
 
 
+# What is sent as a message: rows without a review or a label are not.
+SQL_SENT = "(SELECT * FROM documents WHERE text <> '' AND lang <> '')"
 SQL_EVENTS = "(SELECT ts, event_type AS sentiment FROM events)"
 SQL_LINES = (
     r"(SELECT regexp_replace(piece, '^SPACE+|SPACE+$', '', 'g') AS line FROM (SELECT unnest("
@@ -667,6 +688,7 @@ def oracle_sql() -> dict[str, str]:
     w60_20 = sql_win_words("nonword", STOP11, 60, 20)
     w30_10 = sql_win_words("nonword_cased", (), 30, 10)
     labels = "SELECT lang AS sentiment, count(*) AS count FROM documents GROUP BY lang"
+    labels_of_sent = f"SELECT lang AS sentiment, count(*) AS count FROM {SQL_SENT}"
     labels_norm = (
         "SELECT lower(coalesce(lang, '')) AS sentiment, count(*) AS count FROM documents GROUP BY 1"
     )
@@ -719,13 +741,16 @@ def oracle_sql() -> dict[str, str]:
         "stream_words_broker_time": w30_10,
         "stream_words_saved": sql_win_words("ws_raw", STOP7, 60, 30, closed=True),
         "stream_labels_saved": sql_windows(SQL_EVENTS, "sentiment", 30, 30, SQL_EVENTS),
-        "stream_labels_running": labels,
-        "stream_labels_running_norm": labels_norm,
-        "stream_words_running": sql_count(sql_words("ws_alpha", STOP7)),
-        "stream_words_changes": sql_count(sql_words("ws_alpha", STOP7)),
+        "stream_labels_running": f"{labels_of_sent} GROUP BY lang",
+        "stream_labels_running_norm": labels_norm.replace("FROM documents", f"FROM {SQL_SENT}"),
+        "stream_words_running": sql_count(sql_words("ws_alpha", STOP7, SQL_SENT)),
+        "stream_words_changes": sql_count(sql_words("ws_alpha", STOP7, SQL_SENT)),
         "stream_total_running": "SELECT count(*) AS total FROM documents "
         "WHERE text <> '' AND lang <> ''",
-        "stream_message_files": sql_count(sql_words("ws_alpha", ENGLISH)),
+        "stream_message_files": sql_count(sql_words("ws_alpha", ENGLISH, SQL_SENT)),
+        "stream_restart": sql_count(sql_words("ws_alpha", ENGLISH, SQL_SENT)),
+        "base_names": "SELECT page_id, regexp_extract(url, '[^/]*$') AS name FROM pages",
+        "first_rows": "SELECT * FROM documents ORDER BY doc_id LIMIT 20",
         "recent_top_words": top_words,
         "word_trend_long": "SELECT window_start, word, sum(count)::BIGINT AS count FROM "
         f"({windows_60_30}) WHERE word IN (SELECT word FROM ({top_words})) GROUP BY ALL",

@@ -117,9 +117,9 @@ def watch(spark: SparkSession, args: argparse.Namespace) -> None:
         result = top_k(reviews.running_words(stream, LISTS[args.stop]))
         to_console(result, args.checkpoint, rows=10, bounded=args.bounded)
     elif args.kind == "save-words":
-        live.save_words(stream, args.out, args.checkpoint)
+        live.save_words(stream, args.out, args.checkpoint, args.bounded)
     else:
-        live.save_labels(stream, args.out, args.checkpoint)
+        live.save_labels(stream, args.out, args.checkpoint, args.bounded)
     if args.bounded:
         for query in spark.streams.active:
             query.awaitTermination()

@@ -12,4 +12,5 @@ def round_binary(value: Column, places: int) -> Column:
     `F.round` works on the printed digits, ties up, and would turn 0.145 into 0.15.
     """
     pattern = "0." + "0" * places if places else "0"
-    return F.call_function("format_number", value, F.lit(pattern)).cast("double")
+    rounded = F.call_function("format_number", value, F.lit(pattern)).cast("double")
+    return F.when(F.abs(value) == float("inf"), value).otherwise(rounded)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from termtide.functions.numbers import round_binary
 from termtide.functions.text import run_stamp
-from termtide.operators.trends import quoted, series_keys
+from termtide.operators.trends import MAX_SERIES, quoted, series_keys
 
 # Decimal places of (time, throughput, latency) in the two published table forms.
 FINE_PLACES = (4, 2, 8)
@@ -43,14 +43,18 @@ def one_series(results: DataFrame, workers: int) -> DataFrame:
 
 
 def bench_series(
-    results: DataFrame, metric: str, workers: Sequence[int] | None = None
+    results: DataFrame,
+    metric: str,
+    workers: Sequence[int] | None = None,
+    most: int = MAX_SERIES,
 ) -> DataFrame:
     """One row per size and one `w<count>` column per worker count.
 
     Where runs repeat a point, the smallest value stands for it. Without `workers`
-    the counts are looked up first.
+    the counts are looked up first, which reads the results twice; more than `most` are an
+    error.
     """
-    counts = list(workers) if workers is not None else series_keys(results, "workers")
+    counts = list(workers) if workers is not None else series_keys(results, "workers", most)
     wide = results.groupBy("size").pivot("workers", counts).agg(F.min(metric))
     return wide.select("size", *[F.col(quoted(str(w))).alias(f"w{w}") for w in counts])
 

@@ -30,11 +30,13 @@ def build_messages(
     """Complete reviews as JSON text in `value`, with the `keep` columns alongside.
 
     The message carries `created_at`, without which no reader can place it in an
-    event-time window: the given expression, else a `created_at` column, else now.
+    event-time window: the given expression, else a `created_at` column, else now, also
+    where these are NULL.
     """
+    now = iso_time(F.current_timestamp())
     if created_at is None:
-        has_time = "created_at" in df.columns
-        created_at = F.col("created_at") if has_time else iso_time(F.current_timestamp())
+        created_at = F.col("created_at") if "created_at" in df.columns else now
+    created_at = F.coalesce(created_at, now)
     complete = required(df, "review", "sentiment")
     body = F.struct("review", "sentiment", created_at.alias("created_at"))
     return complete.select(F.to_json(body).alias("value"), *keep)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PERCENTILE_ACCURACY = 10_000
+# So many keys at most are put in order by one task.
+MOST_SORTED = 10_000
 
 
 def by_count(counts: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
@@ -29,21 +31,37 @@ def nth_key(keys: DataFrame, key: str, n: int) -> int | float | None:
     """The n-th smallest value of a numeric column, or None if it has fewer.
 
     Ranking n keys per task and merging them in one would not scale with n or the number
-    of tasks. Approximate percentiles give a narrow band around the wanted rank instead,
-    exact counts place the band, and only keys inside it are sorted.
+    of tasks. Approximate percentiles give a narrow band around the wanted rank instead, and
+    exact counts place it. A band that misses the rank is widened; one that holds it is
+    narrowed again, until few keys or a single value are left.
     """
     total = keys.count()
     if n > total:
         return None
-    share, slack = n / total, 2 / PERCENTILE_ACCURACY
-    bounds = [max(0.0, share - slack), min(1.0, share + slack)]
-    low, high = keys.agg(F.percentile_approx(key, bounds, PERCENTILE_ACCURACY)).first()[0]
-    value = F.col(key)
-    below, within = keys.agg(F.count_if(value < low), F.count_if(value <= high)).first()
-    if not below < n <= within:
-        low, high, below = None, None, 0
-    band = keys if low is None else keys.where(value.between(low, high))
-    return band.orderBy(key).limit(n - below).agg(F.max(key)).first()[0]
+    value, band, rank, size = F.col(key), keys.where(F.col(key).isNotNull()), n, total
+    while size > MOST_SORTED:
+        share, slack = rank / size, 2 / PERCENTILE_ACCURACY
+        while True:
+            bounds = [max(0.0, share - slack), min(1.0, share + slack)]
+            low, high = band.agg(F.percentile_approx(key, bounds, PERCENTILE_ACCURACY)).first()[0]
+            below, within = band.agg(F.count_if(value < low), F.count_if(value <= high)).first()
+            if below < rank <= within:
+                break
+            slack *= 10
+        if low == high:
+            return low
+        if within - below == size:
+            # All keys are between the percentiles that are one step apart; halve by value.
+            middle = (low + high) / 2
+            lower = band.where(value <= middle)
+            count = lower.count()
+            inside = rank <= count
+            band = lower if inside else band.where(value > middle)
+            rank, size = (rank, count) if inside else (rank - count, size - count)
+            continue
+        band = band.where(value.between(low, high))
+        rank, size = rank - below, within - below
+    return band.orderBy(key).limit(rank).agg(F.max(key)).first()[0]
 
 
 def first_records(df: DataFrame, size: int, key: str) -> DataFrame:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from termtide.functions.words import rule as word_rule
 
-# A stop-word table is broadcast only after its rows were counted against this bound.
-BROADCAST_WORDS = 100_000
-
 
 def tokenize(
     df: DataFrame, text: str = "review", rule: str = "nonword", keep: Sequence[str] = ()
@@ -39,10 +36,8 @@ def drop_stop_table(df: DataFrame, table: DataFrame) -> DataFrame:
     """Drop rows whose `word` occurs in the `word` column of a table of any size.
 
     Apply it to counts rather than to tokens where possible: counts hold each word
-    once, so a frequent word cannot make the join uneven. Counting up to the bound
-    runs one small job; a larger table is joined by shuffle.
+    once, so a frequent word cannot make the join uneven. How to join is left to Spark,
+    which sees the real sizes when it runs.
     """
     stops = table.select("word").where("word IS NOT NULL").distinct()
-    if stops.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
-        stops = F.broadcast(stops)
     return df.join(stops, "word", "left_anti")

@@ -33,14 +33,17 @@ def word_trend(windowed: DataFrame, top: DataFrame) -> DataFrame:
     )
 
 
-def series_keys(df: DataFrame, key: str) -> list:
-    """Distinct non-null values of a key in order, for use as column names."""
+def series_keys(df: DataFrame, key: str, most: int = MAX_SERIES) -> list:
+    """Distinct non-null values of a key in order, for use as column names.
+
+    More than `most` raise an error; the long form holds any number.
+    """
     found = (
-        df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).limit(MAX_SERIES + 1)
+        df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).limit(most + 1)
     )
     values = [row[0] for row in found.collect()]
-    if len(values) > MAX_SERIES:
-        raise ValueError(f"{key} has more than {MAX_SERIES} values, too many for columns")
+    if len(values) > most:
+        raise ValueError(f"{key} has more than {most} values, too many for columns")
     return values
 
 

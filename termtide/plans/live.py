@@ -29,17 +29,21 @@ def await_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def save_words(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def save_words(
+    messages: DataFrame, path: str, checkpoint: str, bounded: bool = False
+) -> StreamingQuery:
     """Windowed raw words by arrival, appended every minute."""
     return to_parquet(
-        reviews.words_by_arrival(messages), path, checkpoint, every=reviews.EVERY_SAVED
+        reviews.words_by_arrival(messages), path, checkpoint, reviews.EVERY_SAVED, bounded
     )
 
 
-def save_labels(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def save_labels(
+    messages: DataFrame, path: str, checkpoint: str, bounded: bool = False
+) -> StreamingQuery:
     """Windowed labels by arrival, appended every ten seconds."""
     return to_parquet(
-        reviews.labels_by_arrival(messages), path, checkpoint, every=reviews.EVERY_LABELS
+        reviews.labels_by_arrival(messages), path, checkpoint, reviews.EVERY_LABELS, bounded
     )
 
 

@@ -8,9 +8,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A shuffle of this much raw text per core costs a fraction of a second, so it is
-# worth paying to give every core work. Larger inputs are left as they were scanned.
-SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
 SPREAD_TASKS_PER_CORE = 2
 
 # Streaming state on local disk, uploaded as change logs, so that a large vocabulary
@@ -76,12 +73,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; for a plain file scan this is the file size."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes()))
-
-
 def use_disk_state(spark: SparkSession) -> None:
     """Apply the state settings to a session made elsewhere."""
     for key, value in STATE_SETTINGS.items():
@@ -91,17 +82,14 @@ def use_disk_state(spark: SparkSession) -> None:
 def spread_tasks(df: DataFrame) -> int | None:
     """Number of tasks a batch scan should be spread over, or None to leave it as it is.
 
-    A Parquet row group cannot be split, so a small file arrives in one task and
-    tokenizing it would leave the other cores idle. Larger inputs have many row groups,
-    and shuffling their raw text would cost more than it gains.
+    A Parquet row group cannot be split, so a small table arrives in fewer tasks than there
+    are cores, and tokenizing it would leave the others idle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores == 1 or estimated_bytes(df) > cores * SPREAD_BYTES_PER_CORE:
-        return None
-    return cores * SPREAD_TASKS_PER_CORE
+    return cores * SPREAD_TASKS_PER_CORE if df.rdd.getNumPartitions() < cores else None
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a small batch scan over all cores; streams come back unchanged."""
+    """Spread a scan of few tasks over all cores; streams come back unchanged."""
     tasks = None if df.isStreaming else spread_tasks(df)
     return df.repartition(tasks) if tasks else df

@@ -25,7 +25,13 @@ def to_console(
     every: str | None = None,
     bounded: bool = False,
 ) -> StreamingQuery:
-    """Print the first rows of each result, untruncated."""
+    """Print the first rows of each result, untruncated.
+
+    The console sink brings a whole result to the driver before it prints a part, so a
+    complete result is limited to the printed rows on the executors.
+    """
+    if mode == "complete":
+        result = result.limit(rows)
     writer = result.writeStream.format("console").outputMode(mode)
     writer = writer.option("truncate", False).option("numRows", rows)
     if checkpoint:
@@ -42,6 +48,17 @@ def to_parquet(
     return _timed(writer, every, bounded).start()
 
 
+def _mark_done(spark: SparkSession, path: str, batch_id: int) -> None:
+    """A marker beside the results, written once a batch is complete."""
+    spark.range(batch_id, batch_id + 1, 1, 1).write.mode("overwrite").parquet(
+        f"{path}.done/marker={batch_id}"
+    )
+
+
+def _done(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}.done").select(F.col("id").alias("batch"))
+
+
 def _drop_folder(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -67,6 +84,7 @@ def to_snapshots(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         finish(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _mark_done(batch.sparkSession, path, batch_id)
         if batch_id >= keep:
             _drop_folder(batch.sparkSession, f"{path}/batch={batch_id - keep}")
 
@@ -76,10 +94,9 @@ def to_snapshots(
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot; only its folder is read."""
-    table = spark.read.parquet(path)
-    newest = table.select(F.max("batch")).scalar()
-    return table.where(F.col("batch") == newest).drop("batch")
+    """The newest complete snapshot; only its folder is read."""
+    newest = _done(spark, path).agg(F.max("batch")).first()[0]
+    return spark.read.parquet(path).where(F.col("batch") == newest).drop("batch")
 
 
 def to_changes(
@@ -93,6 +110,7 @@ def to_changes(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _mark_done(batch.sparkSession, path, batch_id)
 
     writer = result.writeStream.outputMode("update").foreachBatch(save)
     writer = writer.option("checkpointLocation", checkpoint)
@@ -100,8 +118,9 @@ def to_changes(
 
 
 def read_changes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current count of each key: the one its last change wrote."""
-    changes = spark.read.parquet(path)
+    """The current count of each key: the one its last complete change wrote."""
+    newest = _done(spark, path).agg(F.max("batch")).first()[0]
+    changes = spark.read.parquet(path).where(F.col("batch") <= newest)
     return changes.groupBy(*keys).agg(F.max_by("count", "batch").alias("count"))
 
 

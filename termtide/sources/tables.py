@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termtide.functions.text import base_name, strip
 
+# A record in strict CSV: a field that starts with a quote ends with one and doubles those
+# inside; any other stays on its line. Possessive, so that long fields cannot overflow.
+_FIELD = r'(?:"(?:[^"]|"")*+"|[^",\r\n][^,\r\n]*+|)'
+STRICT_RECORD = rf"(?s)\A{_FIELD}(?:,{_FIELD})*+\z"
+
 BENCH_SCHEMA = T.StructType(
     [
         T.StructField("size", T.LongType()),
@@ -48,8 +53,11 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
     A line starts a record if an even number of quotes stands before it in its file. The
     quotes are summed per split, and the sums, one row per split, are added up along
     each file. Text is shuffled once, split by split; only the lines of a record that
-    crosses into the next split travel further. Quotes must be balanced, as they are in
-    files that quote every field holding one.
+    crosses into the next split travel further.
+
+    Only strict CSV can be put together like this, so every record is checked: a stray or
+    open quote, a bare carriage return as line end or a blank line before the header raises
+    an error, and `read_csv` has to read such a file.
     """
     columns = read_csv(spark, path).columns
     split_key = ["file", "split"]
@@ -100,6 +108,12 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
         .select(*split_key, "last", F.concat_ws("\n", "parts.text").alias("tail"))
     )
     crosses = F.col("record") == F.col("last")
+    is_header = (F.col("split") == 0) & (F.col("record") == 1)
+
+    def refuse(what: str) -> Column:
+        said = F.concat(F.lit(f"{what}, use read_csv: "), "file")
+        return F.raise_error(said).cast("boolean")
+
     joined = F.concat_ws("\n", "text", "tail")
     whole = (
         pieces.where("record > 0")
@@ -109,8 +123,13 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
             "record",
             F.when(crosses, joined).otherwise(F.col("text")).alias("text"),
         )
-        .where("split > 0 OR record > 1")
-        .select(F.rtrim(F.col("text"), F.lit("\r")).alias("text"))
+        .withColumn("text", F.rtrim(F.col("text"), F.lit("\r")))
+        .where(
+            F.when(is_header & (F.col("text") == ""), refuse("a blank line before the header"))
+            .when(~F.col("text").rlike(STRICT_RECORD), refuse("a record that is not strict CSV"))
+            .otherwise(~is_header)
+        )
+        .select("text")
         .where("text <> ''")
     )
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
@@ -118,19 +137,36 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(parsed.alias("row")).select("row.*")
 
 
-def read_tsv(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
-    """Tab-separated table with a header, all text. `quote=""` reads quotes literally."""
-    return spark.read.option("header", True).option("sep", "\t").option("quote", quote).csv(path)
+def read_tsv(
+    spark: SparkSession, path: str, quote: str = '"', multi_line: bool = True
+) -> DataFrame:
+    """Tab-separated table with a header, all text, quoted as in `read_csv`.
+
+    `quote=""` reads quotes literally, and then a line break always ends a row.
+    """
+    reader = spark.read.option("header", True).option("sep", "\t").option("quote", quote)
+    if quote:
+        reader = reader.option("escape", quote).option("multiLine", multi_line)
+    return reader.csv(path)
 
 
 def read_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
     """Non-blank lines, stripped, in `line`.
 
-    A header counts as a record like any other unless its text is given as `header`.
+    A header counts as a record like any other unless its text is given as `header`; then it
+    is dropped where it is the first line of a file, and only there.
     """
-    lines = spark.read.text(path).select(strip(F.col("value")).alias("line"))
-    kept = lines.where("line <> ''")
-    return kept.where(F.col("line") != strip(F.lit(header))) if header else kept
+    lines = spark.read.text(path).select(
+        strip(F.col("value")).alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
+    if header:
+        firsts = lines.where("split = 0").groupBy("file").agg(F.min_by("line", "seq").alias("line"), F.min("seq").alias("seq"))
+        headers = firsts.where(F.col("line") == strip(F.lit(header))).select("file", "seq")
+        lines = lines.join(headers, ["file", "seq"], "left_anti")
+    return lines.select("line").where("line <> ''")
 
 
 def read_windowed(spark: SparkSession, path: str) -> DataFrame:
@@ -169,7 +205,7 @@ def latest_files(table: DataFrame, n: int = 5, by: str = "mtime") -> DataFrame:
 
 
 def list_results(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
-    """`(folder, file_name)` of the files below a path that end in `suffix`."""
+    """`(folder, file_name, path)` of the files below a path that end in `suffix`."""
     found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*{suffix}")
@@ -180,4 +216,5 @@ def list_results(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFr
     return found.select(
         F.element_at(F.split("path", "/"), -2).alias("folder"),
         base_name(F.col("path")).alias("file_name"),
+        "path",
     )

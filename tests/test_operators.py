@@ -12,7 +12,6 @@ from termtide.functions import text as X
 from termtide.functions.numbers import round_binary
 from termtide.functions.stopwords import ENGLISH, STOP7, STOP11
 from termtide.operators import ranking
-from termtide.operators import tokens as tokens_module
 from termtide.operators.benchmarks import (
     COARSE_PLACES,
     bench_metrics,
@@ -72,20 +71,38 @@ def test_stop_lists(spark):
     assert drop_stop_words(table, []).count() == 5
 
 
-def test_stop_table_small_and_large(spark, monkeypatch):
+def test_stop_table(spark):
     table = words(spark, ["the", "the", "cat", "sat"])
     stops = spark.createDataFrame([("the",), ("the",), (None,), ("sat",)], "word string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = drop_stop_table(table, stops)
-        assert [r.word for r in small.collect()] == ["cat"]
-        assert "BroadcastHashJoin" in plan(small)
-        monkeypatch.setattr(tokens_module, "BROADCAST_WORDS", 1)
-        large = drop_stop_table(table, stops)
-        assert [r.word for r in large.collect()] == ["cat"]
-        assert "BroadcastHashJoin" not in plan(large)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    kept = drop_stop_table(table, stops)
+    assert [r.word for r in kept.collect()] == ["cat"]
+    assert "ResolvedHint" not in kept._jdf.queryExecution().analyzed().toString()
+
+
+def test_nth_key_sorts_few_keys(spark, monkeypatch):
+    from termtide.operators import ranking
+
+    monkeypatch.setattr(ranking, "MOST_SORTED", 20)
+    monkeypatch.setattr(ranking, "PERCENTILE_ACCURACY", 50)
+    rows = [(x * x % 10_007,) for x in range(4_000)] + [(77,)] * 300
+    keys = spark.createDataFrame(rows, "k bigint").repartition(4)
+    ordered = sorted(k for k, in rows)
+    for n in (1, 2, 50, 777, 2_000, 4_299, 4_300):
+        assert ranking.nth_key(keys, "k", n) == ordered[n - 1]
+    assert ranking.nth_key(keys, "k", 4_301) is None
+
+
+def test_message_without_time_and_infinity(spark):
+    from termtide.functions.numbers import round_binary
+
+    rows = spark.createDataFrame(
+        [("r", "pos", None), ("s", "neg", "t")], "review string, sentiment string, created_at string"
+    )
+    sent = [r.value for r in build_messages(rows).collect()]
+    assert all('"created_at":"' in value for value in sent) and '"created_at":"t"' in sent[1]
+    values = spark.createDataFrame([(float("inf"),), (float("-inf"),), (0.145,)], "v double")
+    got = [r.v for r in values.select(round_binary(F.col("v"), 2).alias("v")).collect()]
+    assert got == [float("inf"), float("-inf"), 0.14]
 
 
 def plan(df):

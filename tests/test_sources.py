@@ -193,11 +193,39 @@ def test_kafka_options():
         kafka_options("h:9092", starting="middle")
 
 
-def test_spread_only_small_scans(spark, small, monkeypatch):
+def test_spread_only_scans_of_few_tasks(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert spread(docs).rdd.getNumPartitions() == 8
-    monkeypatch.setattr("termtide.session.SPREAD_BYTES_PER_CORE", 1)
-    assert spread_tasks(docs) is None and spread(docs) is docs
+    many = docs.repartition(4)
+    assert spread_tasks(many) is None and spread(many) is many
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'review,sentiment\n5" screen,pos\nok,neg\nfine,pos\n',
+        'review,sentiment\n"open,pos\nok,neg\n',
+        "review,sentiment\rgood,pos\rbad,neg\r",
+        "\nreview,sentiment\ngood,pos\n",
+    ],
+)
+def test_split_csv_refuses_what_it_cannot_put_together(spark, tmp_path, text):
+    path = save(f"{tmp_path}/odd.csv", text)
+    with pytest.raises(Exception, match="use read_csv"):
+        read_csv_split(spark, path).collect()
+
+
+def test_tsv_quotes_and_line_breaks(spark, tmp_path):
+    path = save(f"{tmp_path}/q.tsv", 'id\tbody\n1\t"say ""hi"" now"\n2\t"two\nlines"\n')
+    rows = [tuple(r) for r in read_tsv(spark, path).collect()]
+    assert rows == [("1", 'say "hi" now'), ("2", "two\nlines")]
+
+
+def test_header_is_dropped_as_first_line_only(spark, tmp_path):
+    save(f"{tmp_path}/a.txt", "head\none\nhead\n")
+    save(f"{tmp_path}/b.txt", "two\nhead\n")
+    lines = sorted(r.line for r in read_lines(spark, str(tmp_path), header="head").collect())
+    assert lines == ["head", "head", "one", "two"]
 
 
 def stub(setting, master):

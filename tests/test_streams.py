@@ -233,3 +233,16 @@ def test_refused_modes(spark, inbox, tmp_path):
     with pytest.raises(AnalysisException):
         windowed = windowed_count(stream.withColumn("t", F.lit("x")), "t", [], "1 minute")
         to_snapshots(windowed.withWatermark("t", "1 minute"), "o", "c", bounded=True)
+
+
+def test_only_complete_batches_are_read(spark, tmp_path):
+    from termtide.sinks.streams import _mark_done
+
+    path = str(tmp_path / "out")
+    for batch, words in enumerate((["a"], ["a", "b"])):
+        rows = spark.createDataFrame([(w, batch + 1) for w in words], "word string, count bigint")
+        rows.write.parquet(f"{path}/batch={batch}")
+        if batch == 0:
+            _mark_done(spark, path, batch)
+    assert [tuple(r) for r in read_snapshot(spark, path).collect()] == [("a", 1)]
+    assert [tuple(r) for r in read_changes(spark, path, ["word"]).collect()] == [("a", 1)]
