@@ -258,7 +258,8 @@ def review_lines(spark: SparkSession, sf: str) -> DataFrame:
 def scan_tsv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "events-tsv")
     kept = table(spark, sf, "events").select("event_id", "user_id", "event_type", "props")
-    kept.write.option("header", True).option("sep", "\t").csv(path)
+    writer = kept.write.option("header", True).option("sep", "\t").option("escape", '"')
+    writer.csv(path)
     return read_tsv(spark, path)
 
 
