@@ -1,4 +1,4 @@
-"""The queries over the test tables, one for each operator, and their DuckDB counterparts."""
+"""The queries over the test tables, one for each operator."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from termtide.llm import bpe, decontaminate, language, licenses, pii, preference, quality
 from termtide.llm import repeats, simhash, warc
 from termtide.llm.common import read_table
+from termtide.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,5 +129,3 @@ QUERIES: dict[str, Query] = {
         op10_language,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}
