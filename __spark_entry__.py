@@ -30,7 +30,13 @@ from termtide.operators.counts import (
     total_count,
     word_count,
 )
-from termtide.operators.messages import build_messages, parse_messages, required, with_event_time
+from termtide.operators.messages import (
+    build_messages,
+    parse_messages,
+    required,
+    with_arrival_time,
+    with_event_time,
+)
 from termtide.operators.ranking import by_count, first_records, top_k
 from termtide.operators.tokens import drop_stop_table, drop_stop_words, tokenize
 from termtide.operators.trends import recent_top_words, wide_trend, word_trend
@@ -43,6 +49,7 @@ from termtide.session import (
     use_disk_state,
 )
 from termtide.sinks.streams import (
+    await_idle,
     read_changes,
     read_snapshot,
     to_changes,
@@ -415,6 +422,16 @@ def trend_wide(spark: SparkSession, sf: str) -> DataFrame:
     return wide.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def word_trend_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Trend of the five most frequent words, a column for each by its rank."""
+    windows = saved_windows(spark, sf)
+    top = recent_top_words(windows, 5)
+    words = [row.word for row in top.collect()]
+    wide = wide_trend(word_trend(windows, top), words)
+    names = ["window_start", *[f"top{rank}" for rank in range(1, len(words) + 1)]]
+    return wide.toDF(*names).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 # ---------------------------------------------------------------- files and benchmark tables
 
 
@@ -443,6 +460,45 @@ def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     return read_snapshot(spark, out)
 
 
+def stream_two_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Words and labels of the same messages, counted by two queries that run side by side."""
+    use_disk_state(spark)
+    counted_by = {
+        "label": (review_stream.running_labels(review_messages(spark, sf)), "sentiment"),
+        "word": (review_stream.running_words(review_messages(spark, sf)), "word"),
+    }
+    out = {kind: scratch_dir(spark, f"snapshot-{kind}") for kind in counted_by}
+    started = [
+        to_snapshots(result, out[kind], scratch_dir(spark, f"offsets-{kind}"), bounded=True)
+        for kind, (result, _) in counted_by.items()
+    ]
+    for query in started:
+        query.awaitTermination()
+    labels, words = (
+        read_snapshot(spark, out[kind]).select(F.lit(kind).alias("kind"), F.col(key).alias("key"), "count")
+        for kind, (_, key) in counted_by.items()
+    )
+    return labels.unionAll(words)
+
+
+def stream_triggers(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels counted by a query that is triggered each second, until no more messages come."""
+    use_disk_state(spark)
+    out, offsets = scratch_dir(spark, "snapshot"), scratch_dir(spark, "offsets")
+    result = review_stream.running_labels(review_messages(spark, sf))
+    query = to_snapshots(result, out, offsets, every="1 second")
+    await_idle(query)
+    return read_snapshot(spark, out)
+
+
+def arrival_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels in windows of arrival, added up over the windows, which depend on the clock."""
+    messages = as_messages(reviews(spark, sf))
+    arrived = with_arrival_time(parse_messages(messages))
+    windows = windowed_count(arrived, "event_time", ["sentiment"], "30 seconds")
+    return windows.groupBy("sentiment").agg(F.sum("count").alias("count"))
+
+
 def base_names(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", base_name(F.col("url")).alias("name"))
 
@@ -544,11 +600,15 @@ def queries() -> dict[str, Query]:
         "stream_total_running": stream_total_running,
         "stream_message_files": stream_message_files,
         "stream_restart": stream_restart,
+        "stream_two_queries": stream_two_queries,
+        "stream_triggers": stream_triggers,
+        "arrival_labels": arrival_labels,
         "base_names": base_names,
         "first_rows": lambda s, sf: table(s, sf, "documents").orderBy("doc_id").limit(20),
         "recent_top_words": recent_words,
         "word_trend_long": trend_long,
         "trend_wide": trend_wide,
+        "word_trend_wide": word_trend_wide,
         "scan_csv": review_csv,
         "scan_csv_split": review_csv_split,
         "scan_tsv": scan_tsv,
@@ -690,6 +750,14 @@ def oracle_sql() -> dict[str, str]:
     w30_10 = sql_win_words("nonword_cased", (), 30, 10)
     labels = "SELECT lang AS sentiment, count(*) AS count FROM documents GROUP BY lang"
     labels_of_sent = f"SELECT lang AS sentiment, count(*) AS count FROM {SQL_SENT}"
+    words_of_sent = sql_count(sql_words("ws_alpha", STOP7, SQL_SENT))
+    by_rank = ", ".join(
+        f"coalesce(sum(count) FILTER (rank = {rank}), 0)::BIGINT AS top{rank}" for rank in range(1, 6)
+    )
+    ranked = (
+        "SELECT word, row_number() OVER (ORDER BY sum(count) DESC, word) AS rank "
+        f"FROM ({windows_60_30}) GROUP BY word"
+    )
     labels_norm = (
         "SELECT lower(coalesce(lang, '')) AS sentiment, count(*) AS count FROM documents GROUP BY 1"
     )
@@ -750,6 +818,11 @@ def oracle_sql() -> dict[str, str]:
         "WHERE text <> '' AND lang <> ''",
         "stream_message_files": sql_count(sql_words("ws_alpha", ENGLISH, SQL_SENT)),
         "stream_restart": sql_count(sql_words("ws_alpha", ENGLISH, SQL_SENT)),
+        "stream_two_queries": f"SELECT 'label' AS kind, sentiment AS key, count FROM "
+        f"({labels_of_sent} GROUP BY lang) UNION ALL SELECT 'word', word, count "
+        f"FROM ({words_of_sent})",
+        "stream_triggers": f"{labels_of_sent} GROUP BY lang",
+        "arrival_labels": f"{labels_of_sent} GROUP BY lang",
         "base_names": "SELECT page_id, regexp_extract(url, '[^/]*$') AS name FROM pages",
         "first_rows": "SELECT * FROM documents ORDER BY doc_id LIMIT 20",
         "recent_top_words": top_words,
@@ -757,6 +830,8 @@ def oracle_sql() -> dict[str, str]:
         f"({windows_60_30}) WHERE word IN (SELECT word FROM ({top_words})) GROUP BY ALL",
         "trend_wide": f"SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, {type_columns} "
         "FROM events GROUP BY 1",
+        "word_trend_wide": f"SELECT window_start, {by_rank} FROM ({windows_60_30}) "
+        f"JOIN ({ranked}) USING (word) WHERE rank <= 5 GROUP BY window_start",
         "scan_csv": "SELECT text AS review, lang AS sentiment FROM documents",
         "scan_csv_split": "SELECT text AS review, lang AS sentiment FROM documents",
         "scan_tsv": "SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, "

@@ -16,7 +16,7 @@ from termtide.operators.tokens import drop_stop_words
 from termtide.plans import live
 from termtide.plans.batch import line_words, review_words, timing_sweep
 from termtide.session import session
-from termtide.sinks.streams import to_console
+from termtide.sinks.streams import await_idle, to_console
 from termtide.sinks.tables import (
     result_path,
     save_messages,
@@ -50,7 +50,7 @@ def reviews_table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.servers:
-        return kafka_stream(spark, args.servers, args.topic, args.starting)
+        return kafka_stream(spark, args.servers, args.topic, args.starting, args.max_offsets)
     return message_files(spark, args.files, args.max_files)
 
 
@@ -112,7 +112,10 @@ def watch(spark: SparkSession, args: argparse.Namespace) -> None:
         result = by_count(reviews.words_by_broker_time(stream))
         to_console(result, args.checkpoint, every=reviews.EVERY_FAST, bounded=args.bounded)
     elif args.kind == "labels":
-        to_console(reviews.running_labels(stream), args.checkpoint, bounded=args.bounded)
+        result = reviews.running_labels(stream, normalize=args.normalize)
+        to_console(result, args.checkpoint, bounded=args.bounded)
+    elif args.kind == "total":
+        to_console(reviews.running_total(stream), args.checkpoint, bounded=args.bounded)
     elif args.kind == "running":
         result = top_k(reviews.running_words(stream, LISTS[args.stop]))
         to_console(result, args.checkpoint, rows=10, bounded=args.bounded)
@@ -123,6 +126,9 @@ def watch(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.bounded:
         for query in spark.streams.active:
             query.awaitTermination()
+    elif args.idle:
+        for query in spark.streams.active:
+            await_idle(query, args.idle)
     else:
         live.await_any(spark)
 
@@ -171,12 +177,23 @@ def parser() -> argparse.ArgumentParser:
     sub = job(watch, broker=True)
     sub.add_argument(
         "kind",
-        choices=["analysis", "broker-words", "labels", "running", "save-words", "save-labels"],
+        choices=[
+            "analysis",
+            "broker-words",
+            "labels",
+            "total",
+            "running",
+            "save-words",
+            "save-labels",
+        ],
     )
     sub.add_argument("--checkpoint", required=True)
     sub.add_argument("--starting", choices=["earliest", "latest"], default="earliest")
     sub.add_argument("--files")
     sub.add_argument("--max-files", type=int)
+    sub.add_argument("--max-offsets", type=int)
+    sub.add_argument("--normalize", action="store_true")
+    sub.add_argument("--idle", type=float, help="end after so many seconds without messages")
     sub.add_argument("--stop", choices=list(LISTS), default="stop7")
     sub.add_argument("--out")
     sub.add_argument("--bounded", action="store_true")

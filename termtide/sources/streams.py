@@ -9,22 +9,37 @@ from pyspark.sql import types as T
 TOPIC = "reviews"
 
 
-def kafka_options(servers: str, topic: str = TOPIC, starting: str = "earliest") -> dict[str, str]:
-    """Reader options; `starting` is `earliest` or `latest`."""
+def kafka_options(
+    servers: str,
+    topic: str = TOPIC,
+    starting: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
+) -> dict[str, str]:
+    """Reader options; `starting` is `earliest` or `latest`.
+
+    `max_offsets_per_trigger` cuts a backlog into several micro-batches; all of it is read.
+    """
     if starting not in ("earliest", "latest"):
         raise ValueError("starting must be 'earliest' or 'latest'")
-    return {
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
     }
+    if max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
 
 
 def kafka_stream(
-    spark: SparkSession, servers: str, topic: str = TOPIC, starting: str = "earliest"
+    spark: SparkSession,
+    servers: str,
+    topic: str = TOPIC,
+    starting: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Messages of a topic. Needs the Kafka connector package on the class path."""
-    options = kafka_options(servers, topic, starting)
+    options = kafka_options(servers, topic, starting, max_offsets_per_trigger)
     return spark.readStream.format("kafka").options(**options).load()
 
 

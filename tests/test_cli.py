@@ -40,6 +40,14 @@ def test_stream_jobs(spark, reviews_csv, tmp_path):
     sent = [json.loads(r.value) for r in spark.read.text(str(inbox)).collect()]
     assert sorted(m["sentiment"] for m in sent) == ["Pos", "neg"]
     assert all(m["created_at"] for m in sent)
-    for kind in ("analysis", "broker-words", "labels", "running"):
+    for kind in ("analysis", "broker-words", "labels", "total", "running"):
         run("watch", kind, "--files", inbox, "--checkpoint", tmp_path / kind, "--bounded")
         assert (tmp_path / kind).is_dir() and not spark.streams.active
+
+
+def test_stream_ends_after_silence(spark, reviews_csv, tmp_path):
+    inbox = tmp_path / "inbox"
+    run("send", reviews_csv, "--out", inbox)
+    options = ("--files", inbox, "--checkpoint", tmp_path / "idle", "--normalize", "--idle", 5)
+    run("watch", "labels", *options)
+    assert (tmp_path / "idle" / "commits" / "0").exists() and not spark.streams.active

@@ -193,6 +193,10 @@ def test_kafka_options():
         kafka_options("h:9092", starting="middle")
 
 
+def test_kafka_rate_limit():
+    assert kafka_options("h:9092", max_offsets_per_trigger=500)["maxOffsetsPerTrigger"] == "500"
+
+
 def test_spread_only_scans_of_few_tasks(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert spread(docs).rdd.getNumPartitions() == 8
