@@ -1,6 +1,6 @@
 """Pseudonyms for personal data: numbers, dates and names are permuted within their format.
 
-A value that is valid for its kind (check digits, calendar, number plan) is turned into a number
+A value that is valid for its kind (check digits, calendar, number ranges) is turned into a number
 below the count of valid values of its format, moved by a keyed Feistel permutation of just
 that range, and spelled in the same format again. Equal values get equal pseudonyms in all
 documents without any table, so nothing is shuffled or remembered; different values of a format
@@ -144,13 +144,8 @@ def _iban(value: str, move: Move) -> str | None:
 
 def _phone(value: str, move: Move) -> str | None:
     signs = _signs(value)
-    country, signs = signs[:-10], signs[-10:]
-    # Area and exchange start with 2 to 9.
-    number = ((int(signs[0]) - 2) * 100 + int(signs[1:3])) * 8 + int(signs[3]) - 2
-    number = move("phone", 64 * 10**8, number * 10**6 + int(signs[4:]))
-    number, last = divmod(number, 10**6)
-    area, exchange = divmod(number, 8)
-    return _spelled_like(value, f"{country}{area + 200:03d}{exchange + 2}{last:06d}")
+    country, number = signs[:-10], move("phone", 10**10, int(signs[-10:]))
+    return _spelled_like(value, f"{country}{number:010d}")
 
 
 def _ssn(value: str, move: Move) -> str | None:
@@ -209,7 +204,7 @@ _LOOKS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "date": r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![\w/-]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+-])(?:\+?1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?![\w-])",
+    "phone": r"(?<![\w+-])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
     "ipv4": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|[.-]\d)",
     "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)"

@@ -320,6 +320,24 @@ def test_pseudonyms_keep_their_format_and_can_be_undone():
     assert pii.replace(clean, move) == (clean, [])
 
 
+def test_phones_of_any_area_and_exchange(spark, small):
+    move, back = pii.mover(b"key"), pii.mover(b"key", back=True)
+    phone = re.compile(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}")
+    texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    texts += [f"a +1 ({area:03d}) {area * 7 % 1000:03d}-0042, b" for area in range(0, 1000, 9)]
+    texts += ["017-155-7713", "(117) 055-7713", "1 000.000.0000"]
+    n_planted = 0
+    for text in texts:
+        new, spans = pii.replace(text, move)
+        planted = [m.span() for m in phone.finditer(text)]
+        n_planted += len(planted)
+        assert set(planted) <= {(start, end) for kind, start, end in spans if kind == "phone"}
+        assert pii.replace(new, back)[0] == text
+    assert n_planted > 110
+    for text in texts[-3:]:
+        assert [kind for kind, _, _ in pii.replace(text, move)[1]] == ["phone"]
+
+
 def test_pseudonymize(docs, nothing):
     got = pii.pseudonymize(docs, "key", spans_col="spans")
     assert sorted(got.columns) == sorted(docs.columns) and got.count() == docs.count()
