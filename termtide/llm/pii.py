@@ -7,7 +7,9 @@ documents without any table, so nothing is shuffled or remembered; different val
 never meet; and who holds the key can undo it.
 
 Defined results: null and empty texts stay as they are; what looks like personal data but is
-not valid stays; all columns of the documents are returned, with the text replaced; repeated
+not valid stays; a card or account number that is not valid together with the short numbers or
+capital words after it is tried without them, in the usual lengths and groups first (where the
+pseudonym happens to be valid together with them, undoing takes the spans besides the key); all columns of the documents are returned, with the text replaced; repeated
 documents give one row each.
 """
 
@@ -198,6 +200,9 @@ def _secret(value: str, move: Move) -> str | None:
     return _spelled_like(value, _in_class("secret", _signs(value), move))
 
 
+# A card number may have a short number, as an expiry date or code, after a hyphen.
+_CARD_END = r"(?:(?!\w|[.-]\d)|(?=-\d{1,4}(?!\w|[.-]\d)))"
+
 # What each kind looks like. Earlier kinds win where several match.
 _LOOKS = {
     "email": r"(?<![\w.+@-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -206,7 +211,7 @@ _LOOKS = {
     "ssn": r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])",
     "phone": r"(?<![\w+-])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
     "ipv4": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
-    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|[.-]\d)",
+    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}" + _CARD_END,
     "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)"
     r"|(?:(?<=password=)|(?<=token=)|(?<=token = \")|(?<=token=\")|(?<=secret=))[A-Za-z0-9]{12,}(?!\w)",
 }
@@ -220,6 +225,39 @@ _MADE = {
     "card": _card,
     "secret": _secret,
 }
+# Kinds that may run on into the next words, and what must come after them.
+_ENDS = {"iban": re.compile(r"(?!\w)", re.ASCII), "card": re.compile(_CARD_END, re.ASCII)}
+_ALONE = {kind: re.compile(_LOOKS[kind], re.ASCII) for kind in _ENDS}
+_CARD_SHAPE = re.compile(
+    r"(?<![\w.-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5})"
+    + _CARD_END,
+    re.ASCII,
+)
+# Letters and digits of an account number, by country.
+_IBAN_SIGNS = {
+    country: size
+    for size, countries in {
+        15: "NO",
+        16: "BE",
+        18: "DK FI FK FO GL NL SD",
+        19: "MK SI",
+        20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST",
+        26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA",
+        30: "JO KW MU YE",
+        31: "MT SC",
+        32: "LC",
+        33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _LOOK = re.compile("|".join(f"(?P<{kind}>{look})" for kind, look in _LOOKS.items()), re.ASCII)
 _HINT = re.compile(r"[0-9@]+")
 _NEAR_HINT = 24
@@ -256,6 +294,49 @@ def _regions(text: str) -> list[tuple[int, int]]:
     return regions
 
 
+def _ends(kind: str, text: str, start: int, end: int, last: int) -> list[int]:
+    """Where a value that starts at `start` and runs to `end` at most may end, best first."""
+    if kind not in _ENDS:
+        return [end]
+    ends = [
+        at
+        for at in range(end, start, -1)
+        if _ENDS[kind].match(text, at, last) and _ALONE[kind].fullmatch(text, start, at)
+    ]
+    if kind == "iban":
+        usual = _IBAN_SIGNS.get(text[start : start + 2])
+        ends.sort(key=lambda at: len(_signs(text[start:at])) != usual)
+    else:
+        ends.sort(key=lambda at: not _CARD_SHAPE.fullmatch(text, start, at))
+    return ends
+
+
+def _is_part(text: str, start: int, end: int, last: int) -> bool:
+    """Whether a card number in unusual groups is one in usual groups with digits before it."""
+    if _CARD_SHAPE.fullmatch(text, start, end):
+        return False
+    later = _CARD_SHAPE.search(text, start + 1, last)
+    while later and later.start() < end:
+        number = _signs(later.group())
+        if later.end() >= end and luhn_digit(number[:-1]) == number[-1]:
+            return True
+        later = _CARD_SHAPE.search(text, later.start() + 1, last)
+    return False
+
+
+def _pseudonym(
+    kind: str, text: str, start: int, end: int, last: int, move: Move
+) -> tuple[str, int] | None:
+    """What to put in place of the value at `start`, and the end of the value."""
+    kept = _KEPT_PREFIX.get(kind, "")
+    kept = kept if text.startswith(kept, start) else ""
+    for at in _ends(kind, text, start, end, last):
+        new = _MADE[kind](text[start + len(kept) : at], move)
+        if new is not None and not (kind == "card" and _is_part(text, start, at, last)):
+            return kept + new, at
+    return None
+
+
 def replace(text: str, move: Move) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms and the spans `(kind, start, end)` replaced in it.
 
@@ -265,17 +346,16 @@ def replace(text: str, move: Move) -> tuple[str, list[tuple[str, int, int]]]:
     for first, last in _regions(text):
         looked = max(first, at)
         while match := _LOOK.search(text, looked, last):
-            kind, value = match.lastgroup, match.group()
-            kept = _KEPT_PREFIX.get(kind, "")
-            kept = kept if value.startswith(kept) else ""
-            new = _MADE[kind](value[len(kept) :], move)
-            if new is None:
+            kind, start = match.lastgroup, match.start()
+            found = _pseudonym(kind, text, start, match.end(), last, move)
+            if found is None:
                 # Not valid as this kind; another kind may begin within it.
-                looked = match.start() + 1
+                looked = start + 1
                 continue
-            made += [text[at : match.start()], kept, new]
-            spans.append((kind, match.start(), match.end()))
-            at = looked = match.end()
+            new, end = found
+            made += [text[at:start], new]
+            spans.append((kind, start, end))
+            at = looked = end
     return "".join([*made, text[at:]]) if spans else text, spans
 
 

@@ -338,6 +338,43 @@ def test_phones_of_any_area_and_exchange(spark, small):
         assert [kind for kind, _, _ in pii.replace(text, move)[1]] == ["phone"]
 
 
+CARDS = ["4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004", "3782 822463 10005"]
+IBANS = ["AT611904300234573201", "BE68539007547034", "DE89 3704 0044 0532 0130 00", "NO9386011117947"]
+
+
+@pytest.mark.parametrize("kind, value", [*(("card", c) for c in CARDS), *(("iban", i) for i in IBANS)])
+def test_values_before_short_numbers_and_capital_words(kind, value):
+    ends = {
+        "card": [" 12/27", " 123", " 1", "-123", " 09 27 123", " 1234, 5", " 2027-01"],
+        "iban": [" EUR", " BIC", " A", " EUR 500", " BANK", " EUROPE AG", " BIC DEUTDEFF", " 12"],
+    }[kind]
+    signs = re.sub("[ -]", "", value)
+
+    def valid(own):
+        if kind == "iban":
+            return int("".join(str(int(c, 36)) for c in own[4:] + own[:4])) % 97 == 1
+        doubled = [int(c) * (1 + k % 2) for k, c in enumerate(reversed(own))]
+        return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+    assert valid(signs)
+    alone, _ = pii.replace(value, pii.mover(b"key"))
+    for end in ends:
+        text = f"pay {value}{end} now"
+        new, spans = pii.replace(text, pii.mover(b"key"))
+        assert (kind, 4, 4 + len(value)) in spans, text
+        assert new.startswith(f"pay {alone}{end}"), text
+    own = re.sub("[ -]", "", alone)
+    assert own != signs and valid(own)
+
+
+def test_short_numbers_before_cards():
+    move = pii.mover(b"key")
+    for before in range(1000):
+        text = f"no {before} 4111 1111 1111 1111 x"
+        new, spans = pii.replace(text, move)
+        assert [(k, e) for k, _, e in spans] == [("card", len(text) - 2)], text
+
+
 def test_pseudonymize(docs, nothing):
     got = pii.pseudonymize(docs, "key", spans_col="spans")
     assert sorted(got.columns) == sorted(docs.columns) and got.count() == docs.count()
