@@ -15,6 +15,7 @@ documents give one row each.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import math
@@ -168,8 +169,34 @@ def _ipv4(value: str, move: Move) -> str | None:
     return ".".join(map(str, number.to_bytes(4)))
 
 
-# Date formats, for each the order of year, month and day.
+# Date formats, for each the order of year, month and day. Where a slashed date is
+# none with the month first, the day is first.
 _DATE_ORDERS = {"-": "ymd", ".": "dmy", "/": "mdy"}
+_DAYS_BY_MONTH = 12  # days up to here can be read as a month
+
+
+def _late_days(ordinal: int) -> int:
+    """Days from FIRST_DAY on, up to and without this one, that cannot be read as a month."""
+    day = datetime.date.fromordinal(ordinal)
+    months = (day.year - 1900) * 12 + day.month - 1
+    return ordinal - FIRST_DAY - _DAYS_BY_MONTH * months - min(day.day - 1, _DAYS_BY_MONTH)
+
+
+def _day_first(given: dict[str, int], move: Move) -> str | None:
+    """A slashed date with its day, above 12, first: it moves among dates that are like it.
+
+    So it stays no date with the month first, and both readings can be undone.
+    """
+    try:
+        day = datetime.date(given["y"], given["d"], given["m"])
+    except ValueError:
+        return None
+    if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
+        return None
+    number = move("date dmy", _late_days(LAST_DAY + 1), _late_days(day.toordinal()))
+    found = bisect.bisect_right(range(FIRST_DAY, LAST_DAY + 2), number, key=_late_days)
+    made = datetime.date.fromordinal(FIRST_DAY + found - 1)
+    return f"{made.day:02d}/{made.month:02d}/{made.year:04d}"
 
 
 def _date(value: str, move: Move) -> str | None:
@@ -179,7 +206,7 @@ def _date(value: str, move: Move) -> str | None:
     try:
         day = datetime.date(given["y"], given["m"], given["d"]).toordinal()
     except ValueError:
-        return None
+        return _day_first(given, move) if order == "mdy" else None
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
     day = FIRST_DAY + move("date", LAST_DAY - FIRST_DAY + 1, day - FIRST_DAY)
@@ -197,6 +224,14 @@ def _secret(value: str, move: Move) -> str | None:
     if set(value) <= set(_HEX):
         number = move("hex", 16 ** len(value), int(value, 16))
         return f"{number:0{len(value)}x}"
+    if set(value) <= set(_HEX.upper()):
+        # Walking on to a number with a letter in it keeps both cases apart.
+        number = int(value, 16)
+        while True:
+            number = move("hex", 16 ** len(value), number)
+            made = f"{number:0{len(value)}X}"
+            if not made.isdigit():
+                return made
     return _spelled_like(value, _in_class("secret", _signs(value), move))
 
 
@@ -213,7 +248,7 @@ _LOOKS = {
     "ipv4": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}" + _CARD_END,
     "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)"
-    r"|(?:(?<=password=)|(?<=token=)|(?<=token = \")|(?<=token=\")|(?<=secret=))[A-Za-z0-9]{12,}(?!\w)",
+    r"|(?i:(?<=password=)|(?<=token=)|(?<=token = \")|(?<=token=\")|(?<=secret=))[A-Za-z0-9]{12,}(?!\w)",
 }
 _MADE = {
     "email": _email,
@@ -259,25 +294,24 @@ _IBAN_SIGNS = {
     for country in countries.split()
 }
 _LOOK = re.compile("|".join(f"(?P<{kind}>{look})" for kind, look in _LOOKS.items()), re.ASCII)
-_HINT = re.compile(r"[0-9@]+")
+_HINT = re.compile(r"[0-9@=]+")  # the names of secrets end in "="
 _NEAR_HINT = 24
-_SECRET_NAMES = ("AKIA", "password=", "token=", "token =", "secret=")
+_SECRET_PREFIX = "AKIA"
 _SPACE = re.compile(r"\s")
-_KEPT_PREFIX = {"secret": "AKIA"}
+_KEPT_PREFIX = {"secret": _SECRET_PREFIX}
 
 
 def _hints(text: str) -> list[int]:
     hints = [match.start() for match in _HINT.finditer(text)]
-    for name in _SECRET_NAMES:
-        at = text.find(name)
-        while at >= 0:
-            hints.append(at + len(name))
-            at = text.find(name, at + 1)
+    at = text.find(_SECRET_PREFIX)
+    while at >= 0:
+        hints.append(at + len(_SECRET_PREFIX))
+        at = text.find(_SECRET_PREFIX, at + 1)
     return sorted(hints)
 
 
 def _regions(text: str) -> list[tuple[int, int]]:
-    """Whole words around digits, at-signs and names of secrets; nothing is found elsewhere."""
+    """Whole words around digits, at-signs, equals signs and "AKIA"; nothing is found elsewhere."""
     regions: list[tuple[int, int]] = []
     last = 0
     for hint in _hints(text):
