@@ -12,6 +12,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -217,6 +218,46 @@ def test_one_hash_with_many_runs(monkeypatch):
         assert owner == best[contents[c][o : o + 12]]
 
 
+def test_a_short_string_in_many_texts_is_spread(spark):
+    rnd, size = random.Random(12), repeats.SIZE
+
+    def letters(count):
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(count))
+
+    # A string with a low hash, under which the windows around it are filed.
+    pool = letters(20_000)
+    at = int(np.argmin(repeats.gram_hashes(pool.encode())))
+    hot = pool[at : at + repeats.GRAM]
+    rows = [(i, letters(60) + hot + letters(60)) for i in range(300)]
+    raw = [t.encode() for _, t in rows]
+    tables = [
+        pa.table({"block": [k] * 100, "id": range(k, 300, 3), "raw": raw[k::3]}) for k in range(3)
+    ]
+    most = []
+    for hot_windows in (10**9, 500):
+        sent = pa.concat_tables([repeats._send_hashes(1, size)(t) for t in tables])
+        answers = repeats._answer_hashes(size, hot_windows)(sent)
+        windows = Counter()
+        for k, t in enumerate(tables):
+            own = answers.filter(pa.array([b == k for b in answers["block"].to_pylist()]))
+            for r in repeats._send_runs(40, size)(t, own).to_pylist():
+                windows[r["file"]] += int((np.frombuffer(r["sizes"], np.int32) - size + 1).sum())
+        most.append(max(windows.values()) / sum(windows.values()))
+    assert most[0] > 0.9 and most[1] < 0.1
+
+    # Equal windows around it within a block and in others, copies, and a longer common string.
+    rows += [(300 + i, letters(20) + rows[i][1][30:120] + letters(9)) for i in range(60)]
+    rows += [(400 + i, letters(40) + hot + hot[::-1] + hot + letters(40)) for i in range(90)]
+    rows += [(500 + i, rows[i][1]) for i in range(20)] + [(None, rows[3][1])]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for block_bytes in (8_000, 1 << 20):
+        got = repeats.remove_repeats(table, block_bytes=block_bytes, hot_windows=500).collect()
+        found = [
+            (r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept_sha256) for r in got
+        ]
+        same(found, brute_repeats(rows, size))
+
+
 def test_common_groups():
     rnd = random.Random(3)
     for size in (1, 2, 7, 50, 64):
