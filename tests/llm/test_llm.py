@@ -218,6 +218,19 @@ def test_one_hash_with_many_runs(monkeypatch):
         assert owner == best[contents[c][o : o + 12]]
 
 
+def test_rows_of_one_id_go_to_many_blocks(spark):
+    texts = [t for t in random_texts(400, seed=5) if t and len(t) < 1000][:390]
+    ids = [None if k % 3 == 0 else 7 if k % 3 == 1 else k for k in range(len(texts))]
+    rows = list(zip(ids, texts))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    own = table.selectExpr("coalesce(doc_id, -1) id", "cast(text AS binary) raw")
+    sizes = Counter(r.block for r in repeats.deal(own, 40).collect())
+    assert max(sizes.values()) < len(rows) / 10
+    got = repeats.remove_repeats(table, block_bytes=4_000).collect()
+    found = [(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept_sha256) for r in got]
+    same(found, brute_repeats(rows, repeats.SIZE))
+
+
 def test_a_short_string_in_many_texts_is_spread(spark):
     rnd, size = random.Random(12), repeats.SIZE
 
