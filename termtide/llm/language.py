@@ -7,8 +7,8 @@ A text's language has the highest mean score per word; the score is that languag
 the means are turned into probabilities.
 
 The model is fitted on at most `docs_per_lang` labelled documents of each language, chosen by a
-hash of their ids, and holds at most `max_words` words and `max_grams` n-grams, so its size does
-not depend on the corpus. Prediction reads whole texts and all documents.
+hash of their ids, and holds every word and n-gram that these have twice or more, with the counts
+of all languages. The sample bounds its size, not the corpus. Prediction reads whole texts and all documents.
 
 Defined results: a null text, or one without letters, is `und` with score 0, as is every text
 if there is nothing to learn from; a tie goes to the alphabetically first language; repeated
@@ -31,8 +31,6 @@ from termtide.llm.common import batch_of, columns_of, cut, small_batches, use_te
 
 UNKNOWN = "und"
 DOCS_PER_LANG = 1_500
-MAX_WORDS = 40_000
-MAX_GRAMS = 40_000
 LONGEST_GRAM = 4
 STEP_WEIGHT = 0.5
 BATCH_ROWS = 500
@@ -135,8 +133,6 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     docs_per_lang: int = DOCS_PER_LANG,
-    max_words: int = MAX_WORDS,
-    max_grams: int = MAX_GRAMS,
     longest_gram: int = LONGEST_GRAM,
 ) -> Model:
     """Learn from a bounded sample of the rows that have a label and a text."""
@@ -159,16 +155,14 @@ def fit(
     grams = total(words.mapInArrow(_count_grams(longest_gram), _COUNTS_DDL))
     by_lang = words.groupBy("lang").agg(F.sum("n").alias("words")).collect()
     seen = {r["lang"]: r["words"] for r in by_lang}
-    sums = F.create_map(*[F.lit(x) for pair in [*seen.items(), ("", 1)] for x in pair])
-    share = F.col("n") / F.element_at(sums, F.col("lang"))
     langs = sorted(seen)
-    tables: list[dict[str, list[int]]] = [{} for _ in range(longest_gram + 1)]
-    for counts, most in ((words, max_words), (grams, max_grams)):
-        # A unit seen once says nothing; of the others the relatively most frequent are kept.
-        top = counts.filter("n > 1").orderBy(share.desc(), "lang", "size", "unit").limit(most)
-        for r in top.collect():
-            row = tables[r["size"]].setdefault(r["unit"], [0] * len(langs))
-            row[langs.index(r["lang"])] = r["n"]
+    tables: list[dict[str, tuple[int, ...]]] = [{} for _ in range(longest_gram + 1)]
+    by_lang = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)) for lang in langs]
+    for counts in (words, grams) if langs else ():
+        whole = counts.groupBy("size", "unit").agg(F.sum("n").alias("n"), *by_lang)
+        # A unit seen once says nothing.
+        for size, unit, _, *row in whole.filter("n > 1").collect():
+            tables[size][unit] = tuple(row)
     units = [
         {
             unit: tuple(

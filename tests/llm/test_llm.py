@@ -725,6 +725,18 @@ def test_language(spark, small, nothing):
     assert {r.lang_pred for r in language.identify(table, untaught).collect()} == {"und"}
 
 
+def test_the_model_keeps_all_words_of_its_sample(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = ["".join(letters[k // 26**i % 26] for i in range(4)) for k in range(45_000)]
+    rows = [(0, " ".join(made * 2), "x"), (1, " ".join(made[:9] + ["zzzzz"] + ["yyyyy"] * 3), "y")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.units[0].keys() == {*made, "yyyyy"}
+    x, y = 90_000 + 0.5 * 45_001, 13 + 0.5 * 45_001
+    for word, n_x, n_y in ((made[0], 2, 1), (made[-1], 2, 0), ("yyyyy", 0, 3)):
+        want = (math.log((n_x + 0.5) / x), math.log((n_y + 0.5) / y))
+        assert model.units[0][word] == pytest.approx(want)
+
+
 def test_unseen_words_fall_back_to_shorter_grams():
     units = [{"word": (0.0, -9.0)}, {"a": (-1.0, -3.0)}, {"<a": (-4.0, -2.0)}, {}, {}]
     model = language.Model(["x", "y"], units)
