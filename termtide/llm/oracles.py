@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from termtide.llm import quality
+from termtide.llm import centroids, quality
 from termtide.llm.preference import TRAINED_ROLE, TURN_END, TURN_START
 from termtide.llm.repeats import SIZE
 
@@ -230,10 +230,53 @@ SELECT page_id, octet_length(raw)::BIGINT AS payload_bytes,
 FROM payloads
 """
 
+_GAP = "list_sum(list_transform(list_zip(k.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _round(number: int) -> str:
+    """Assignments under the centroids of a round, and the centroids of the next one."""
+    return f"""
+, a{number} AS MATERIALIZED (
+    SELECT r, any_value(k.x) AS x, min([{_GAP}::BIGINT, cluster]) AS least
+    FROM kept k, c{number} c GROUP BY r
+), c{number + 1} AS MATERIALIZED (
+    SELECT cluster, coalesce(m.x, c.x) AS x
+    FROM c{number} c LEFT JOIN (
+        SELECT cluster, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY pos) AS x
+        FROM (SELECT least[2] AS cluster, pos, sum(x[pos]) AS total, count(*) AS n
+              FROM a{number}, range(1, {centroids.DIMENSIONS} + 1) p(pos) GROUP BY ALL)
+        GROUP BY cluster) m USING (cluster)
+)"""
+
+
+CENTROIDS = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda e: floor({centroids.SCALE} * e::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE len(embedding) = {centroids.DIMENSIONS}
+      AND list_bool_and(list_transform(embedding, lambda e: coalesce(isfinite(e), false)))
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (
+               ORDER BY sha256('{centroids.SEED}:' || vec_id) NULLS LAST, x) - 1 AS cluster, x
+    FROM kept QUALIFY cluster < {centroids.CLUSTERS}
+){"".join(map(_round, range(centroids.ROUNDS + 1)))}
+, assigned AS (
+    SELECT vec_id, least[2] AS cluster, least[1] AS distance
+    FROM a{centroids.ROUNDS} JOIN kept USING (r)
+)
+SELECT vec_id, a.cluster::INTEGER AS cluster, distance,
+       sum(distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM assigned a JOIN c{centroids.ROUNDS} c ON a.cluster = c.cluster
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_preference_format": PREFERENCE,
     "op2_decontaminate": DECONTAMINATE,
     "op3_repeated_substrings": REPEATS,
     "op8_quality_rules": QUALITY,
     "op9_warc": WARC,
+    "op13_centroids": CENTROIDS,
 }

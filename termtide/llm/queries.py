@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import bpe, decontaminate, language, licenses, pii, preference, quality
-from termtide.llm import repeats, simhash, warc
+from termtide.llm import bpe, centroids, decontaminate, language, licenses, pii, preference
+from termtide.llm import quality, repeats, simhash, warc, whitening
 from termtide.llm.common import read_table
 from termtide.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
@@ -114,6 +114,17 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = whitening.whitened_embeddings(read_table(spark, sf_dir, "embeddings"))
+    names = ["component", "n", "deviation", "whitened", "explained", "identity_error"]
+    return made.select(F.col("id").alias("vec_id"), *names)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+    return centroids.cluster_report(found).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -127,5 +138,7 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_warc,
         op10_language,
+        op11_whitening,
+        op13_centroids,
     )
 }

@@ -26,6 +26,9 @@ ITEMS += [(2, "just this"), (4, ""), (5, None), (6, "A b a")]
 PAGES = [(4, "u", "same"), (2, None, "same"), (7, "v", None), (9, "w", ""), (3, "u", "é")]
 TURNS = [(1, 1, "user", "a b"), (1, 2, "assistant", "c d"), (1, 3, None, None)]
 TURNS += [(2, 4, "assistant", "one two"), (2, 4, "assistant", "é z"), (2, 1, "user", "")]
+VECTORS = [(i % 30, [(i * j % 17 - 8) / 20 for j in range(64)], i) for i in range(40)]
+VECTORS += [(50, None, 0), (51, [], 0), (52, [None] * 64, 0), (None, [0.5] * 64, 0)]
+VECTORS += [(53, [float("nan")] + [0.0] * 63, 0), (54, [-0.0] * 64, 0), (55, [float("inf")] * 64, 0)]
 LABELS = [(3, 1, 0), (5, 0, 0), (9, 1, 1), (99, 1, 0), (12, None, None)]
 
 
@@ -42,6 +45,7 @@ def odd(spark, tmp_path_factory):
         "pages": (PAGES, "page_id bigint, url string, html string"),
         "conversations": (TURNS, "conv_id bigint, turn bigint, role string, text string"),
         "labels": (labels, "doc_id bigint, quality int, toxic int"),
+        "embeddings": (VECTORS, "vec_id bigint, embedding array<float>, label int"),
     }
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
