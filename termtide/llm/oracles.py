@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from termtide.llm import centroids, quality
+from termtide.llm import centroids, jaccard, quality
 from termtide.llm.preference import TRAINED_ROLE, TURN_END, TURN_START
 from termtide.llm.repeats import SIZE
 
@@ -230,6 +230,36 @@ SELECT page_id, octet_length(raw)::BIGINT AS payload_bytes,
 FROM payloads
 """
 
+_SHINGLE = jaccard.SHINGLE_WORDS
+JACCARD = rf"""
+WITH RECURSIVE docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                              '[^{_SPACES}]+') AS words
+    FROM documents
+), grams AS MATERIALIZED (
+    SELECT DISTINCT r, array_to_string(words[pos : pos + {_SHINGLE - 1}], ' ') AS gram
+    FROM (SELECT *, unnest(range(1, greatest(1, len(words) - {_SHINGLE - 1}) + 1)) AS pos FROM docs)
+    WHERE len(words) > 0
+), sizes AS MATERIALIZED (
+    SELECT r, count(gram) AS n FROM docs LEFT JOIN grams USING (r) GROUP BY r
+), links AS MATERIALIZED (
+    SELECT a.r AS a, b.r AS b
+    FROM grams x JOIN grams y USING (gram) JOIN sizes a ON x.r = a.r JOIN sizes b ON y.r = b.r
+    WHERE 100 * least(a.n, b.n) >= {jaccard.PERCENT} * greatest(a.n, b.n)
+    GROUP BY a.r, b.r, a.n, b.n
+    HAVING 100 * count(*) >= {jaccard.PERCENT} * (a.n + b.n - count(*))
+), reached AS (
+    SELECT r, r AS other FROM docs
+    UNION
+    SELECT reached.r, links.b FROM reached JOIN links ON reached.other = links.a
+)
+SELECT docs.doc_id, n::BIGINT AS n_shingles, component_id
+FROM docs JOIN sizes USING (r)
+JOIN (SELECT reached.r, min(o.doc_id) AS component_id
+      FROM reached JOIN docs o ON reached.other = o.r GROUP BY reached.r) USING (r)
+"""
+
 _GAP = "list_sum(list_transform(list_zip(k.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
 
 
@@ -278,5 +308,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_repeated_substrings": REPEATS,
     "op8_quality_rules": QUALITY,
     "op9_warc": WARC,
+    "op12_jaccard_join": JACCARD,
     "op13_centroids": CENTROIDS,
 }

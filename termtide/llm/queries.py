@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import bpe, centroids, decontaminate, language, licenses, pii, preference
-from termtide.llm import quality, repeats, simhash, warc, whitening
+from termtide.llm import bpe, centroids, decontaminate, jaccard, language, licenses, pii
+from termtide.llm import preference, quality, repeats, simhash, warc, whitening
 from termtide.llm.common import read_table
 from termtide.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
@@ -120,6 +120,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.col("id").alias("vec_id"), *names)
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_sets(read_table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = centroids.cluster(read_table(spark, sf_dir, "embeddings"))
     return centroids.cluster_report(found).withColumnRenamed("id", "vec_id")
@@ -139,6 +143,7 @@ QUERIES: dict[str, Query] = {
         op9_warc,
         op10_language,
         op11_whitening,
+        op12_jaccard_join,
         op13_centroids,
     )
 }
