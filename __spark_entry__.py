@@ -7,10 +7,11 @@ are derived from `lineitem`.
 
 from __future__ import annotations
 
+import datetime
 import importlib.util
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.functions.stopwords import ENGLISH, STOP7, STOP11
@@ -32,44 +33,59 @@ from termtide.operators.counts import (
 )
 from termtide.operators.messages import (
     build_messages,
+    checked_messages,
+    fitting,
     parse_messages,
     required,
+    unfit,
     with_arrival_time,
     with_event_time,
 )
-from termtide.operators.ranking import by_count, first_records, top_k
+from termtide.operators.ranking import by_count, first_records, first_rows, top_k
+from termtide.operators.rates import live_rates
 from termtide.operators.tokens import drop_stop_table, drop_stop_words, tokenize
 from termtide.operators.trends import recent_top_words, wide_trend, word_trend
 from termtide.operators.windows import flat_window, windowed_count
 from termtide.plans.batch import line_words, review_words
+from termtide.plans.live import analysis_ledger, words_and_labels
 from termtide.session import (
     scratch_dir,
     spread,
     use_cluster_sizes,
     use_disk_state,
 )
+from termtide.sinks.ledger import Kept, Ledger
 from termtide.sinks.streams import (
+    RATES,
+    WINDOWS,
     await_idle,
     read_changes,
     read_snapshot,
     to_changes,
     to_parquet,
     to_snapshots,
+    to_tables,
+    to_windows,
+    window_ledger,
 )
 from termtide.sinks.tables import (
     result_path,
     save_messages,
+    schema_report,
     summary_path,
     write_bench_results,
     write_summary,
 )
 from termtide.sources.streams import message_files, table_files
 from termtide.sources.tables import (
+    first_in_files,
+    join_small_files,
     latest_files,
     list_results,
     read_bench_results,
     read_csv,
     read_csv_split,
+    read_joined,
     read_lines,
     read_summary,
     read_tsv,
@@ -197,7 +213,7 @@ def changed(spark: SparkSession, result: DataFrame, key: str) -> DataFrame:
     """Run an update-mode count over what is there and read the current counts."""
     use_disk_state(spark)
     out, offsets = scratch_dir(spark, "changes"), scratch_dir(spark, "offsets")
-    to_changes(result, out, offsets, bounded=True).awaitTermination()
+    to_changes(result, out, offsets, [key], bounded=True).awaitTermination()
     return read_changes(spark, out, [key])
 
 
@@ -220,7 +236,7 @@ def counted(rule: str, stops: tuple[str, ...] = ()) -> Query:
 
 
 def wc_stop_table(spark: SparkSession, sf: str) -> DataFrame:
-    stops = spark.createDataFrame([(w,) for w in ENGLISH], "word string")
+    stops = spark.range(1).select(F.explode(F.array(*map(F.lit, ENGLISH))).alias("word"))
     return drop_stop_table(counted("ws_alpha")(spark, sf), stops)
 
 
@@ -323,6 +339,35 @@ def prefix_sample(spark: SparkSession, sf: str) -> DataFrame:
     return first_records(table(spark, sf, "documents"), SAMPLE_SIZE, "doc_id")
 
 
+def prefix_in_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The first records of a table of several files, each holding a range of ids in order."""
+    path = scratch_dir(spark, "in-files")
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    docs.repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    return first_in_files(spark.read.parquet(path), SAMPLE_SIZE)
+
+
+def cut_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of which every seventh lost its end on the way."""
+    numbered = build_messages(reviews(spark, sf), iso_time(F.col("event_time")), keep=("doc_id",))
+    text = F.col("value")
+    cut = F.expr("left(value, length(value) - 20)")
+    return numbered.withColumn("value", F.when(F.pmod("doc_id", F.lit(7)) == 0, cut).otherwise(text))
+
+
+def messages_fitting(spark: SparkSession, sf: str) -> DataFrame:
+    checked = checked_messages(cut_messages(spark, sf), keep=("doc_id",))
+    return fitting(checked).select("doc_id", "review", "sentiment", "created_at")
+
+
+def messages_unfit(spark: SparkSession, sf: str) -> DataFrame:
+    return unfit(checked_messages(cut_messages(spark, sf)))
+
+
+def schema_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return schema_report(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
 # ---------------------------------------------------------------- windows and streams
 
 
@@ -443,8 +488,117 @@ def events_by_day(spark: SparkSession, sf: str) -> str:
 
 
 def latest_event_files(spark: SparkSession, sf: str) -> DataFrame:
-    files = spark.read.parquet(events_by_day(spark, sf))
-    return latest_files(files, 5, by="name").select("event_id", "event_type")
+    return latest_files(spark, events_by_day(spark, sf), 5, by="name").select("event_id", "event_type")
+
+
+def latest_files_by_time(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest two of five files, written one after another and each holding a fifth."""
+    path = scratch_dir(spark, "events-by-time")
+    rows = table(spark, sf, "events").select("event_id", "event_type")
+    for part in (3, 0, 4, 1, 2):
+        own = rows.where(F.pmod("event_id", F.lit(5)) == part)
+        own.coalesce(1).write.mode("append").parquet(path)
+    return latest_files(spark, path, 2)
+
+
+def message_batches(
+    spark: SparkSession, sf: str, part: Column, parts: int, label: str
+) -> DataFrame:
+    """The reviews as message files read one part at a time, in the order of the parts."""
+    use_disk_state(spark)
+    path = scratch_dir(spark, f"{label}-messages")
+    rows = reviews(spark, sf).withColumn("created_at", iso_time(F.col("event_time")))
+    for number in range(parts):
+        own = rows.where(part == number)
+        spread_out = build_messages(own).coalesce(1)
+        spread_out.write.text(f"{path}/part={number}")
+    return message_files(spark, f"{path}/*", max_files_per_trigger=1)
+
+
+def analysis(spark: SparkSession, sf: str) -> Ledger:
+    """Words, labels, unfit messages and rates of one stream, from four files."""
+    stream = message_batches(spark, sf, F.pmod("doc_id", F.lit(4)), 4, "analysis")
+    out, offsets = scratch_dir(spark, "analysis"), scratch_dir(spark, "offsets")
+    words_and_labels(stream, out, offsets, bounded=True, quiet=True).awaitTermination()
+    return analysis_ledger(spark, out)
+
+
+def stream_one_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels and windowed words of one query that reads and parses each batch once."""
+    ledger = analysis(spark, sf)
+    labels = ledger.read("labels").select(
+        F.lit("label").alias("kind"),
+        F.lit(None).cast("timestamp_ntz").alias("window_start"),
+        F.col("sentiment").alias("key"),
+        "count",
+    )
+    start = F.col("window.start").cast("timestamp_ntz").alias("window_start")
+    words = ledger.read("words").select(F.lit("word").alias("kind"), start, F.col("word").alias("key"), "count")
+    return labels.unionAll(words)
+
+
+def stream_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each batch, and whether the rate and the total go with them."""
+    ledger = analysis(spark, sf)
+    total = ledger.marks()[-1].total
+    agrees = F.abs(F.col("rows_per_second") * F.col("seconds") - F.col("rows")) < 0.001
+    return live_rates(ledger.read(RATES)).select(
+        F.col("number").cast("int").alias("batch"),
+        "rows",
+        agrees.alias("agrees"),
+        F.lit(total).cast("bigint").alias("total"),
+    )
+
+
+def stream_windows_ending(spark: SparkSession, sf: str) -> DataFrame:
+    """Sliding word windows whose state ends, from four files in the order of time."""
+    size = table(spark, sf, "documents").agg(F.max("doc_id") + 1).scalar()
+    part = F.floor(F.col("doc_id") * 4 / size)
+    stream = message_batches(spark, sf, part, 4, "ending")
+    out, offsets = scratch_dir(spark, "windows"), scratch_dir(spark, "offsets")
+    result = review_stream.words_by_event_time(stream)
+    delay = review_stream.DELAY
+    query = to_windows(result, out, offsets, ["word"], delay, bounded=True, merge_every=2)
+    query.awaitTermination()
+    return flat(window_ledger(spark, out, ["word"], delay, 2).read(WINDOWS))
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Label windows on time and late, of messages of which every tenth comes two files late."""
+    size = table(spark, sf, "documents").agg(F.max("doc_id") + 1).scalar()
+    due = F.floor(F.col("doc_id") * 4 / size)
+    part = due + F.when(F.pmod("doc_id", F.lit(10)) == 3, 2).otherwise(0)
+    stream = message_batches(spark, sf, part, 6, "late")
+    delay = review_stream.DELAY
+    kept = {"labels": Kept(("window", "sentiment"), delay=delay, aside=True)}
+    ledger = Ledger(spark, scratch_dir(spark, "late"), kept, every=3)
+    query = to_tables(
+        review_stream.timed_messages(stream),
+        ledger,
+        {"labels": review_stream.labels_in_windows},
+        scratch_dir(spark, "offsets"),
+        "event_time",
+        bounded=True,
+    )
+    query.awaitTermination()
+    on_time, late = (
+        flat(ledger.read(name)).withColumn("late", F.lit(name != "labels"))
+        for name in ("labels", "labels_late")
+    )
+    return on_time.unionByName(late)
+
+
+def saved_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days of label windows that a stream saved by day, with the earlier days' files joined."""
+    use_disk_state(spark)
+    saved_to, joined = scratch_dir(spark, "by-day"), scratch_dir(spark, "joined")
+    timed = as_events(table_stream(spark, sf, "events"))
+    result = review_stream.saved_labels(timed)
+    to_parquet(result, saved_to, scratch_dir(spark, "offsets"), bounded=True, by_day=True).awaitTermination()
+    first = table(spark, sf, "events").select(F.to_date(F.min("ts"))).first()[0]
+    join_small_files(spark, saved_to, joined, first + datetime.timedelta(days=3))
+    since, until = (first + datetime.timedelta(days=d) for d in (2, 3))
+    return flat(read_joined(spark, saved_to, joined, since, until))
 
 
 def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
@@ -492,11 +646,25 @@ def stream_triggers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def arrival_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Labels in windows of arrival, added up over the windows, which depend on the clock."""
-    messages = as_messages(reviews(spark, sf))
-    arrived = with_arrival_time(parse_messages(messages))
-    windows = windowed_count(arrived, "event_time", ["sentiment"], "30 seconds")
-    return windows.groupBy("sentiment").agg(F.sum("count").alias("count"))
+    """Labels in windows of arrival, and whether every window lies around the run.
+
+    `timely` needs each row's window to hold the row's own time of arrival, no window to end
+    before the query began, and none to start after it ended.
+    """
+    out = scratch_dir(spark, "arrival")
+    began = spark.sql("SELECT current_timestamp()").first()[0]
+    arrived = with_arrival_time(parse_messages(as_messages(reviews(spark, sf))))
+    window = F.window("event_time", "30 seconds")
+    inside = (F.col("window.start") <= F.col("event_time")) & (F.col("event_time") < F.col("window.end"))
+    rows = arrived.select("sentiment", "event_time", window.alias("window"))
+    rows.groupBy("window", "sentiment").agg(
+        F.count("*").alias("count"), F.bool_and(inside).alias("inside")
+    ).write.parquet(out)
+    ended = spark.sql("SELECT current_timestamp()").first()[0]
+    around = (F.col("window.end") > F.lit(began)) & (F.col("window.start") <= F.lit(ended))
+    return spark.read.parquet(out).groupBy("sentiment").agg(
+        F.sum("count").alias("count"), F.bool_and(F.col("inside") & around).alias("timely")
+    )
 
 
 def base_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -504,12 +672,21 @@ def base_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def result_listing(spark: SparkSession, sf: str) -> DataFrame:
-    """Folders of a results area holding one run per ship month."""
+    """Result files of an area with a run for each ship month, by folder and file name.
+
+    Beside each CSV part lies a JSON summary, which the suffix leaves out.
+    """
     path = scratch_dir(spark, "runs")
     month = F.date_trunc("month", F.col("l_shipdate"))
     log = run_log(spark, sf).withColumn("run", run_stamp(month)).drop("l_shipdate")
+    log = log.repartition("run")
     log.write.partitionBy("run").option("header", True).csv(path)
-    return list_results(spark, path).select("folder").distinct()
+    log.groupBy("run").agg(F.count("*").alias("n")).write.mode("append").partitionBy("run").json(path)
+    shape = F.regexp_extract("file_name", r"^(part)-\d+-[0-9a-f-]+.*(\.[a-z]+)$", 1)
+    suffix = F.regexp_extract("file_name", r"(\.[a-z]+)$", 1)
+    return list_results(spark, path).groupBy("folder", shape.alias("shape"), suffix.alias("suffix")).agg(
+        F.count_distinct("file_name").alias("files")
+    )
 
 
 def bench_rows(places: tuple[int, int, int] | None = None) -> Query:
@@ -604,7 +781,17 @@ def queries() -> dict[str, Query]:
         "stream_triggers": stream_triggers,
         "arrival_labels": arrival_labels,
         "base_names": base_names,
-        "first_rows": lambda s, sf: table(s, sf, "documents").orderBy("doc_id").limit(20),
+        "first_rows": lambda s, sf: first_rows(table(s, sf, "documents"), 20, ["doc_id"]),
+        "schema_report": schema_rows,
+        "prefix_in_files": prefix_in_files,
+        "messages_fitting": messages_fitting,
+        "messages_unfit": messages_unfit,
+        "stream_one_parse": stream_one_parse,
+        "stream_rates": stream_rates,
+        "stream_windows_ending": stream_windows_ending,
+        "stream_late_rows": stream_late_rows,
+        "saved_by_day": saved_by_day,
+        "latest_files_by_time": latest_files_by_time,
         "recent_top_words": recent_words,
         "word_trend_long": trend_long,
         "trend_wide": trend_wide,
@@ -732,6 +919,27 @@ def sql_series(metric: str) -> str:
     return f"SELECT size, {columns} FROM ({sql_bench()}) GROUP BY size"
 
 
+# Every tenth message comes two files late; a window is late in a file if it ended a minute
+# before the newest time in the files before the last one.
+SQL_LATE = f"""
+WITH sent AS (
+    SELECT lang AS sentiment, ts, due + CASE WHEN doc_id % 10 = 3 THEN 2 ELSE 0 END AS part
+    FROM (SELECT *, timestamp '2024-01-01 00:00:00' + doc_id * interval {SECONDS_APART} seconds AS ts,
+                 doc_id * 4 // (SELECT max(doc_id) + 1 FROM documents) AS due FROM {SQL_SENT})
+), limits AS (
+    SELECT p.part, max(ts) - interval 1 minute AS mark
+    FROM (SELECT DISTINCT part FROM sent) p LEFT JOIN sent ON sent.part <= p.part - 2 GROUP BY p.part
+), windows AS (
+    SELECT part, sentiment,
+           time_bucket(interval 20 seconds, ts, {ANCHOR}) - k * interval 20 seconds AS window_start
+    FROM sent, range(0, 3) r(k)
+)
+SELECT window_start, window_start + interval 60 seconds AS window_end, sentiment,
+       count(*) AS count, coalesce(window_start + interval 60 seconds <= mark, false) AS late
+FROM windows JOIN limits USING (part) GROUP BY ALL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     t1_lines = sql_words(
         "ws_alpha", source=f"{SQL_LINES} WHERE line <> ''", text="split_part(line, ',', 1)"
@@ -822,7 +1030,7 @@ def oracle_sql() -> dict[str, str]:
         f"({labels_of_sent} GROUP BY lang) UNION ALL SELECT 'word', word, count "
         f"FROM ({words_of_sent})",
         "stream_triggers": f"{labels_of_sent} GROUP BY lang",
-        "arrival_labels": f"{labels_of_sent} GROUP BY lang",
+        "arrival_labels": f"SELECT *, true AS timely FROM ({labels_of_sent} GROUP BY lang)",
         "base_names": "SELECT page_id, regexp_extract(url, '[^/]*$') AS name FROM pages",
         "first_rows": "SELECT * FROM documents ORDER BY doc_id LIMIT 20",
         "recent_top_words": top_words,
@@ -840,7 +1048,27 @@ def oracle_sql() -> dict[str, str]:
         "latest_files": "SELECT event_id, event_type FROM events WHERE ts::DATE IN "
         "(SELECT DISTINCT ts::DATE AS day FROM events ORDER BY day DESC LIMIT 5)",
         "result_listing": "SELECT DISTINCT 'run=' || strftime(date_trunc('month', l_shipdate), "
-        "'%Y%m%d_%H%M%S') AS folder FROM lineitem",
+        "'%Y%m%d_%H%M%S') AS folder, 'part' AS shape, '.csv' AS suffix, 1::BIGINT AS files "
+        "FROM lineitem",
+        "schema_report": "SELECT position, column_name AS name, lower(replace(column_type, "
+        "'VARCHAR', 'string')) AS type FROM (SELECT row_number() OVER ()::INTEGER AS position, * "
+        "FROM (DESCRIBE documents))",
+        "prefix_in_files": f"SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT {SAMPLE_SIZE}",
+        "messages_fitting": f"SELECT doc_id, text AS review, lang AS sentiment, {sent} AS created_at "
+        f"FROM {SQL_SENT} WHERE doc_id % 7 <> 0",
+        "messages_unfit": "SELECT left(value, length(value) - 20) AS unparsed, count(*) AS count FROM "
+        "(SELECT to_json({'review': text, 'sentiment': lang, "
+        f"'created_at': {sent}}})::VARCHAR AS value FROM {SQL_SENT} WHERE doc_id % 7 = 0) GROUP BY 1",
+        "stream_one_parse": "SELECT 'label' AS kind, NULL::TIMESTAMP AS window_start, sentiment AS key, "
+        f"count FROM ({labels_of_sent} GROUP BY lang) UNION ALL "
+        f"SELECT 'word', window_start, word, count FROM ({w60_20})",
+        "stream_rates": "SELECT (doc_id % 4)::INTEGER AS batch, count(*) AS rows, true AS agrees, "
+        f"(SELECT count(*) FROM {SQL_SENT}) AS total FROM {SQL_SENT} GROUP BY 1",
+        "stream_windows_ending": w60_20,
+        "stream_late_rows": SQL_LATE,
+        "saved_by_day": f"SELECT * FROM ({sql_windows(SQL_EVENTS, 'sentiment', 30, 30, SQL_EVENTS)}) "
+        "WHERE window_start::DATE - (SELECT min(ts)::DATE FROM events) IN (2, 3)",
+        "latest_files_by_time": "SELECT event_id, event_type FROM events WHERE event_id % 5 IN (1, 2)",
         "bench_metrics": sql_bench(),
         "bench_metrics_coarse": sql_bench(*COARSE_PLACES),
         "bench_saved": sql_bench(),

@@ -11,7 +11,7 @@ from termtide.functions.stopwords import LISTS
 from termtide.functions.words import RULES
 from termtide.operators.benchmarks import bench_metrics, bench_series, run_summary
 from termtide.operators.counts import label_counts, label_share, total_count
-from termtide.operators.ranking import by_count, top_k
+from termtide.operators.ranking import by_count, first_rows, top_k
 from termtide.operators.tokens import drop_stop_words
 from termtide.plans import live
 from termtide.plans.batch import line_words, review_words, timing_sweep
@@ -20,6 +20,7 @@ from termtide.sinks.streams import await_idle, to_console
 from termtide.sinks.tables import (
     result_path,
     save_messages,
+    schema_report,
     send_reviews,
     summary_path,
     write_bench_results,
@@ -56,8 +57,8 @@ def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     table = reviews_table(spark, args)
-    table.show(5)
-    table.printSchema()
+    first_rows(table, 5).show()
+    schema_report(table).show(len(table.columns), truncate=False)
 
 
 def words(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -107,10 +108,11 @@ def send(spark: SparkSession, args: argparse.Namespace) -> None:
 def watch(spark: SparkSession, args: argparse.Namespace) -> None:
     stream = messages(spark, args)
     if args.kind == "analysis":
-        live.words_and_labels(stream, args.checkpoint, bounded=args.bounded)
+        out = args.out or f"{args.checkpoint}/tables"
+        live.words_and_labels(stream, out, f"{args.checkpoint}/offsets", bounded=args.bounded)
     elif args.kind == "broker-words":
-        result = by_count(reviews.words_by_broker_time(stream))
-        to_console(result, args.checkpoint, every=reviews.EVERY_FAST, bounded=args.bounded)
+        out = args.out or f"{args.checkpoint}/tables"
+        live.broker_words(stream, out, f"{args.checkpoint}/offsets", bounded=args.bounded)
     elif args.kind == "labels":
         result = reviews.running_labels(stream, normalize=args.normalize)
         to_console(result, args.checkpoint, bounded=args.bounded)
@@ -120,9 +122,9 @@ def watch(spark: SparkSession, args: argparse.Namespace) -> None:
         result = top_k(reviews.running_words(stream, LISTS[args.stop]))
         to_console(result, args.checkpoint, rows=10, bounded=args.bounded)
     elif args.kind == "save-words":
-        live.save_words(stream, args.out, args.checkpoint, args.bounded)
+        live.save_words(stream, args.out, args.checkpoint, args.bounded, args.by_day)
     else:
-        live.save_labels(stream, args.out, args.checkpoint, args.bounded)
+        live.save_labels(stream, args.out, args.checkpoint, args.bounded, args.by_day)
     if args.bounded:
         for query in spark.streams.active:
             query.awaitTermination()
@@ -197,11 +199,12 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--stop", choices=list(LISTS), default="stop7")
     sub.add_argument("--out")
     sub.add_argument("--bounded", action="store_true")
+    sub.add_argument("--by-day", action="store_true", help="save windows in a folder a day")
     sub = job(report)
     sub.add_argument("path")
     sub.add_argument("--files", type=int, default=5)
     sub.add_argument("--top", type=int, default=10)
-    sub.add_argument("--by", choices=["mtime", "name"], default="mtime")
+    sub.add_argument("--by", choices=["mtime", "name", "batch"], default="mtime")
     return main
 
 

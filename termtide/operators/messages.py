@@ -50,6 +50,36 @@ def parse_messages(
     return raw.select(data.alias("data"), *keep).select("data.*", *keep)
 
 
+def checked_messages(
+    raw: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """`parse_messages` with `unparsed`: the text of a message that does not fit the schema.
+
+    It is NULL for messages that do. A message that is NULL, blank or not an object does not fit;
+    fields that could be read are kept beside the text.
+    """
+    text = F.col("value").cast("string")
+    marked = T.StructType([*schema.fields, T.StructField("unparsed", T.StringType())])
+    data = F.from_json(text, marked, {"columnNameOfCorruptRecord": "unparsed"})
+    parsed = raw.select(text.alias("value"), data.alias("data"), *keep)
+    # Where nothing can be read the whole struct may be NULL.
+    is_object = F.coalesce(F.ltrim("value"), F.lit("")).startswith("{")
+    unparsed = F.when(is_object & F.col("data").isNotNull(), F.col("data.unparsed"))
+    unparsed = unparsed.otherwise(F.coalesce("value", F.lit("")))
+    fields = [F.col(f"data.`{name}`").alias(name) for name in schema.names]
+    return parsed.select(*fields, unparsed.alias("unparsed"), *keep)
+
+
+def fitting(checked: DataFrame) -> DataFrame:
+    """The messages that fit, without `unparsed`."""
+    return checked.where("unparsed IS NULL").drop("unparsed")
+
+
+def unfit(checked: DataFrame) -> DataFrame:
+    """How often each text came that does not fit, `(unparsed, count)`."""
+    return checked.where("unparsed IS NOT NULL").groupBy("unparsed").count()
+
+
 def with_event_time(df: DataFrame, source: str = "created_at") -> DataFrame:
     """Add `event_time`, parsed from a text column."""
     return df.withColumn("event_time", event_time(F.col(source)))

@@ -27,6 +27,11 @@ def top_k(counts: DataFrame, k: int = 10, ties: Sequence[str] = ("word",)) -> Da
     return by_count(counts, ties).limit(k)
 
 
+def first_rows(df: DataFrame, n: int = 5, by: Sequence[str] = ()) -> DataFrame:
+    """The first n rows in the order of the `by` columns, for showing; without `by`, any n."""
+    return (df.orderBy(*by) if by else df).limit(n)
+
+
 def nth_key(keys: DataFrame, key: str, n: int) -> int | float | None:
     """The n-th smallest value of a numeric column, or None if it has fewer.
 

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from time import monotonic, sleep
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from termtide.sinks.ledger import EVERY, Kept, Ledger
+
+COUNTS, WINDOWS, RATES = "counts", "windows", "rates"
+RATES_KEPT = Kept(("number", "read_at", "seconds"), "last")
+# Markers of snapshots lie in so many places.
+MARKERS = 16
+
 
 def _timed(writer: DataStreamWriter, every: str | None, bounded: bool) -> DataStreamWriter:
     if bounded:
@@ -27,36 +34,63 @@ def to_console(
 ) -> StreamingQuery:
     """Print the first rows of each result, untruncated.
 
-    The console sink brings a whole result to the driver before it prints a part, so a
-    complete result is limited to the printed rows on the executors.
+    The console sink brings a whole result to the driver before it prints a part, so results are
+    limited to the printed rows on the executors, in every mode.
     """
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        # All of the batch is computed, since its state is saved in passing.
+        batch = batch.persist()
+        print(f"Batch: {batch_id}, {batch.count()} rows")
+        batch.limit(rows).show(rows, truncate=False)
+        batch.unpersist()
+
     if mode == "complete":
-        result = result.limit(rows)
-    writer = result.writeStream.format("console").outputMode(mode)
-    writer = writer.option("truncate", False).option("numRows", rows)
+        writer = result.limit(rows).writeStream.format("console")
+        writer = writer.option("truncate", False).option("numRows", rows)
+    else:
+        writer = result.writeStream.foreachBatch(show)
+    writer = writer.outputMode(mode)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     return _timed(writer, every, bounded).start()
 
 
 def to_parquet(
-    result: DataFrame, path: str, checkpoint: str, every: str | None = None, bounded: bool = False
+    result: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    bounded: bool = False,
+    by_day: bool = False,
 ) -> StreamingQuery:
-    """Append finished rows to a folder, exactly once through the sink's commit log."""
+    """Append finished rows to a folder, exactly once through the sink's commit log.
+
+    `by_day` puts windows in a folder for each day on which they start, so that readers of some
+    days leave out the others.
+    """
+    if by_day:
+        result = result.withColumn("day", F.to_date("window.start"))
     writer = result.writeStream.format("parquet").outputMode("append")
+    if by_day:
+        writer = writer.partitionBy("day")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     return _timed(writer, every, bounded).start()
 
 
 def _mark_done(spark: SparkSession, path: str, batch_id: int) -> None:
-    """A marker beside the results, written once a batch is complete."""
+    """A marker beside the results, written once a batch is complete.
+
+    Markers take the places of older ones, so their number does not grow.
+    """
     spark.range(batch_id, batch_id + 1, 1, 1).write.mode("overwrite").parquet(
-        f"{path}.done/marker={batch_id}"
+        f"{path}.done/marker={batch_id % MARKERS}"
     )
 
 
 def _done(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}.done").select(F.col("id").alias("batch"))
+    reader = spark.read.schema("id bigint").option("ignoreMissingFiles", True)
+    return reader.parquet(f"{path}.done").select(F.col("id").alias("batch"))
 
 
 def _drop_folder(spark: SparkSession, path: str) -> None:
@@ -100,42 +134,128 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def to_changes(
-    result: DataFrame, path: str, checkpoint: str, every: str | None = None, bounded: bool = False
+    result: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    every: str | None = None,
+    bounded: bool = False,
+    merge_every: int = EVERY,
 ) -> StreamingQuery:
-    """Write only the rows that changed at each trigger, one folder per batch.
+    """Keep the counts of an update-mode query, writing only what changed at each trigger.
 
-    For counts over a large vocabulary, where writing the whole result each time costs
-    more than the new rows do. A repeated batch overwrites its own folder.
+    For counts over a large vocabulary, where writing the whole result each time costs more than
+    the new rows do. Every `merge_every` batches the changes are merged into a base.
     """
+    ledger = Ledger(result.sparkSession, path, {COUNTS: Kept(tuple(keys), "last")}, merge_every)
+    writer = result.writeStream.outputMode("update")
+    writer = writer.foreachBatch(lambda rows, batch: ledger.write(batch, {COUNTS: rows}))
+    return _timed(writer.option("checkpointLocation", checkpoint), every, bounded).start()
+
+
+def read_changes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The current count of each key: the one its last complete change wrote."""
+    return Ledger(spark, path, {COUNTS: Kept(tuple(keys), "last")}).read(COUNTS)
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        _mark_done(batch.sparkSession, path, batch_id)
+
+def to_windows(
+    result: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    delay: str,
+    every: str | None = None,
+    bounded: bool = False,
+    merge_every: int = EVERY,
+    then: Callable[[DataFrame], None] | None = None,
+) -> StreamingQuery:
+    """Keep windowed counts of an update-mode query whose watermark lags by `delay`.
+
+    Spark drops the state of a window when the watermark passes it; its rows then move to a table
+    partitioned by day and are not written again. `then` gets the whole table after each batch.
+    """
+    ledger = window_ledger(result.sparkSession, path, keys, delay, merge_every)
+
+    def save(rows: DataFrame, batch: int) -> None:
+        ledger.write(batch, {WINDOWS: rows})
+        if then:
+            then(ledger.read(WINDOWS))
 
     writer = result.writeStream.outputMode("update").foreachBatch(save)
-    writer = writer.option("checkpointLocation", checkpoint)
-    return _timed(writer, every, bounded).start()
+    return _timed(writer.option("checkpointLocation", checkpoint), every, bounded).start()
 
 
-def read_changes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current count of each key: the one its last complete change wrote."""
-    newest = _done(spark, path).agg(F.max("batch")).first()[0]
-    changes = spark.read.parquet(path).where(F.col("batch") <= newest)
-    return changes.groupBy(*keys).agg(F.max_by("count", "batch").alias("count"))
+def window_ledger(
+    spark: SparkSession, path: str, keys: Sequence[str], delay: str, merge_every: int = EVERY
+) -> Ledger:
+    """The ledger behind `to_windows`, for reading."""
+    return Ledger(spark, path, {WINDOWS: Kept(("window", *keys), "last", delay)}, merge_every)
+
+
+def to_tables(
+    stream: DataFrame,
+    ledger: Ledger,
+    results: Mapping[str, Callable[[DataFrame], DataFrame]],
+    checkpoint: str,
+    time: str | None = None,
+    every: str | None = None,
+    bounded: bool = False,
+    then: Callable[[Ledger], None] | None = None,
+) -> StreamingQuery:
+    """Write several results of one stream, each batch read and parsed once.
+
+    Each result is a function from a batch's rows to its own counts; the ledger adds them up, so
+    no state is kept besides its tables. The batch is stored while they are computed, and one
+    mark completes all of them. `time` names the event time that watermarks follow. The table
+    `RATES`, if the ledger has it, gets a row for each batch. `then` is called after it.
+    """
+    read_at = [monotonic()]
+
+    def save(rows: DataFrame, batch: int) -> None:
+        rows = rows.persist()
+        newest = F.unix_micros(F.max(time)) if time else F.lit(None)
+        size, seen = rows.agg(F.count("*"), newest).first()
+        made = {name: result(rows) for name, result in results.items()}
+        if RATES in ledger.tables:
+            read_at.append(monotonic())
+            made[RATES] = _rate(rows.sparkSession, batch, size, read_at[1] - read_at.pop(0))
+        try:
+            ledger.write(batch, made, size, seen)
+        finally:
+            rows.unpersist()
+        if then:
+            then(ledger)
+
+    writer = stream.writeStream.outputMode("append").foreachBatch(save)
+    return _timed(writer.option("checkpointLocation", checkpoint), every, bounded).start()
+
+
+def _rate(spark: SparkSession, batch: int, rows: int, seconds: float) -> DataFrame:
+    """A row for the rate table: rows of a batch, and the seconds since the one before was read.
+
+    For the first batch of a run they count from the start of the query.
+    """
+    made = spark.range(1).select(
+        F.lit(batch).cast("bigint").alias("number"),
+        F.current_timestamp().alias("read_at"),
+        F.lit(float(seconds)).alias("seconds"),
+        F.lit(rows).cast("bigint").alias("count"),
+    )
+    return made.coalesce(1)
 
 
 def await_idle(query: StreamingQuery, idle_seconds: float = 5.0, poll_seconds: float = 0.5) -> None:
     """Stop a query once no rows have arrived for a while, as a bounded read of a topic."""
-    quiet_since = time.monotonic()
+    quiet_since = monotonic()
     seen = None
-    while query.isActive and time.monotonic() - quiet_since < idle_seconds:
+    while query.isActive and monotonic() - quiet_since < idle_seconds:
         progress = query.lastProgress
         batch = progress["batchId"] if progress else None
         busy = query.status["isTriggerActive"] and query.status["isDataAvailable"]
         if busy or (batch != seen and progress["numInputRows"] > 0):
-            quiet_since = time.monotonic()
+            quiet_since = monotonic()
         seen = batch
-        time.sleep(poll_seconds)
+        sleep(poll_seconds)
     if query.exception():
         raise query.exception()
     query.stop()

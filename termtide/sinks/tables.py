@@ -52,6 +52,7 @@ def save_messages(reviews: DataFrame, path: str) -> None:
     build_messages(reviews).write.mode("append").text(path)
 
 
-def schema_report(df: DataFrame) -> list[tuple[str, str]]:
-    """Column names and types."""
-    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+def schema_report(df: DataFrame) -> DataFrame:
+    """`(position, name, type)` of the columns, as a table."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(rows, "position int, name string, type string")

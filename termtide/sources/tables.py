@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from termtide.functions.text import base_name, strip
 
@@ -169,9 +172,73 @@ def read_lines(spark: SparkSession, path: str, header: str | None = None) -> Dat
     return lines.select("line").where("line <> ''")
 
 
-def read_windowed(spark: SparkSession, path: str) -> DataFrame:
-    """Saved windowed counts. Reading the folder honours the stream sink's commit log."""
-    return spark.read.parquet(path)
+def read_windowed(
+    spark: SparkSession,
+    path: str,
+    since: datetime.date | None = None,
+    until: datetime.date | None = None,
+) -> DataFrame:
+    """Saved windowed counts. Reading the folder honours the stream sink's commit log.
+
+    `since` and `until`, both included, keep windows that start on such days. A table that was
+    saved by day has a column `day` and is read for these days only.
+    """
+    saved = spark.read.parquet(path)
+    by_day = "day" in saved.columns
+    day = F.col("day") if by_day else F.to_date("window.start")
+    if since:
+        saved = saved.where(day >= F.lit(since))
+    if until:
+        saved = saved.where(day <= F.lit(until))
+    return saved.drop("day") if by_day else saved
+
+
+def join_small_files(spark: SparkSession, path: str, joined: str, before: datetime.date) -> None:
+    """Copy the days before a date of a table saved by day to `joined`, in few files a day.
+
+    A stream leaves a file for each task and trigger. Days that `joined` has are not read again,
+    and a copy that failed is simply repeated: a day's folder is replaced as a whole.
+    """
+    saved = spark.read.parquet(path).where(F.col("day") < F.lit(before))
+    done = days_of(spark, joined)
+    if done:
+        saved = saved.where(~F.col("day").isin(done))
+    # One task writes a day, or a part of it where that is large.
+    writer = saved.hint("rebalance", "day").write.mode("overwrite").partitionBy("day")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(joined)
+
+
+def days_of(spark: SparkSession, path: str) -> list[datetime.date]:
+    """Days that a table saved by day holds, from the names of its files; none without a table."""
+    try:
+        files = list_files(spark, path, "*.parquet")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return []
+        raise
+    day = F.to_date(F.regexp_extract("path", "/day=([0-9-]+)/", 1))
+    return sorted(row.day for row in files.select(day.alias("day")).distinct().collect())
+
+
+def read_joined(
+    spark: SparkSession,
+    path: str,
+    joined: str,
+    since: datetime.date | None = None,
+    until: datetime.date | None = None,
+) -> DataFrame:
+    """A table saved by day, of which `join_small_files` has copied some days."""
+    done = days_of(spark, joined)
+    if not done:
+        return read_windowed(spark, path, since, until)
+    rest = spark.read.parquet(path).where(~F.col("day").isin(done))
+    copied = spark.read.schema(rest.schema).parquet(joined).where(F.col("day").isin(done))
+    both = copied.unionByName(rest)
+    if since:
+        both = both.where(F.col("day") >= F.lit(since))
+    if until:
+        both = both.where(F.col("day") <= F.lit(until))
+    return both.drop("day")
 
 
 def read_bench_results(spark: SparkSession, path: str) -> DataFrame:
@@ -184,36 +251,97 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SUMMARY_SCHEMA).json(path)
 
 
-def latest_files(table: DataFrame, n: int = 5, by: str = "mtime") -> DataFrame:
-    """Rows of the n newest files of a file-based table.
+def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """`(path, modified, bytes)` of the files below a path; none of them is opened."""
+    found = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .load(path)
+    )
+    return found.select(
+        "path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes")
+    )
+
+
+def sink_files(spark: SparkSession, path: str) -> DataFrame:
+    """`(path, modified, bytes, batch, line)` of the files a stream has committed to a folder.
+
+    Read from the sink's commit log. A log file that merges earlier ones keeps their order in its
+    lines and stands for its own batch, so files sort by batch and line. Spark's file sources pass
+    over this folder as hidden, hence the RDD; each log file is one of its rows.
+    """
+    entry = "path string, size bigint, modificationTime bigint, action string"
+    logs = spark.sparkContext.wholeTextFiles(f"{path.rstrip('/')}/_spark_metadata/[0-9]*")
+    logs = spark.createDataFrame(logs, "log string, content string")
+    lines = logs.select(
+        F.regexp_extract(base_name(F.col("log")), "^([0-9]+)", 1).cast("bigint").alias("batch"),
+        F.posexplode(F.split("content", "\n")).alias("line", "value"),
+    )
+    files = lines.where(F.col("value").startswith("{")).select(
+        "batch", "line", F.from_json("value", entry).alias("file")
+    )
+    # The earliest log file that holds a file tells its batch best.
+    found = files.where("file.action = 'add'").groupBy(F.col("file.path").alias("path")).agg(
+        F.timestamp_millis(F.min("file.modificationTime")).alias("modified"),
+        F.min("file.size").alias("bytes"),
+        F.min(F.struct("batch", "line")).alias("place"),
+    )
+    return found.select("path", "modified", "bytes", "place.batch", "place.line")
+
 
-    `by="mtime"` orders by modification time, `by="name"` by path. The n paths are looked
-    up first, from file metadata alone; as literals they let the scan skip other files.
+def newest_files(
+    spark: SparkSession, path: str, n: int = 5, by: str = "mtime", pattern: str = "*.parquet"
+) -> list[str]:
+    """Paths of the n newest files of a folder, newest first, from listings alone.
+
+    `by="mtime"` orders by modification time, `by="name"` by path, and `by="batch"` by the batch
+    of the stream that wrote the folder; ties go by path.
     """
     orders = {
         "mtime": [F.desc("modified"), F.desc("path")],
         "name": [F.desc("path")],
+        "batch": [F.desc("batch"), F.desc("line"), F.desc("path")],
     }
     if by not in orders:
         raise ValueError(f"by must be one of {sorted(orders)}")
-    files = table.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_modification_time").alias("modified"),
-    ).distinct()
-    newest = [row.path for row in files.orderBy(*orders[by]).limit(n).collect()]
-    return table.where(F.col("_metadata.file_path").isin(newest))
+    files = sink_files(spark, path) if by == "batch" else list_files(spark, path, pattern)
+    return [row.path for row in files.orderBy(*orders[by]).limit(n).collect()]
+
+
+def latest_files(
+    spark: SparkSession, path: str, n: int = 5, by: str = "mtime", pattern: str = "*.parquet"
+) -> DataFrame:
+    """Rows of the n newest Parquet files of a folder; no other file is opened."""
+    newest = newest_files(spark, path, n, by, pattern)
+    if not newest:
+        return spark.read.parquet(path).limit(0)
+    return spark.read.option("basePath", path).parquet(*newest)
+
+
+def first_in_files(table: DataFrame, size: int) -> DataFrame:
+    """The first `size` records of a Parquet table, in the order of its paths and rows.
+
+    A record's number is its row index in the file and the rows of the files before it. Counts
+    per file, one row each, tell the file of the cut; as literals its path and the rest let the
+    scan skip what lies beyond. No key is needed and nothing is sorted but the counts.
+    """
+    if size <= 0:
+        return table.limit(0)
+    path, index = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    counts = table.groupBy(path.alias("path")).agg(F.count("*").alias("rows"))
+    # One row per file.
+    before = W.orderBy("path").rowsBetween(W.unboundedPreceding, -1)
+    placed = counts.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    cut = placed.where(F.col("before") < size).orderBy(F.desc("path")).first()
+    if cut is None:
+        return table.limit(0)
+    return table.where((path < cut.path) | ((path == cut.path) & (index < size - cut.before)))
 
 
 def list_results(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
     """`(folder, file_name, path)` of the files below a path that end in `suffix`."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path")
-    )
-    return found.select(
+    return list_files(spark, path, f"*{suffix}").select(
         F.element_at(F.split("path", "/"), -2).alias("folder"),
         base_name(F.col("path")).alias("file_name"),
         "path",

@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame
 from termtide.functions.stopwords import STOP7, STOP11
 from termtide.operators.counts import label_counts, total_count, word_count
 from termtide.operators.messages import (
+    checked_messages,
     parse_messages,
+    unfit,
     with_arrival_time,
     with_broker_time,
     with_event_time,
 )
 from termtide.operators.tokens import drop_stop_words, tokenize
 from termtide.operators.windows import slide_panes, windowed_count
+from termtide.sinks.ledger import Kept
 
 DELAY = "1 minute"
 EVERY_FAST, EVERY_LABELS, EVERY_SAVED = "5 seconds", "10 seconds", "60 seconds"
@@ -31,6 +34,32 @@ def words_at_event_time(messages: DataFrame) -> DataFrame:
     return drop_stop_words(tokenize(timed, "review", "nonword", keep=["event_time"]), STOP11)
 
 
+def timed_messages(messages: DataFrame) -> DataFrame:
+    """Parsed messages with `event_time` from `created_at` and `unparsed` where they do not fit."""
+    return with_event_time(checked_messages(messages))
+
+
+def words_in_windows(timed: DataFrame) -> DataFrame:
+    """`words_by_event_time` of messages that are parsed already, without a watermark."""
+    words = tokenize(timed, "review", "nonword", keep=["event_time"])
+    words = drop_stop_words(words, STOP11)
+    return windowed_count(words, "event_time", ["word"], "60 seconds", "20 seconds")
+
+
+def labels_in_windows(timed: DataFrame, label: str = "sentiment") -> DataFrame:
+    """Labels of parsed messages in 60-second windows every 20 seconds."""
+    return windowed_count(timed, "event_time", [label], "60 seconds", "20 seconds")
+
+
+# Results of one parsed stream, and how a ledger keeps them.
+ANALYSIS = {"words": words_in_windows, "labels": label_counts, "unfit": unfit}
+ANALYSIS_KEPT = {
+    "words": Kept(("window", "word"), delay=DELAY),
+    "labels": Kept(("sentiment",)),
+    "unfit": Kept(("unparsed",)),
+}
+
+
 def words_at_broker_time(messages: DataFrame) -> DataFrame:
     """`(word, event_time)` on the broker's time, case kept."""
     return tokenize(with_broker_time(messages), "review", "nonword_cased", keep=["event_time"])
@@ -42,10 +71,10 @@ def words_by_event_time(messages: DataFrame) -> DataFrame:
     return windowed_count(words, "event_time", ["word"], "60 seconds", "20 seconds", DELAY)
 
 
-def words_by_broker_time(messages: DataFrame) -> DataFrame:
+def words_by_broker_time(messages: DataFrame, watermark: str | None = None) -> DataFrame:
     """30-second windows every 10 seconds on the broker's time."""
     words = words_at_broker_time(messages)
-    return windowed_count(words, "event_time", ["word"], "30 seconds", "10 seconds")
+    return windowed_count(words, "event_time", ["word"], "30 seconds", "10 seconds", watermark)
 
 
 def panes(words: DataFrame, slide: str) -> DataFrame:

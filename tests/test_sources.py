@@ -1,6 +1,7 @@
 """Readers and writers, round trips through files."""
 
 import csv
+import datetime
 import io
 import os
 import time
@@ -29,14 +30,22 @@ from termtide.sinks.tables import (
 )
 from termtide.sources.streams import kafka_options
 from termtide.sources.tables import (
+    days_of,
+    first_in_files,
+    join_small_files,
     latest_files,
+    list_files,
     list_results,
+    newest_files,
     read_bench_results,
     read_csv,
     read_csv_split,
+    read_joined,
     read_lines,
     read_summary,
     read_tsv,
+    read_windowed,
+    sink_files,
 )
 
 
@@ -112,7 +121,9 @@ def test_tsv(spark, tmp_path):
     path = save(f"{tmp_path}/r.tsv", 'id\tbody\n1\ta "b" c\n2\t"q\n')
     table = read_tsv(spark, path, quote="")
     assert [tuple(r) for r in table.collect()] == [("1", 'a "b" c'), ("2", '"q')]
-    assert schema_report(table) == [("id", "string"), ("body", "string")]
+    assert [tuple(r) for r in schema_report(table).orderBy("position").collect()] == [
+        (1, "id", "string"), (2, "body", "string"),
+    ]
     assert read_tsv(spark, path).columns == ["id", "body"]
 
 
@@ -132,28 +143,100 @@ def test_latest_files(spark, folder):
     for n in range(8):
         spark.range(n * 10, n * 10 + 10).coalesce(1).write.mode("append").parquet(folder)
         time.sleep(0.02)
-    table = spark.read.parquet(folder)
-    newest = latest_files(table, 5)
+    newest = latest_files(spark, folder, 5)
     assert sorted(r.id for r in newest.collect()) == list(range(30, 80))
-    by_name = latest_files(table, 5, by="name")
-    names = sorted(r[0] for r in table.select("_metadata.file_path").distinct().collect())[-5:]
-    assert sorted(
-        r[0] for r in by_name.select("_metadata.file_path").distinct().collect()
-    ) == names
-    assert latest_files(table, 50).count() == 80
+    # Times set by hand, against the order in which the files were written.
+    files = sorted(os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet"))
+    for age, path in enumerate(files):
+        os.utime(path, (1_700_000_000 - age, 1_700_000_000 - age))
+    by_time, by_name = newest_files(spark, folder, 3), newest_files(spark, folder, 3, "name")
+    assert [os.path.basename(p) for p in by_time] == [os.path.basename(p) for p in files[:3]]
+    assert [os.path.basename(p) for p in by_name] == [os.path.basename(p) for p in files[:-4:-1]]
+    assert latest_files(spark, folder, 50).count() == 80
     with pytest.raises(ValueError):
-        latest_files(table, 5, by="size")
+        latest_files(spark, folder, 5, by="size")
 
 
 def test_latest_files_skips_the_others(spark, folder):
     spark.range(80).repartition(8).write.parquet(folder)
-    newest = latest_files(spark.read.parquet(folder), 2)
+    newest = latest_files(spark, folder, 2)
     newest.collect()
     scans = newest._jdf.queryExecution().executedPlan().collectLeaves()
     files = [scans.apply(n).metrics().apply("numFiles").value() for n in range(scans.size())]
     assert files == [2]
 
 
+def test_listing_reads_no_data(spark, folder):
+    spark.range(80).repartition(3).write.parquet(folder)
+    listed = list_files(spark, folder, "*.parquet")
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+    sizes = {os.path.join(folder, f): os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder)}
+    got = {r.path.removeprefix("file:"): r.bytes for r in listed.collect()}
+    assert len(got) == 3 and all(sizes[path] == size for path, size in got.items())
+
+
+def test_files_of_a_stream_by_batch(spark, tmp_path):
+    """Also where the sink has merged its log; files no batch has committed are left out."""
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n in range(13):
+        path = save(f"{inbox}/{n}.txt", f"row{n}\n")
+        os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(inbox)
+    writer = stream.writeStream.format("parquet").option("path", out)
+    writer.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert any(f.endswith(".compact") for f in os.listdir(f"{out}/_spark_metadata"))
+    spark.createDataFrame([("stray",)], "value string").write.mode("append").parquet(out + "2")
+    stray = next(f for f in os.listdir(out + "2") if f.endswith(".parquet"))
+    os.link(f"{out}2/{stray}", f"{out}/{stray}")
+    assert sink_files(spark, out).count() == 13
+    for n in (1, 3, 13):
+        got = latest_files(spark, out, n, by="batch")
+        assert sorted(r.value for r in got.collect()) == sorted(f"row{k}" for k in range(13 - n, 13))
+
+
+def test_first_in_files(spark, folder):
+    """As a slice of all records in the order of files, without a key."""
+    spark.range(1_000).withColumn("x", F.hash("id")).repartition(7).write.parquet(folder)
+    table = spark.read.parquet(folder)
+    files = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    every = [r.id for f in files for r in spark.read.parquet(f"{folder}/{f}").collect()]
+    for size in (0, 1, 143, 500, 999, 1_000, 5_000):
+        got = first_in_files(table, size)
+        assert sorted(r.id for r in got.collect()) == sorted(every[:size])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "Window" not in plan and "Exchange" not in plan
+    assert first_in_files(table.limit(0), 5).count() == 0
+
+
+def windows_of(spark, days):
+    rows = [(f"2024-01-0{d} 10:00:00", f"w{i}", i) for d in days for i in range(5)]
+    made = spark.createDataFrame(rows, "at string, word string, count bigint")
+    start = F.col("at").cast("timestamp")
+    return made.select(F.struct(start.alias("start"), start.alias("end")).alias("window"), "word", "count")
+
+
+def test_small_files_are_joined(spark, tmp_path):
+    saved, joined = str(tmp_path / "saved"), str(tmp_path / "joined")
+    for part in range(4):
+        made = windows_of(spark, [1, 2, 3]).withColumn("day", F.to_date("window.start"))
+        made.repartition(3).write.mode("append").partitionBy("day").parquet(saved)
+    whole = sorted(map(str, read_windowed(spark, saved).collect()))
+    assert sorted(map(str, read_joined(spark, saved, joined).collect())) == whole
+    for _ in range(2):
+        join_small_files(spark, saved, joined, datetime.date(2024, 1, 3))
+        assert days_of(spark, joined) == [datetime.date(2024, 1, 1), datetime.date(2024, 1, 2)]
+        assert list_files(spark, joined, "*.parquet").count() == 2
+        assert sorted(map(str, read_joined(spark, saved, joined).collect())) == whole
+    day = datetime.date(2024, 1, 2)
+    some = read_joined(spark, saved, joined, day, day)
+    assert some.count() == 20 and some.columns == ["window", "word", "count"]
+    assert "PartitionFilters: [isnotnull(day" in some._jdf.queryExecution().executedPlan().toString()
+    assert read_windowed(spark, saved, day).count() == 40
+    plain = str(tmp_path / "plain")
+    windows_of(spark, [1, 2]).write.parquet(plain)
+    assert read_windowed(spark, plain, day, day).count() == 5
+
+
 def test_results_and_summary(spark, tmp_path):
     log = spark.createDataFrame([(1000, 4, 0.12), (1000, 8, 0.1)], "size long, workers int, time_s double")
     for stamp in ("20240101_000000", "20240102_000000"):

@@ -20,6 +20,7 @@ from termtide.sinks.streams import (
     to_snapshots,
 )
 from termtide.sources.streams import message_files, table_files
+from termtide.sources.tables import read_windowed
 from termtide.streaming import reviews as R
 
 ROWS = [
@@ -101,8 +102,7 @@ def test_panes_equal_windows(spark, inbox, tmp_path):
 def test_changes_equal_batch(spark, inbox, tmp_path):
     out = str(tmp_path / "changes")
     result = R.running_words(message_files(spark, inbox, max_files_per_trigger=1))
-    to_changes(result, out, str(tmp_path / "c"), bounded=True).awaitTermination()
-    assert spark.read.parquet(out).select("batch").distinct().count() == 2
+    to_changes(result, out, str(tmp_path / "c"), ["word"], bounded=True).awaitTermination()
     got = read_changes(spark, out, ["word"])
     assert rows_of(got) == rows_of(R.running_words(static(spark, inbox)))
 
@@ -192,14 +192,13 @@ def test_arrival_time_jobs(spark, inbox, tmp_path):
     assert set(batch.columns) == {"window", "sentiment", "count"}
 
 
-def test_console_sorted_and_two_queries(spark, inbox, tmp_path):
+def test_console_sorted_and_one_stream(spark, inbox, tmp_path):
     stream = message_files(spark, inbox)
-    queries = live.words_and_labels(stream, str(tmp_path / "c"), bounded=True)
+    query = live.words_and_labels(stream, str(tmp_path / "t"), str(tmp_path / "c"), bounded=True)
     live.await_any(spark)
-    for query in queries:
-        query.awaitTermination()
-        assert query.exception() is None
-        assert query.recentProgress[0]["numInputRows"] == 6
+    query.awaitTermination()
+    assert query.exception() is None
+    assert query.recentProgress[0]["numInputRows"] == 6
     spark.streams.resetTerminated()
     result = by_count(R.words_by_broker_time(stream))
     to_console(result, str(tmp_path / "c2"), bounded=True).awaitTermination()
@@ -213,6 +212,27 @@ def test_await_idle_stops_a_quiet_query(spark, inbox, tmp_path):
     assert read_snapshot(spark, str(tmp_path / "o")).first().total == 6
 
 
+def test_saved_by_day(spark, small, tmp_path):
+    """Windows appended in a folder a day are read by day, and equal those saved without days."""
+    events = spark.read.parquet(f"{small}/events.parquet")
+
+    def saved(name, **kw):
+        stream = table_files(spark, f"{small}/events*.parquet", events.schema)
+        timed = stream.select(F.col("ts").cast("timestamp").alias("event_time"), "event_type")
+        out = str(tmp_path / name)
+        result = R.saved_labels(timed, "event_type")
+        to_parquet(result, out, str(tmp_path / f"c{name}"), bounded=True, **kw).awaitTermination()
+        return out
+
+    plain, by_day = saved("plain"), saved("days", by_day=True)
+    assert rows_of(read_windowed(spark, by_day)) == rows_of(read_windowed(spark, plain))
+    day = events.select(F.to_date(F.min("ts")) + 2).first()[0]
+    some = read_windowed(spark, by_day, day, day)
+    assert rows_of(some) == rows_of(read_windowed(spark, plain, day, day)) and some.count() > 0
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
 def test_saved_report(spark, inbox, tmp_path):
     timed = static(spark, inbox).select(
         F.lit("dog cat").alias("review"),
@@ -245,4 +265,3 @@ def test_only_complete_batches_are_read(spark, tmp_path):
         if batch == 0:
             _mark_done(spark, path, batch)
     assert [tuple(r) for r in read_snapshot(spark, path).collect()] == [("a", 1)]
-    assert [tuple(r) for r in read_changes(spark, path, ["word"]).collect()] == [("a", 1)]
