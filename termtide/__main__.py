@@ -20,7 +20,6 @@ from termtide.sinks.streams import await_idle, to_console
 from termtide.sinks.tables import (
     result_path,
     save_messages,
-    schema_report,
     send_reviews,
     summary_path,
     write_bench_results,
@@ -58,7 +57,7 @@ def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     table = reviews_table(spark, args)
     first_rows(table, 5).show()
-    schema_report(table).show(len(table.columns), truncate=False)
+    table.printSchema()
 
 
 def words(spark: SparkSession, args: argparse.Namespace) -> None:
