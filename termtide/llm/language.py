@@ -6,7 +6,7 @@ to its longest n-grams that are known anywhere, averaged, with a lower weight at
 A text's language has the highest mean score per word; the score is that language's share when
 the means are turned into probabilities.
 
-The model is fitted on at most `docs_per_lang` labelled documents of each language, chosen by a
+The model is fitted on about `docs_per_lang` labelled documents of each language, chosen by a
 hash of their ids, and holds every word and n-gram that these have twice or more, with the counts
 of all languages. The sample bounds its size, not the corpus. Prediction reads whole texts and all documents.
 
@@ -18,12 +18,12 @@ documents give one row each.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +36,8 @@ STEP_WEIGHT = 0.5
 BATCH_ROWS = 500
 REMEMBERED_WORDS = 200_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Letters and the marks that go with them, as Unicode has them; signs for numbers are neither.
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 _COUNTS = pa.schema(
     [("lang", pa.string()), ("size", pa.int32()), ("unit", pa.string()), ("n", pa.int64())]
 )
