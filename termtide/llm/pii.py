@@ -268,6 +268,8 @@ _CARD_SHAPE = re.compile(
     + _CARD_END,
     re.ASCII,
 )
+# More than the longest number of `_CARD_SHAPE` and what must follow it.
+_CARD_REACH = 40
 # Letters and digits of an account number, by country.
 _IBAN_SIGNS = {
     country: size
@@ -349,6 +351,8 @@ def _is_part(text: str, start: int, end: int, last: int) -> bool:
     """Whether a card number in unusual groups is one in usual groups with digits before it."""
     if _CARD_SHAPE.fullmatch(text, start, end):
         return False
+    # A number that starts before `end` ends not far behind it.
+    last = min(last, end + _CARD_REACH)
     later = _CARD_SHAPE.search(text, start + 1, last)
     while later and later.start() < end:
         number = _signs(later.group())
