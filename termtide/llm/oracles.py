@@ -150,7 +150,7 @@ _LEVELS = " UNION ALL ".join(
         }.items()
     )
 )
-_RATE = quality.MAX_REJECTED / len(quality.RULES)
+_RATE = quality.MAX_REJECTED
 
 QUALITY = rf"""
 WITH docs AS (
@@ -180,25 +180,27 @@ WITH docs AS (
            coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
     FROM docs JOIN lines USING (r) LEFT JOIN repeated USING (r)
 ), levels AS ({_LEVELS}
+), highest AS (
+    SELECT r, doc_id, stratum, max(level) AS level FROM levels GROUP BY ALL
 ), good AS (
-    SELECT stratum, rule, level FROM levels JOIN labels USING (doc_id) WHERE quality = 1
+    SELECT stratum, level FROM highest JOIN labels USING (doc_id) WHERE quality = 1
 ), tried AS (
-    SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (level > cutoff) AS k
+    SELECT stratum, cutoff, count(*) AS n, count(*) FILTER (level > cutoff) AS k
     FROM good, (SELECT unnest(range({quality.LEVELS})) AS cutoff) GROUP BY ALL
 ), strata AS (
     SELECT count(*) AS n_strata FROM (SELECT DISTINCT stratum FROM good)
-), cutoffs AS (
-    SELECT stratum, rule, min(cutoff) AS cutoff
+), passed AS (
+    SELECT stratum, cutoff
     FROM (SELECT *, unnest(range(k + 1)) AS j FROM tried WHERE k < n * {_RATE}), strata
-    GROUP BY stratum, rule, cutoff, n_strata, n
+    GROUP BY stratum, cutoff, n_strata, n
     HAVING sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
                    + j * ln({_RATE}) + (n - j) * ln(1 - {_RATE})))
-           <= {quality.ERROR} / (n_strata * {len(quality.RULES) * quality.LEVELS})
+           <= {quality.ERROR} / n_strata
 ), rejected AS (
     SELECT r, string_agg(rule, ',' ORDER BY place) AS rejected_by
     FROM (SELECT r, l.rule, place FROM levels l
-          JOIN (SELECT stratum, rule, min(cutoff) AS cutoff FROM cutoffs GROUP BY ALL) c
-          ON l.stratum IS NOT DISTINCT FROM c.stratum AND l.rule = c.rule
+          JOIN (SELECT stratum, min(cutoff) AS cutoff FROM passed GROUP BY stratum) c
+          ON l.stratum IS NOT DISTINCT FROM c.stratum
           WHERE level > cutoff)
     GROUP BY r
 ), judged AS (
@@ -208,7 +210,7 @@ WITH docs AS (
     FROM measured LEFT JOIN rejected USING (r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       rules AS rejected_by, NOT base_failed AND rules = '' AS kept
+       NOT base_failed AND rules = '' AS kept, rules AS rejected_by
 FROM judged
 """
 

@@ -2,14 +2,17 @@
 
 Measures are taken from each whole text in place; nothing is exploded, so no text is shuffled.
 
-A rule rejects a document when its measure is above a cutoff. Cutoffs come from labelled
-documents: for each stratum, rule and cutoff the good documents that it would reject are counted,
-and the exact binomial tail gives the chance of so few rejections if the true rate were as high
-as allowed. The lowest cutoff is taken at which that chance stays below the error level divided
-by the number of strata, rules and cutoffs (so all selections hold at once), and the allowed
-rate is divided among the rules, so that in each stratum all rules together falsely reject at
-most `max_rejected` of the good documents, with confidence `1 - error`. Where labels are too few
-to show that, the rule rejects nothing.
+A rule rejects a document when its measure is above the cutoff of the document's stratum. All
+rules share one scale of levels, so a cutoff is one number and the settings are nested: a lower
+cutoff rejects all that a higher one does. Cutoffs come from labelled documents. For each stratum
+they are tested in a fixed order, from the highest down: the good documents that a cutoff would
+reject are counted, and the exact binomial tail gives the chance of so few if the true rate were
+as high as allowed. The first cutoff at which that chance is above the error level ends the
+sequence, and the one before is taken. A fixed order needs no correction for the number of
+cutoffs, and rules are not tested apart; the error is divided by the number of strata alone. So
+with confidence `1 - error` no stratum falsely rejects more than `max_rejected` of its good
+documents. Where labels are too few to show that, nothing is rejected: without rejections,
+log(error / strata) / log(1 - max_rejected) good documents are needed, 217 for four strata.
 
 Defined results: a null or empty text has no words and fails the base rule; null labels and
 labels of unknown documents are ignored; a null stratum is one of its own; a document with
@@ -195,33 +198,32 @@ def cutoffs(
     max_rejected: float = MAX_REJECTED,
     error: float = ERROR,
 ) -> DataFrame:
-    """`(stratum, rule, cutoff, n_good, n_rejected)` for each rule that may be used in a stratum."""
+    """`(stratum, cutoff, n_good, n_rejected)` for each stratum where rules may be used."""
     good = labels.filter(F.col(good_col) == 1).select(F.col(label_id_col).alias("id"))
+    highest = F.array_max(F.transform(_levels(), lambda x: x["level"]))
     levels = (
         measured.join(good, "id")
-        .select("stratum", F.explode(_levels()).alias("of"))
-        .groupBy("stratum", "of.rule", "of.level")
+        .groupBy("stratum", highest.alias("level"))
         .agg(F.count("*").alias("n"))
     )
-    # A map from level to documents for each stratum and rule has at most LEVELS + 1 entries.
-    spread = levels.groupBy("stratum", "rule").agg(
+    # A map from level to documents for each stratum has at most LEVELS + 1 entries.
+    spread = levels.groupBy("stratum").agg(
         F.sum("n").alias("n_good"), F.collect_list(F.struct("level", "n")).alias("by_level")
     )
-    strata = spread.select("stratum").distinct().agg(F.count("*").alias("strata"))
+    strata = spread.agg(F.count("*")).scalar()
     above = F.aggregate(
         F.filter("by_level", lambda x: x["level"] > F.col("cutoff")),
         F.lit(0).cast("bigint"),
         lambda total, x: total + x["n"],
     )
-    tried = (
-        spread.crossJoin(F.broadcast(strata))  # one row: the number of strata
-        .withColumn("cutoff", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
-        .withColumn("n_rejected", above)
-    )
-    tail = lower_tail(F.col("n_rejected"), F.col("n_good"), max_rejected / len(RULES))
-    level = error / (F.col("strata") * (len(RULES) * LEVELS))
-    shown = tried.filter(tail <= level)
-    return shown.groupBy("stratum", "rule").agg(
+    tried = spread.withColumn(
+        "cutoff", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))
+    ).withColumn("n_rejected", above)
+    tail = lower_tail(F.col("n_rejected"), F.col("n_good"), max_rejected)
+    # Rejections only grow as the cutoff falls, and the tail with them, so the cutoffs that pass
+    # are those before the first that fails.
+    shown = tried.filter(tail <= F.lit(error) / strata)
+    return shown.groupBy("stratum").agg(
         F.min("cutoff").alias("cutoff"),
         F.first("n_good").alias("n_good"),
         F.min_by("n_rejected", "cutoff").alias("n_rejected"),
@@ -239,23 +241,20 @@ def judge(
     max_rejected: float = MAX_REJECTED,
     error: float = ERROR,
 ) -> DataFrame:
-    """Measures, `base_failed`, the rules that reject (`rejected_by`) and `kept` per document."""
+    """Measures, `base_failed`, `kept` and the rules that reject (`rejected_by`) per document."""
     measured = cut(measures(docs, id_col, text_col, stratum_col), "quality-measures")
     found = cutoffs(measured, labels, label_id_col, good_col, max_rejected, error)
-    by_stratum = cut(
-        found.groupBy("stratum").agg(
-            F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")
-        ),
-        "quality-cutoffs",
-    ).withColumnRenamed("stratum", "of")
+    by_stratum = cut(found.select(F.col("stratum").alias("of"), "cutoff"), "quality-cutoffs")
     ruled = measured.join(by_stratum, F.col("stratum").eqNullSafe(F.col("of")), "left")
-    rejecting = F.filter(_levels(), lambda x: x["level"] > F.col("cutoffs")[x["rule"]])
+    rejecting = F.filter(_levels(), lambda x: x["level"] > F.col("cutoff"))
+    names = F.array_join(F.transform(rejecting, lambda x: x["rule"]), ",")
     ruled = ruled.select(
         F.col("id").alias(id_col),
         *[c for c in measured.columns if c not in ("id", "stratum")],
         base_failed().alias("base_failed"),
-        F.coalesce(F.array_join(F.transform(rejecting, lambda x: x["rule"]), ","), F.lit("")).alias(
-            "rejected_by"
-        ),
+        F.coalesce(names, F.lit("")).alias("rejected_by"),
+    )
+    kept = ~F.col("base_failed") & (F.col("rejected_by") == "")
+    return ruled.select(
+        *[c for c in ruled.columns if c != "rejected_by"], kept.alias("kept"), "rejected_by"
     )
-    return ruled.withColumn("kept", ~F.col("base_failed") & (F.col("rejected_by") == ""))

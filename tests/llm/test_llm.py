@@ -692,10 +692,55 @@ def test_judge(spark, docs, nothing):
     assert quality.judge(nothing, marks.limit(0)).count() == 0
 
 
+def brute_cutoff(levels, rate, error):
+    """The last of the cutoffs from the highest down before the first that fails."""
+    n, cutoff = len(levels), None
+    for tried in range(99, -1, -1):
+        k = sum(level > tried for level in levels)
+        tail = sum(math.comb(n, j) * rate**j * (1 - rate) ** (n - j) for j in range(k + 1))
+        if tail > error:
+            break
+        cutoff = tried
+    return cutoff
+
+
+def test_false_rejections_stay_below_the_rate(spark):
+    """Many draws of labels from one distribution: cutoffs as by brute force, and too low ones rare."""
+    rnd = random.Random(7)
+    draws, size, rate, error = 300, 250, 0.05, 0.05
+    levels = {s: [rnd.randrange(100) for _ in range(size)] for s in range(draws)}
+    levels |= {draws: [0] * 30, draws + 1: [99] * size}
+    rows = [
+        (i, str(s), 100, 50 * level, 0, 1, 0, 0)
+        for i, (s, level) in enumerate((s, level) for s, of in levels.items() for level in of)
+    ]
+    measured = spark.createDataFrame(
+        rows,
+        "id bigint, stratum string, n_words bigint, word_chars bigint, n_symbols bigint, "
+        "n_lines bigint, n_dup_lines bigint, n_repeat_words bigint",
+    )
+    labels = measured.select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    found = quality.cutoffs(measured, labels, max_rejected=rate, error=error * len(levels)).collect()
+    got = {int(r.stratum): r.cutoff for r in found}
+    want = {s: brute_cutoff(of, rate, error) for s, of in levels.items()}
+    assert got == {s: c for s, c in want.items() if c is not None}
+    assert draws not in got and got[draws + 1] == 99
+    # Levels are even from 0 to 99, so a cutoff c rejects 99 - c of a hundred good documents.
+    wrong = sum((99 - got[s]) / 100 > rate for s in range(draws) if s in got)
+    assert 0 < len(got) and wrong <= draws * error + 4 * math.sqrt(draws * error)
+
+
 def test_quality_is_native(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     plan = quality.measures(docs, "doc_id", "text", None)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    for made in (
+        quality.judge(docs, labels),
+        quality.cutoffs(quality.measures(docs, "doc_id", "text", "lang"), labels),
+    ):
+        plan = made._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
 # ---------------------------------------------------------------- 9 WARC

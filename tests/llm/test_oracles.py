@@ -81,8 +81,16 @@ def test_odd_rows(spark, odd, name):
     same_rows(spark, odd, name)
 
 
+def test_quality_rejects_on_plain_tables(spark):
+    """Labels of the test table suffice for one language at least."""
+    folder = "/root/testdata/sf0.01"
+    same_rows(spark, folder, "op8_quality_rules")
+    found = QUERIES["op8_quality_rules"](spark, folder).filter("NOT base_failed AND NOT kept")
+    assert found.count() > 0
+
+
 def test_cutoffs_reject_in_sql_too(odd):
     found = views(odd).execute(ORACLE_SQL["op8_quality_rules"]).fetchall()
-    by = {row[0]: row[7] for row in found}
+    by = {row[0]: row[8] for row in found}
     # The signs are also 30 equal words one after another.
     assert by[9000] == "symbols_per_char,repeat_word_share" and by[100] == ""
