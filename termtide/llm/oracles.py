@@ -182,25 +182,31 @@ WITH docs AS (
 ), levels AS ({_LEVELS}
 ), highest AS (
     SELECT r, doc_id, stratum, max(level) AS level FROM levels GROUP BY ALL
-), good AS (
-    SELECT stratum, level FROM highest JOIN labels USING (doc_id) WHERE quality = 1
+), known AS (
+    SELECT stratum, level, quality = 1 AS good FROM highest JOIN labels USING (doc_id)
+    WHERE quality IS NOT NULL
 ), tried AS (
-    SELECT stratum, cutoff, count(*) AS n, count(*) FILTER (level > cutoff) AS k
-    FROM good, (SELECT unnest(range({quality.LEVELS})) AS cutoff) GROUP BY ALL
+    SELECT stratum, cutoff, count(*) FILTER (good) AS n,
+           count(*) FILTER (good AND level > cutoff) AS k,
+           count(*) FILTER (NOT good AND level > cutoff) AS caught
+    FROM known, (SELECT unnest(range({quality.LEVELS})) AS cutoff) GROUP BY ALL HAVING n > 0
 ), strata AS (
-    SELECT count(*) AS n_strata FROM (SELECT DISTINCT stratum FROM good)
+    SELECT count(*) AS n_strata FROM (SELECT DISTINCT stratum FROM known WHERE good)
 ), passed AS (
-    SELECT stratum, cutoff
+    SELECT stratum, cutoff, caught, k
     FROM (SELECT *, unnest(range(k + 1)) AS j FROM tried WHERE k < n * {_RATE}), strata
-    GROUP BY stratum, cutoff, n_strata, n
+    GROUP BY stratum, cutoff, caught, k, n_strata, n
     HAVING sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
                    + j * ln({_RATE}) + (n - j) * ln(1 - {_RATE})))
            <= {quality.ERROR} / n_strata
+), chosen AS (
+    SELECT stratum, cutoff FROM passed
+    QUALIFY row_number() OVER (
+        PARTITION BY stratum ORDER BY caught DESC, k, cutoff) = 1
 ), rejected AS (
     SELECT r, string_agg(rule, ',' ORDER BY place) AS rejected_by
     FROM (SELECT r, l.rule, place FROM levels l
-          JOIN (SELECT stratum, min(cutoff) AS cutoff FROM passed GROUP BY stratum) c
-          ON l.stratum IS NOT DISTINCT FROM c.stratum
+          JOIN chosen c ON l.stratum IS NOT DISTINCT FROM c.stratum
           WHERE level > cutoff)
     GROUP BY r
 ), judged AS (

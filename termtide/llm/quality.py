@@ -8,10 +8,12 @@ cutoff rejects all that a higher one does. Cutoffs come from labelled documents.
 they are tested in a fixed order, from the highest down: the good documents that a cutoff would
 reject are counted, and the exact binomial tail gives the chance of so few if the true rate were
 as high as allowed. The first cutoff at which that chance is above the error level ends the
-sequence, and the one before is taken. A fixed order needs no correction for the number of
+sequence; those before it have passed. A fixed order needs no correction for the number of
 cutoffs, and rules are not tested apart; the error is divided by the number of strata alone. So
-with confidence `1 - error` no stratum falsely rejects more than `max_rejected` of its good
-documents. Where labels are too few to show that, nothing is rejected: without rejections,
+with confidence `1 - error` no cutoff that passed, in any stratum, falsely rejects more than
+`max_rejected` of the good documents, and it is free which of them is used: of those that reject
+most of the documents labelled bad, of these such as reject fewest good ones, the lowest.
+Where labels are too few to show that, nothing is rejected: without rejections,
 log(error / strata) / log(1 - max_rejected) good documents are needed, 217 for four strata.
 
 Defined results: a null or empty text has no words and fails the base rule; null labels and
@@ -199,35 +201,42 @@ def cutoffs(
     error: float = ERROR,
 ) -> DataFrame:
     """`(stratum, cutoff, n_good, n_rejected)` for each stratum where rules may be used."""
-    good = labels.filter(F.col(good_col) == 1).select(F.col(label_id_col).alias("id"))
+    known = labels.filter(F.col(good_col).isNotNull()).select(
+        F.col(label_id_col).alias("id"), (F.col(good_col) == 1).alias("good")
+    )
     highest = F.array_max(F.transform(_levels(), lambda x: x["level"]))
     levels = (
-        measured.join(good, "id")
+        measured.join(known, "id")
         .groupBy("stratum", highest.alias("level"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
     )
     # A map from level to documents for each stratum has at most LEVELS + 1 entries.
     spread = levels.groupBy("stratum").agg(
-        F.sum("n").alias("n_good"), F.collect_list(F.struct("level", "n")).alias("by_level")
-    )
+        F.sum("good").alias("n_good"),
+        F.collect_list(F.struct("level", "good", "bad")).alias("by_level"),
+    ).filter("n_good > 0")
     strata = spread.agg(F.count("*")).scalar()
-    above = F.aggregate(
-        F.filter("by_level", lambda x: x["level"] > F.col("cutoff")),
-        F.lit(0).cast("bigint"),
-        lambda total, x: total + x["n"],
+
+    def above(kind: str) -> Column:
+        return F.aggregate(
+            F.filter("by_level", lambda x: x["level"] > F.col("cutoff")),
+            F.lit(0).cast("bigint"),
+            lambda total, x: total + x[kind],
+        )
+
+    tried = (
+        spread.withColumn("cutoff", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+        .withColumn("n_rejected", above("good"))
+        .withColumn("n_caught", above("bad"))
     )
-    tried = spread.withColumn(
-        "cutoff", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))
-    ).withColumn("n_rejected", above)
     tail = lower_tail(F.col("n_rejected"), F.col("n_good"), max_rejected)
     # Rejections only grow as the cutoff falls, and the tail with them, so the cutoffs that pass
     # are those before the first that fails.
-    shown = tried.filter(tail <= F.lit(error) / strata)
-    return shown.groupBy("stratum").agg(
-        F.min("cutoff").alias("cutoff"),
-        F.first("n_good").alias("n_good"),
-        F.min_by("n_rejected", "cutoff").alias("n_rejected"),
-    )
+    passed = tried.filter(tail <= F.lit(error) / strata)
+    fewest = (-F.col("n_rejected")).alias("spared")
+    best = F.struct("n_caught", fewest, (-F.col("cutoff")).alias("low"), "cutoff", "n_good", "n_rejected")
+    found = passed.groupBy("stratum").agg(F.max(best).alias("best"))
+    return found.select("stratum", "best.cutoff", "best.n_good", "best.n_rejected")
 
 
 def judge(

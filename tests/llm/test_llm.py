@@ -692,42 +692,48 @@ def test_judge(spark, docs, nothing):
     assert quality.judge(nothing, marks.limit(0)).count() == 0
 
 
-def brute_cutoff(levels, rate, error):
-    """The last of the cutoffs from the highest down before the first that fails."""
-    n, cutoff = len(levels), None
+def brute_cutoff(good, bad, rate, error):
+    """Cutoffs from the highest down before the first that fails, and the one of them to use."""
+    n, passed = len(good), []
     for tried in range(99, -1, -1):
-        k = sum(level > tried for level in levels)
+        k = sum(level > tried for level in good)
         tail = sum(math.comb(n, j) * rate**j * (1 - rate) ** (n - j) for j in range(k + 1))
         if tail > error:
             break
-        cutoff = tried
-    return cutoff
+        passed.append((-sum(level > tried for level in bad), k, tried))
+    return min(passed)[2] if passed else None
 
 
 def test_false_rejections_stay_below_the_rate(spark):
     """Many draws of labels from one distribution: cutoffs as by brute force, and too low ones rare."""
     rnd = random.Random(7)
     draws, size, rate, error = 300, 250, 0.05, 0.05
-    levels = {s: [rnd.randrange(100) for _ in range(size)] for s in range(draws)}
-    levels |= {draws: [0] * 30, draws + 1: [99] * size}
+    good = {s: [rnd.randrange(100) for _ in range(size)] for s in range(draws)}
+    # Bad documents lie so high or low that the lowest cutoff catches most.
+    bad = {s: [rnd.randrange(100) for _ in range(400)] for s in range(draws)}
+    good |= {draws: [0] * 30, draws + 1: [99] * size, draws + 2: [40] * size}
+    bad |= {draws + 2: [80, 90, 20]}
     rows = [
-        (i, str(s), 100, 50 * level, 0, 1, 0, 0)
-        for i, (s, level) in enumerate((s, level) for s, of in levels.items() for level in of)
+        (str(s), 100, 50 * level, 0, 1, 0, 0, quality)
+        for quality, of in ((1, good), (0, bad))
+        for s, levels in of.items()
+        for level in levels
     ]
-    measured = spark.createDataFrame(
-        rows,
+    table = spark.createDataFrame(
+        [(i, *row) for i, row in enumerate(rows)],
         "id bigint, stratum string, n_words bigint, word_chars bigint, n_symbols bigint, "
-        "n_lines bigint, n_dup_lines bigint, n_repeat_words bigint",
+        "n_lines bigint, n_dup_lines bigint, n_repeat_words bigint, quality int",
     )
-    labels = measured.select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
-    found = quality.cutoffs(measured, labels, max_rejected=rate, error=error * len(levels)).collect()
+    measured, labels = table.drop("quality"), table.select(F.col("id").alias("doc_id"), "quality")
+    found = quality.cutoffs(measured, labels, max_rejected=rate, error=error * len(good)).collect()
     got = {int(r.stratum): r.cutoff for r in found}
-    want = {s: brute_cutoff(of, rate, error) for s, of in levels.items()}
+    want = {s: brute_cutoff(of, bad.get(s, []), rate, error) for s, of in good.items()}
     assert got == {s: c for s, c in want.items() if c is not None}
-    assert draws not in got and got[draws + 1] == 99
+    assert draws not in got and got[draws + 1] == 99 and got[draws + 2] == 40
     # Levels are even from 0 to 99, so a cutoff c rejects 99 - c of a hundred good documents.
     wrong = sum((99 - got[s]) / 100 > rate for s in range(draws) if s in got)
-    assert 0 < len(got) and wrong <= draws * error + 4 * math.sqrt(draws * error)
+    assert wrong <= draws * error + 4 * math.sqrt(draws * error)
+    assert sum((99 - got[s]) / 100 > rate / 4 for s in range(draws)) > draws / 2
 
 
 def test_quality_is_native(spark, small):
