@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.session import scratch_dir
@@ -41,6 +41,44 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever signs that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that no column a stage adds can take the name of one."""
+    return F.struct(*[column(name) for name in df.columns])
+
+
+# Keys with more than this share of all rows are joined by broadcast: at most so many exist.
+HOT_KEYS = 10_000
+LEAST_HOT = 512
+
+
+def join_spread(
+    rows: DataFrame,
+    table: DataFrame,
+    on: str,
+    total: int,
+    count: str,
+    hot_keys: int = HOT_KEYS,
+    least_hot: int = LEAST_HOT,
+) -> DataFrame:
+    """Inner join with a table of one row per key that tells in `count` how many rows have it.
+
+    Of `total` rows, keys with more than a part of `hot_keys` are at most `hot_keys` many; they
+    are joined by broadcast, so no task gets all rows of one. The others are joined by shuffle.
+    """
+    limit = max(total // hot_keys, least_hot)
+    hot = table.filter(F.col(count) > limit)
+    if not hot.head(1):
+        return rows.join(table, on)
+    apart = rows.join(F.broadcast(hot.select(on)), on, "left_anti")
+    rest = apart.join(table.filter(F.col(count) <= limit), on)
+    return rest.unionByName(rows.join(F.broadcast(hot), on))
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write a table under the shared folder and read it back: lineage ends here.
 

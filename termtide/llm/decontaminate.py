@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.llm.common import batch_of, columns_of, cut, id_and_bytes, small_batches, spaced
+from termtide.llm.common import whole_row
 
 WINDOW = 10
 PER_PASS = 50_000
@@ -99,14 +100,16 @@ def item_windows(raw: bytes | None, window: int) -> list[bytes]:
 
 @lru_cache(maxsize=2)
 def _searcher(pairs: tuple[tuple[str | None, bytes], ...]):
+    """The search and the items of each pattern; a worker keeps them for its next task."""
     items: dict[bytes, list[str | None]] = {}
     for item, pattern in pairs:
         items.setdefault(pattern, []).append(item)
     return WuManber(tuple(items)), items
 
 
-def _hits(text: bytes, pairs) -> tuple[list[int], set[str | None]]:
-    searcher, items = _searcher(pairs)
+def _hits(
+    text: bytes, searcher: WuManber, items: dict[bytes, list[str | None]]
+) -> tuple[list[int], set[str | None]]:
     words: set[int] = set()
     found: set[str | None] = set()
     edges = None
@@ -132,13 +135,14 @@ def _windows_of(window: int):
 
 def _scan(pairs: tuple[tuple[str | None, bytes], ...]):
     def run(batches):
+        searcher, items_of = _searcher(pairs)
         for batch in small_batches(batches, BATCH_ROWS):
             raws, hits, items = columns_of(batch, "raw", "hits", "items")
             counts, all_hits, all_items = [], [], []
             for raw, old_hits, old_items in zip(raws, hits, items):
                 text = spaced(raw)
                 counts.append(text.count(b" ") - 1)
-                new_hits, new_items = _hits(text, pairs)
+                new_hits, new_items = _hits(text, searcher, items_of)
                 all_hits.append(sorted({*old_hits, *new_hits}) if new_hits else old_hits)
                 named = {i for i in new_items if i is not None}
                 all_items.append(sorted({*old_items, *named}) if named else old_items)
@@ -180,7 +184,7 @@ def benchmark_hits(
     )
     passes = max(1, math.ceil(patterns.count() / per_pass))
     dealt = F.pmod(F.xxhash64("pattern", "item"), F.lit(passes))
-    own = F.struct(*[docs[c] for c in docs.columns]) if keep_row else F.lit(None).cast("int")
+    own = whole_row(docs) if keep_row else F.lit(None).cast("int")
     state = docs.select(
         F.col(id_col).alias("id"),
         F.col(text_col).cast("binary").alias("raw"),

@@ -32,7 +32,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.common import columns_of, cut, id_and_bytes, small_batches
+from termtide.llm import common
+from termtide.llm.common import HOT_KEYS, columns_of, cut, id_and_bytes, small_batches
 from termtide.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -48,8 +49,6 @@ FILE_ROWS = 512
 PART_ROWS = 1_024
 PART_BYTES = 8 << 20
 LEADERS = 8
-# Keys with more than this share of all rows are joined by broadcast: at most so many exist.
-HOT_KEYS = 10_000
 SKETCH_WORDS = 4
 BATCH_ROWS = 500
 
@@ -212,18 +211,7 @@ def _signed(words: int, percent: int):
 
 
 def join_spread(rows: DataFrame, table: DataFrame, on: str, total: int, count: str) -> DataFrame:
-    """Inner join with a table of one row per key that tells in `count` how many rows have it.
-
-    Keys with more than a ten-thousandth of all rows are at most ten thousand; they are joined
-    by broadcast, so no task gets all rows of one. The others are joined by shuffle.
-    """
-    limit = max(total // HOT_KEYS, FILE_ROWS)
-    hot = table.filter(F.col(count) > limit)
-    if not hot.head(1):
-        return rows.join(table, on)
-    apart = rows.join(F.broadcast(hot.select(on)), on, "left_anti")
-    rest = apart.join(table.filter(F.col(count) <= limit), on)
-    return rest.unionByName(rows.join(F.broadcast(hot), on))
+    return common.join_spread(rows, table, on, total, count, HOT_KEYS, FILE_ROWS)
 
 
 def representatives(docs: DataFrame, words: int, percent: int) -> DataFrame:

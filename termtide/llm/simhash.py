@@ -30,7 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.common import columns_of, cut, id_and_bytes, small_batches
+from termtide.llm.common import column, columns_of, cut, id_and_bytes, join_spread
+from termtide.llm.common import small_batches, whole_row
 from termtide.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -40,6 +41,8 @@ BLOCKS = 6
 FILE_ROWS = 4_096
 COMPARE_ROWS = 512
 BATCH_ROWS = 1_000
+# Keys of some 40 bytes: at most 40 MB are broadcast.
+FEW_KEYS = 1_000_000
 
 # The base pivot has no bit set; the others have the bits of one range counted off: its first
 # bit, its first two, and so on. Distances to them fix each bit of the range.
@@ -271,20 +274,36 @@ def keep_first(
     equal ids that with the smallest hash of its text; of equal rows any one.
     """
     # The id and the text's hash tell rows apart; the fingerprint goes with the pair.
-    pair = F.struct(
-        F.col(id_col).isNull().alias("no_id"),
-        F.col(id_col).alias("own"),
-        F.xxhash64(text_col).alias("hash"),
+    key = F.struct(
+        column(id_col).isNull().alias("no_id"),
+        column(id_col).alias("own"),
+        F.xxhash64(column(text_col)).alias("hash"),
     )
-    keyed = docs.withColumn("_key", pair)
-    prints = fingerprints(keyed, "_key", text_col, words)
+    keyed = docs.select(key.alias("key"), whole_row(docs).alias("row"))
+    prints = fingerprints(keyed.select("key", F.col(f"row.`{text_col}`").alias("text")), "key", "text", words)
     classes = cut(print_classes(prints, max_bits), "simhash-classes")
-    least = prints.groupBy("print").agg(F.min("id").alias("id")).join(classes, "print")
-    first = least.groupBy("root").agg(F.min("id").alias("id")).select(F.col("id.*"))
-    first = cut(first.distinct(), "simhash-first")
-    kept = keyed.join(
-        first.select(F.col("own").alias("_own"), F.col("hash").alias("_hash")),
-        F.col("_key.own").eqNullSafe(F.col("_own")) & (F.col("_key.hash") == F.col("_hash")),
-        "left_semi",
-    )
-    return kept.dropDuplicates(["_key"]).drop("_key")
+    least = prints.groupBy("print").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    least = cut(least.join(classes, "print"), "simhash-least")
+    first = least.groupBy("root").agg(F.min("id").alias("first"), F.count("*").alias("prints"))
+    rows, distinct = least.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    owners = join_spread(least.select("root", "print", "n"), first, "root", distinct, "prints")
+    owners = cut(owners.select("print", "n", "first"), "simhash-owners")
+    # Only keys are joined and counted: those that lose, and those that come several times.
+    apart = join_spread(prints, owners, "print", rows, "n").filter("id <> first")
+    losers = cut(apart.select(F.col("id").alias("key")).distinct(), "simhash-losers")
+    again = prints.groupBy(F.col("id").alias("key")).agg(F.count("*").alias("n")).filter("n > 1")
+    again = cut(again.select("key").join(losers, "key", "left_anti"), "simhash-again")
+    kept = keyed.join(few_by_broadcast(losers), "key", "left_anti")
+    if again.head(1):
+        once = kept.join(few_by_broadcast(again), "key", "left_semi").dropDuplicates(["key"])
+        kept = kept.join(few_by_broadcast(again), "key", "left_anti").unionByName(once)
+    return kept.select("row.*")
+
+
+def few_by_broadcast(keys: DataFrame) -> DataFrame:
+    """A stored table of keys, to be broadcast if it has no more than `FEW_KEYS` rows.
+
+    Beyond that Spark shuffles both sides of the join.
+    """
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+

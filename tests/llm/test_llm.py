@@ -901,3 +901,48 @@ def test_stages_take_odd_documents(spark, docs, small):
             if name != pipeline.STAGES[-1][0]:
                 assert sorted(out.columns) == sorted(own.columns)
             assert out.count() <= table.count()
+
+
+CLASHES = ("score", "lang_pred", "ids", "n_tokens", "decodes", "decoded", "doc_ids", "_key", "_own",
+           "key", "row", "print", "id", "hits", "items", "own", "n", "a.b", "a b", "spans")
+
+
+def test_stages_keep_columns_of_any_name(spark, small, tmp_path):
+    """Every stage is written as a table, and what it should not change is compared by value."""
+    import corpus_pipeline as pipeline
+
+    texts = random_texts(30) + ["The quick brown fox is at home today, and so are we all."] * 2
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)] + [(None, "null id", "en", None, 7)]
+    table = spark.createDataFrame(rows, DOCS)
+    for name in CLASHES:
+        table = table.withColumns({name: F.concat(F.lit(f"{name}:"), F.coalesce("doc_id", F.lit(-1)))})
+    taught = table.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").otherwise("de"))
+    for name, stage in pipeline.STAGES:
+        given = taught if name == "language" else table
+        out = stage(spark, given, small)
+        path = str(tmp_path / name)
+        out.write.parquet(path)
+        back = spark.read.parquet(path)
+        last = name == pipeline.STAGES[-1][0]
+        names = {c: f"doc_{c}" if last and c in ("ids", "n_tokens", "decodes") else c for c in CLASHES}
+        if last:
+            names["ids"] = "doc_doc_ids"
+            assert set(back.columns) == {*names.values(), *table.columns, "n_tokens", "decodes", "ids"}
+            assert back.filter("decodes").count() == len(rows)
+        else:
+            assert back.columns == given.columns
+        kept = [f"`{names[c].replace('`', '``')}`" for c in CLASHES]
+        found = back.select("doc_id", *[F.col(k) for k in kept]).collect()
+        assert 0 < len(found) <= len(rows)
+        for row in found:
+            own = -1 if row[0] is None else row[0]
+            assert list(row)[1:] == [f"{c}:{own}" for c in CLASHES]
+
+
+def test_keep_first_on_either_side_of_the_broadcast(spark, docs, monkeypatch):
+    want = None
+    for few in (simhash.FEW_KEYS, 0):
+        monkeypatch.setattr(simhash, "FEW_KEYS", few)
+        got = Counter(map(str, simhash.keep_first(docs).collect()))
+        assert want in (None, got)
+        want = got
