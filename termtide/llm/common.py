@@ -51,6 +51,21 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[column(name) for name in df.columns])
 
 
+def carried(df: DataFrame, text_col: str) -> DataFrame:
+    """The text as `text` and all other columns as the struct `row`, for a pass through Python."""
+    others = [column(name) for name in df.columns if name != text_col]
+    row = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
+    return df.select(row.alias("row"), column(text_col).alias("text"))
+
+
+def restored(names: list[str], text_col: str, text: str = "text") -> list[Column]:
+    """The columns that `carried` has put away, in their order."""
+    return [
+        (F.col(text) if name == text_col else F.col("row").getField(name)).alias(name)
+        for name in names
+    ]
+
+
 # Keys with more than this share of all rows are joined by broadcast: at most so many exist.
 HOT_KEYS = 10_000
 LEAST_HOT = 512

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.llm.common import batch_of, columns_of, cut, id_and_bytes, small_batches, spaced
-from termtide.llm.common import whole_row
+from termtide.llm.common import carried, restored
 
 WINDOW = 10
 PER_PASS = 50_000
@@ -184,10 +184,10 @@ def benchmark_hits(
     )
     passes = max(1, math.ceil(patterns.count() / per_pass))
     dealt = F.pmod(F.xxhash64("pattern", "item"), F.lit(passes))
-    own = whole_row(docs) if keep_row else F.lit(None).cast("int")
-    state = docs.select(
-        F.col(id_col).alias("id"),
-        F.col(text_col).cast("binary").alias("raw"),
+    own = F.col("row") if keep_row else F.lit(None).cast("int")
+    state = carried(docs, text_col).select(
+        (F.col("text") if id_col == text_col else F.col("row").getField(id_col)).alias("id"),
+        F.col("text").cast("binary").alias("raw"),
         own.alias("row"),
         F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<bigint>").alias("hits"),
@@ -200,5 +200,8 @@ def benchmark_hits(
         state = state.mapInArrow(_scan(pairs), state.schema)
         if k + 1 < passes:
             state = cut(state, "benchmark-pass")
-    found = state.select(F.col("id").alias(id_col), "n_words", "hits", "items", "row")
-    return found if keep_row else found.drop("row")
+    row = []
+    if keep_row:
+        kept = state.withColumn("text", F.col("raw").cast("string"))
+        row, state = [F.struct(*restored(docs.columns, text_col)).alias("row")], kept
+    return state.select(F.col("id").alias(id_col), "n_words", "hits", "items", *row)

@@ -25,9 +25,10 @@ from string import ascii_lowercase, ascii_uppercase, digits
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termtide.llm.common import columns_of, small_batches, use_text_batches
+from termtide.llm.common import carried, columns_of, restored, small_batches, use_text_batches
 
 ROUNDS = 10
 BATCH_ROWS = 2_000
@@ -405,28 +406,27 @@ def pseudonymize(
     A column of the documents that is named like `spans_col` is replaced.
     """
     use_text_batches(docs.sparkSession)
-    kept = docs.drop(spans_col) if spans_col else docs
-    names = kept.columns
-    fields = list(kept.schema.fields)
+    names = [name for name in docs.columns if name != spans_col]
+    packed = carried(docs, text_col)
     kind = pa.list_(
         pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     )
-    if spans_col:
-        fields.append(T.StructField(spans_col, _SPANS))
-    schema = T.StructType(fields)
+    schema = T.StructType([*packed.schema.fields, T.StructField("spans", _SPANS)])
     secret = hashlib.sha256(key.encode()).digest()
 
     def run(batches):
         move = mover(secret)
         for batch in small_batches(batches, BATCH_ROWS):
             texts, spans = [], []
-            for text in columns_of(batch, text_col)[0]:
+            for text in columns_of(batch, "text")[0]:
                 new, found = (None, []) if text is None else replace(text, move)
                 texts.append(new)
                 spans.append([dict(zip(("kind", "start", "end"), s)) for s in found])
-            columns = [pa.array(texts, pa.string()) if n == text_col else batch.column(n) for n in names]
-            if spans_col:
-                columns.append(pa.array(spans, kind))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return kept.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(texts, pa.string()), pa.array(spans, kind)],
+                names=["row", "text", "spans"],
+            )
+
+    made = packed.mapInArrow(run, schema)
+    added = [F.col("spans").alias(spans_col)] if spans_col else []
+    return made.select(*restored(names, text_col), *added)
