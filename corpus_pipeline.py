@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.llm import bpe, decontaminate, language, pii, simhash
-from termtide.llm.common import column, cut, read_table, whole_row
+from termtide.llm.common import carried, cut, read_table, restored
 from termtide.llm.queries import PII_KEY, tokenizer_path
 
 # A text of one language scores over 0.7 and an even mixture of two over 0.4; below that the
@@ -31,7 +31,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if not model.langs:
         return docs
     known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return language.identify(carried(docs), model).filter(known).select("row.*")
+    found = language.identify(carried(docs, "text"), model).filter(known)
+    return found.select(*restored(docs.columns, "text"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,24 +79,20 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     made = ("ids", "n_tokens", "decodes")
     taken, names = {*docs.columns, *made}, []
     for name in docs.columns:
-        while name in made or (name not in docs.columns and name in taken):
-            name = f"doc_{name}"
-        taken.add(name)
-        names.append(name)
-    coded = bpe.encode(spark, carried(docs), tokenizer_path())
+        new = name
+        while name in made and new in taken:
+            new = f"doc_{new}"
+        taken.add(new)
+        names.append(new)
+    coded = bpe.encode(spark, carried(docs, "text"), tokenizer_path())
     return coded.select(
-        *[F.col("row").getField(old).alias(new) for old, new in zip(docs.columns, names)],
+        *[old.alias(new) for old, new in zip(restored(docs.columns, "text"), names)],
         "ids",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("decodes"),
     )
 
 
-def carried(docs: DataFrame) -> DataFrame:
-    """The text, and the whole document as the struct `row`."""
-    return docs.select(whole_row(docs).alias("row"), column("text").alias("text"))
-
-
 STAGES = [
     ("language", identify_language),
     ("near_duplicates", drop_near_duplicates),
