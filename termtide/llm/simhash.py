@@ -41,8 +41,8 @@ BLOCKS = 6
 FILE_ROWS = 4_096
 COMPARE_ROWS = 512
 BATCH_ROWS = 1_000
-# Keys of some 40 bytes: at most 40 MB are broadcast.
-FEW_KEYS = 1_000_000
+# A broadcast key takes some 200 bytes, so at most 40 MB are broadcast.
+FEW_KEYS = 200_000
 
 # The base pivot has no bit set; the others have the bits of one range counted off: its first
 # bit, its first two, and so on. Distances to them fix each bit of the range.
