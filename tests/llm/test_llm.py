@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from termtide.llm import bpe, decontaminate, language, licenses, pii, preference, quality
 from termtide.llm import repeats, simhash, suffixes, warc
-from termtide.llm.common import spaced
+from termtide.llm.common import join_spread, spaced
 from termtide.llm.components import connected_components
 from termtide.llm.queries import QUERIES, op10_language, tokenizer_path
 
@@ -800,6 +800,101 @@ def test_archive_is_one_member_per_record_and_is_verified():
             list(warc.read_records(io.BytesIO(broken)))
 
 
+def member(fields, block, first="WARC/1.0"):
+    lines = [first, *fields, f"Content-Length: {len(block)}", "", ""]
+    return gzip.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n")
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+
+
+def test_archives_of_others(spark, tmp_path):
+    page = b"<p>\r\n\r\nf\xc3\xbc\xff</p>" * 40_000
+    sha1 = hashlib.sha1(page).digest()
+    typed = "Content-Type: application/http; msgtype=response"
+    parts = [
+        member(["WARC-Type: warcinfo", "Content-Type: application/warc-fields"], b"software: x\r\n"),
+        member(["WARC-Type: request", typed], b"GET / HTTP/1.1\r\n\r\n"),
+        member(["warc-type: response", "WARC-Target-URI: http://h/1", typed], HTTP + page),
+        member(
+            ["WARC-Type: response", "WARC-Record-ID: <urn:a>", f"WARC-Payload-Digest: sha1:{sha1.hex()}"],
+            HTTP + page,
+        ),
+        member(
+            [
+                "WARC-Type: response",
+                "WARC-Target-URI: http://h/",
+                "\tfolded",
+                "WARC-Payload-Digest: sha-256:" + hashlib.sha256(page).hexdigest(),
+                "WARC-Block-Digest: blake9:unknown",
+            ],
+            HTTP + page,
+        ),
+        member(["WARC-Type: response", "Content-Type: text/dns"], b"a\r\n\r\nb"),
+        member(["WARC-Type: response"], b"no header ends here" * 30_000),
+        member(["WARC-Type: response", "WARC-Segment-Number: 1", "WARC-Payload-Digest: sha1:" + "A" * 32], HTTP + b"x"),
+        member(["WARC-Type: revisit", "WARC-Refers-To: <urn:a>"], HTTP),
+        member(["WARC-Type: revisit", "WARC-Payload-Digest: sha1:" + warc.base32_sha1(sha1).lower()], HTTP),
+        member(["WARC-Type: metadata"], b""),
+    ]
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.warc.gz").write_bytes(b"".join(parts))
+    (tmp_path / "notes.txt").write_bytes(b"no archive")
+    got = warc.read_archives(warc.archives_in(spark, str(tmp_path)), keep_payload=True).collect()
+    odd, none = b"a\r\n\r\nb", None
+    want = [
+        ("response", page, "http://h/1", none, none),
+        ("response", page, none, "<urn:a>", none),
+        ("response", page, "http://h/ folded", none, none),
+        ("response", odd, none, none, none),
+        ("response", b"", none, none, none),
+        ("response", b"x", none, none, none),
+        ("revisit", none, none, none, "<urn:a>"),
+        ("revisit", none, none, none, none),
+    ]
+    names = ("record_type", "payload", "url", "record_id", "refers_to_record")
+    assert [tuple(r[n] for n in names) for r in got] == want
+    assert all(r.page_id is None for r in got)
+    for r in got[:6]:
+        assert r.payload_bytes == len(r.payload)
+        assert r.payload_digest == warc.base32_sha1(hashlib.sha1(r.payload).digest())
+    assert [(r.payload_bytes, r.payload_digest) for r in got[6:]] == [
+        (none, none),
+        (none, warc.base32_sha1(sha1)),
+    ]
+
+
+@pytest.mark.parametrize(
+    "raw",
+    [
+        gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\n\r\n\r\n"),
+        gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: -1\r\n\r\n"),
+        member([], b""),
+        member(["WARC-Type: response"], b"", first="HTTP/1.1 200 OK"),
+        member(["WARC-Type: response", "X: " + "y" * (3 << 20)], b""),
+        member(["WARC-Type: metadata", "WARC-Block-Digest: sha1:" + "A" * 32], b"x"),
+        member(["WARC-Type: response", "WARC-Payload-Digest: sha1:" + "A" * 32], HTTP),
+        member(["WARC-Type: response", "WARC-Payload-Digest: md5:" + "0" * 32], HTTP),
+        member(["WARC-Type: response", "WARC-Payload-Digest: sha1:short"], HTTP),
+        member(["WARC-Type: response", "X-Payload-Bytes: 1"], HTTP),
+        gzip.compress(gzip.decompress(member(["WARC-Type: metadata"], b"")) * 2),
+    ],
+)
+def test_archives_that_are_wrong(raw):
+    with pytest.raises(warc.ArchiveError):
+        list(warc.read_records(io.BytesIO(raw)))
+
+
+def test_frequent_payloads_are_joined_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(join_spread, "__defaults__", (4, 2))
+    html = ["" if i % 3 else f"page {i % 12}" for i in range(60)]
+    rows = [(i, "u", h) for i, h in enumerate(html)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = warc.with_references(table)
+    want = [(i, None if html.index(h) == i else html.index(h)) for i, h in enumerate(html)]
+    same([(r.page, r.refers_to) for r in found.collect()], want)
+
+
 # ---------------------------------------------------------------- 10 language
 
 
