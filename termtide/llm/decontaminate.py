@@ -7,9 +7,9 @@ the buckets of suffix and prefix blocks name patterns that are compared directly
 very different length are searched with tables of their own, since the shortest bounds the
 skips of all.
 
-Documents are never shuffled. Patterns travel in passes of at most `per_pass`, each held by the
-driver and the tasks only while its pass runs, so a larger benchmark costs more passes, not
-more memory.
+Documents are read once and never shuffled. Patterns are dealt into tables of about `per_pass`
+under the shared folder. A task holds a block of texts and searches it with one table after the
+other, so a larger benchmark costs more time, not more memory, and no text is written again.
 
 Defined results: a null or empty text has no words and no hits; an item without words gives no
 window; repeated items count once by id; an item with a null id marks words as hit but is not
@@ -19,23 +19,40 @@ listed; repeated documents give one row each; other columns of either table are
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termtide.llm.common import batch_of, columns_of, cut, id_and_bytes, small_batches, spaced
 from termtide.llm.common import carried, restored
+from termtide.session import scratch_dir
 
 WINDOW = 10
 PER_PASS = 50_000
+BLOCK_BYTES = 64 << 20
 SHIFT_SLOTS = 1 << 22
 BATCH_ROWS = 1_000
 
 _ITEM_SCHEMA = "item string, pattern binary"
+_FOUND = pa.schema(
+    [
+        ("n_words", pa.int64()),
+        ("hits", pa.list_(pa.int64())),
+        ("items", pa.list_(pa.string())),
+    ]
+)
+_FOUND_FIELDS = [
+    T.StructField("n_words", T.LongType()),
+    T.StructField("hits", T.ArrayType(T.LongType())),
+    T.StructField("items", T.ArrayType(T.StringType())),
+]
 
 
 class WuManber:
@@ -98,12 +115,18 @@ def item_windows(raw: bytes | None, window: int) -> list[bytes]:
     return sorted(spans)
 
 
-@lru_cache(maxsize=2)
-def _searcher(pairs: tuple[tuple[str | None, bytes], ...]):
-    """The search and the items of each pattern; a worker keeps them for its next task."""
+@lru_cache(maxsize=1)
+def _searcher(folder: str, turn: int):
+    """The search and the items of each pattern of a table; a worker keeps them for its next task."""
+    files, root = fs.FileSystem.from_uri(folder)
+    parts = files.get_file_info(fs.FileSelector(f"{root}/turn={turn}", allow_not_found=True))
     items: dict[bytes, list[str | None]] = {}
-    for item, pattern in pairs:
-        items.setdefault(pattern, []).append(item)
+    for part in parts:
+        if part.path.endswith(".parquet"):
+            with files.open_input_file(part.path) as file:
+                table = pq.ParquetFile(file).read(columns=["item", "pattern"])
+            for item, pattern in zip(*columns_of(table, "item", "pattern")):
+                items.setdefault(pattern, []).append(item)
     return WuManber(tuple(items)), items
 
 
@@ -133,28 +156,49 @@ def _windows_of(window: int):
     return run
 
 
-def _scan(pairs: tuple[tuple[str | None, bytes], ...]):
+def _blocks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches together until their texts have `size` bytes."""
+    held, bytes_held = [], 0
+    for batch in batches:
+        held.append(batch)
+        bytes_held += batch.column("raw").nbytes
+        if bytes_held >= size:
+            yield held
+            held, bytes_held = [], 0
+    if held:
+        yield held
+
+
+def _scan(folder: str, turns: int, kept: list[str]):
     def run(batches):
-        searcher, items_of = _searcher(pairs)
-        for batch in small_batches(batches, BATCH_ROWS):
-            raws, hits, items = columns_of(batch, "raw", "hits", "items")
-            counts, all_hits, all_items = [], [], []
-            for raw, old_hits, old_items in zip(raws, hits, items):
-                text = spaced(raw)
-                counts.append(text.count(b" ") - 1)
-                new_hits, new_items = _hits(text, searcher, items_of)
-                all_hits.append(sorted({*old_hits, *new_hits}) if new_hits else old_hits)
-                named = {i for i in new_items if i is not None}
-                all_items.append(sorted({*old_items, *named}) if named else old_items)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *map(batch.column, ("id", "raw", "row")),
-                    pa.array(counts, pa.int64()),
-                    pa.array(all_hits, pa.list_(pa.int64())),
-                    pa.array(all_items, pa.list_(pa.string())),
-                ],
-                names=["id", "raw", "row", "n_words", "hits", "items"],
-            )
+        # Just one table stays loaded, so only several of them need larger blocks.
+        size = BLOCK_BYTES if turns > 1 else 0
+        for block in _blocks(small_batches(batches, BATCH_ROWS), size):
+            texts = [spaced(raw) for batch in block for raw in columns_of(batch, "raw")[0]]
+            hits: dict[int, set[int]] = {}
+            items: dict[int, set[str]] = {}
+            for turn in range(turns):
+                searcher, items_of = _searcher(folder, turn)
+                for place, text in enumerate(texts):
+                    words, found = _hits(text, searcher, items_of)
+                    if words:
+                        hits.setdefault(place, set()).update(words)
+                        items.setdefault(place, set()).update(i for i in found if i is not None)
+            place = 0
+            for batch in block:
+                places = range(place, place + batch.num_rows)
+                place += batch.num_rows
+                made = batch_of(
+                    _FOUND,
+                    (
+                        [texts[i].count(b" ") - 1 for i in places],
+                        [sorted(hits.get(i, ())) for i in places],
+                        [sorted(items.get(i, ())) for i in places],
+                    ),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*map(batch.column, kept), *made.columns], names=[*kept, *_FOUND.names]
+                )
 
     return run
 
@@ -182,26 +226,25 @@ def benchmark_hits(
         .distinct(),
         "benchmark-windows",
     )
-    passes = max(1, math.ceil(patterns.count() / per_pass))
-    dealt = F.pmod(F.xxhash64("pattern", "item"), F.lit(passes))
-    own = F.col("row") if keep_row else F.lit(None).cast("int")
-    state = carried(docs, text_col).select(
+    turns = math.ceil(patterns.count() / per_pass)
+    folder = scratch_dir(docs.sparkSession, "benchmark-tables")
+    if turns:
+        dealt = F.pmod(F.xxhash64("pattern", "item"), F.lit(turns))
+        # One file a table; what a task gets is bounded by the size of a table.
+        tables = patterns.withColumn("turn", dealt).repartition(turns, "turn")
+        tables.write.partitionBy("turn").parquet(folder)
+    rows = carried(docs, text_col).select(
         (F.col("text") if id_col == text_col else F.col("row").getField(id_col)).alias("id"),
         F.col("text").cast("binary").alias("raw"),
-        own.alias("row"),
-        F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast("array<bigint>").alias("hits"),
-        F.array().cast("array<string>").alias("items"),
+        "row",
     )
-    for k in range(passes):
-        pairs = tuple(
-            (row.item, bytes(row.pattern)) for row in patterns.filter(dealt == k).collect()
-        )
-        state = state.mapInArrow(_scan(pairs), state.schema)
-        if k + 1 < passes:
-            state = cut(state, "benchmark-pass")
+    # Without `keep_row` neither the texts nor the other columns come back from Python.
+    kept = ["id", "raw", "row"] if keep_row else ["id"]
+    given = rows if keep_row else rows.select("id", "raw")
+    schema = T.StructType([*given.select(*kept).schema, *_FOUND_FIELDS])
+    found = given.mapInArrow(_scan(folder, turns, kept), schema)
     row = []
     if keep_row:
-        kept = state.withColumn("text", F.col("raw").cast("string"))
-        row, state = [F.struct(*restored(docs.columns, text_col)).alias("row")], kept
-    return state.select(F.col("id").alias(id_col), "n_words", "hits", "items", *row)
+        found = found.withColumn("text", F.col("raw").cast("string"))
+        row = [F.struct(*restored(docs.columns, text_col)).alias("row")]
+    return found.select(F.col("id").alias(id_col), "n_words", "hits", "items", *row)
