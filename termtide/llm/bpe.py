@@ -8,7 +8,8 @@ these states. A sorted list of words is a trie in depth-first order, so a stack
 kept as deep as the next word agrees with the previous one, and only new letters are computed.
 
 Texts are cut into words as GPT-2's pattern does and encoded with the results for the distinct
-words of a block of text. Results are kept for later blocks up to a fixed number of words.
+words of a block of text. Results are kept for later blocks up to a fixed number of words and of
+bytes. Vocabulary files with settings that would need other steps are refused.
 
 Defined results: a null or empty text has no tokens and decodes to the empty text; special
 tokens of the file found in a text become their ids; repeated documents give one row each.
@@ -32,6 +33,7 @@ from termtide.llm.common import columns_of, use_text_batches
 
 BLOCK_BYTES = 8 << 20
 KEPT_WORDS = 400_000
+KEPT_BYTES = 32 << 20
 KEPT_PAIRS = 400_000
 
 # The pattern of byte-level BPE with its classes, and white space as Unicode has it.
@@ -59,6 +61,32 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _check_settings(spec: dict) -> None:
+    """Raise `ValueError` for settings of a file that change ids and are not built here."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = {
+        "model type": model.get("type", "BPE") == "BPE",
+        "dropout": not model.get("dropout"),
+        "continuing_subword_prefix": not model.get("continuing_subword_prefix"),
+        "end_of_word_suffix": not model.get("end_of_word_suffix"),
+        "byte_fallback": not model.get("byte_fallback"),
+        "ignore_merges": not model.get("ignore_merges"),
+        "normalizer": spec.get("normalizer") is None,
+        "pre_tokenizer": before.get("type") == "ByteLevel" and before.get("use_regex", True),
+        "add_prefix_space": not before.get("add_prefix_space", True),
+        "decoder": (spec.get("decoder") or {}).get("type") == "ByteLevel",
+        "added_tokens": not any(
+            token.get(rule)
+            for token in spec.get("added_tokens", [])
+            for rule in ("single_word", "lstrip", "rstrip")
+        ),
+        "vocabulary without all bytes": _byte_of_char().keys() <= model["vocab"].keys(),
+    }
+    refused = [name for name, fine in plain.items() if not fine]
+    if refused:
+        raise ValueError(f"settings of the vocabulary file that are not supported: {refused}")
+
+
 class _Index(dict):
     """Numbers words in the order in which they first come."""
 
@@ -72,6 +100,7 @@ class ByteBpe:
 
     def __init__(self, file: str) -> None:
         spec = json.loads(file)
+        _check_settings(spec)
         byte_of = _byte_of_char()
 
         def raw(spelled: str) -> bytes:
@@ -82,14 +111,16 @@ class ByteBpe:
         self.bytes_of = {i: raw(s) for s, i in vocab.items() if s not in self.special}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self._table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        longest_first = sorted(self.special, key=len, reverse=True)
         self._special_split = (
-            re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+            re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         )
         ids = {b: i for i, b in self.bytes_of.items() if i not in self.special.values()}
         self._rank = dict.fromkeys(ids.values(), -1)
         self._merged: dict[tuple[int, int], int] = {}
         self._halves: dict[int, tuple[int, int]] = {}
-        for rank, (left, right) in enumerate(spec["model"]["merges"]):
+        for rank, merge in enumerate(spec["model"]["merges"]):
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
             pair = ids[raw(left)], ids[raw(right)]
             whole = ids[raw(left) + raw(right)]
             self._merged[pair] = whole
@@ -105,6 +136,7 @@ class ByteBpe:
         self._sizes = self._sizes_by_ending()
         self._index = _Index()
         self._encoded: list[bytes] = []
+        self._kept_bytes = 0
 
     def _sizes_by_ending(self) -> dict[bytes, tuple[int, ...]]:
         """Sizes of the entries that can end a prefix, by its last two bytes (or its only one)."""
@@ -176,8 +208,8 @@ class ByteBpe:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self._index) > KEPT_WORDS:
-            self._index, self._encoded = _Index(), []
+        if len(self._index) > KEPT_WORDS or self._kept_bytes > KEPT_BYTES:
+            self._index, self._encoded, self._kept_bytes = _Index(), [], 0
         if len(self._follows) > KEPT_PAIRS:
             self._follows.clear()
         number = self._index.__getitem__
@@ -185,9 +217,11 @@ class ByteBpe:
         fresh = list(islice(self._index, len(self._encoded), None))
         plain = [w for w in fresh if w not in self.special]
         results = dict(zip(plain, self.learn(plain)))
-        self._encoded += [
+        made = [
             results[w] if w in results else array("I", [self.special[w]]).tobytes() for w in fresh
         ]
+        self._encoded += made
+        self._kept_bytes += sum(map(len, fresh)) + sum(map(len, made))
         encoded = self._encoded.__getitem__
         return [b"".join(map(encoded, numbers)) for numbers in numbered]
 
@@ -235,23 +269,30 @@ def tokenizer_file(path: str) -> str:
 def encode(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """All columns of the documents, `ids` (binary, 4 bytes each) and `decoded`.
 
-    Columns of the documents with these two names are replaced.
+    A file whose settings are not supported raises `ValueError` here, before any task. Columns of the documents with these two names are replaced.
     """
     use_text_batches(spark)
-    shared = spark.sparkContext.broadcast(tokenizer_file(path))
+    file = tokenizer_file(path)
+    _check_settings(json.loads(file))
+    shared = spark.sparkContext.broadcast(file)
     kept = docs.drop(*{"ids", "decoded"} - {text_col})
     names = [c for c in kept.columns if c not in ("ids", "decoded")]
 
     def run(batches):
+        collects = gc.isenabled()
         gc.disable()  # millions of strings and no cycles
-        coder = _coder(shared.value)
-        for batch in blocks(batches, text_col, BLOCK_BYTES):
-            ids = coder.encode_batch([t or "" for t in columns_of(batch, text_col)[0]])
-            decoded = pa.array([coder.decode(i) for i in ids], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*map(batch.column, names), pa.array(ids, pa.binary()), decoded],
-                names=[*names, "ids", "decoded"],
-            )
+        try:
+            coder = _coder(shared.value)
+            for batch in blocks(batches, text_col, BLOCK_BYTES):
+                ids = coder.encode_batch([t or "" for t in columns_of(batch, text_col)[0]])
+                decoded = pa.array([coder.decode(i) for i in ids], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*map(batch.column, names), pa.array(ids, pa.binary()), decoded],
+                    names=[*names, "ids", "decoded"],
+                )
+        finally:
+            if collects:
+                gc.enable()  # the worker goes on to other tasks
 
     schema = kept.select(*names).schema.add("ids", "binary").add("decoded", "string")
     return kept.mapInArrow(run, schema)

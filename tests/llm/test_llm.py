@@ -6,6 +6,7 @@ import datetime
 import gzip
 import hashlib
 import io
+import json
 import math
 import random
 import re
@@ -144,12 +145,13 @@ def brute_hits(text, items, size):
     return len(own), sorted(hit), sorted(found)
 
 
-@pytest.mark.parametrize("per_pass", [50_000, 7])
-def test_benchmark_hits(spark, docs, texts, per_pass):
+@pytest.mark.parametrize("per_pass, block_bytes", [(50_000, 1 << 20), (7, 1 << 20), (7, 300)])
+def test_benchmark_hits(spark, docs, texts, monkeypatch, per_pass, block_bytes):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
     items = [(1, texts[3]), (2, "ab"), (3, None), (4, "!?"), (5, texts[5][5:]), (5, texts[5][5:])]
     items += [(None, "the the mit")]
     table = spark.createDataFrame(items, "item_id int, text string").withColumn("id", F.lit(0))
-    short = docs.filter("text IS NULL OR length(text) < 1000")
+    short = docs.filter("text IS NULL OR length(text) < 1000").coalesce(1)
     got = decontaminate.benchmark_hits(short, table, window=4, per_pass=per_pass)
     want = [(i, *brute_hits(t, items, 4)) for i, t in rows_of(short)]
     same([tuple(r) for r in got.collect()], want)
@@ -631,6 +633,59 @@ def test_bpe_forgets_words_but_not_results(monkeypatch):
     assert coder.encode_batch([text, text]) == first * 2
 
 
+def test_bpe_keeps_no_more_bytes_than_set(monkeypatch):
+    with open(tokenizer_path()) as file:
+        coder = bpe.ByteBpe(file.read())
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 10_000)
+    first = [coder.encode_batch([sign * 9_000])[0] for sign in "abcdef"]
+    assert len(coder._index) <= 2
+    assert [coder.encode_batch([sign * 9_000])[0] for sign in "abcdef"] == first
+
+
+@pytest.mark.parametrize(
+    "place, value",
+    [
+        (("normalizer",), {"type": "Lowercase"}),
+        (("pre_tokenizer",), {"type": "Whitespace"}),
+        (("pre_tokenizer", "add_prefix_space"), True),
+        (("pre_tokenizer", "use_regex"), False),
+        (("decoder",), None),
+        (("model", "type"), "WordPiece"),
+        (("model", "dropout"), 0.1),
+        (("model", "ignore_merges"), True),
+        (("model", "byte_fallback"), True),
+        (("model", "end_of_word_suffix"), "</w>"),
+        (("model", "vocab"), {"a": 0}),
+        (("added_tokens", 0, "lstrip"), True),
+    ],
+)
+def test_bpe_refuses_other_settings(spark, tmp_path, place, value):
+    with open(tokenizer_path()) as file:
+        spec = json.load(file)
+    inner = spec
+    for step in place[:-1]:
+        inner = inner[step]
+    inner[place[-1]] = value
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    table = spark.createDataFrame([("a",)], "text string")
+    with pytest.raises(ValueError, match="not supported"):
+        bpe.encode(spark, table, str(tmp_path / "other.json"))
+
+
+def test_bpe_special_tokens_and_merges_as_text(tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    with open(tokenizer_path()) as file:
+        spec = json.load(file)
+    model = spec["model"]
+    model["merges"] = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
+    for i, content in enumerate(("<|end", "<|end|>")):
+        spec["added_tokens"].append({**spec["added_tokens"][0], "id": 50257 + i, "content": content})
+    text = "some<|end|>text <|end<|endoftext|><|end"
+    own = tokenizers.Tokenizer.from_str(json.dumps(spec))
+    ids = np.frombuffer(bpe.ByteBpe(json.dumps(spec)).encode_batch([text])[0], "<u4").tolist()
+    assert ids == own.encode(text, add_special_tokens=False).ids
+
+
 # ---------------------------------------------------------------- 8 quality rules
 
 
