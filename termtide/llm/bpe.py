@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termtide.llm.common import columns_of, use_text_batches
 
-BLOCK_BYTES = 8 << 20
-KEPT_WORDS = 400_000
+BLOCK_BYTES = 4 << 20
+KEPT_WORDS = 100_000
 KEPT_BYTES = 32 << 20
-KEPT_PAIRS = 400_000
+KEPT_PAIRS = 200_000
 
 # The pattern of byte-level BPE with its classes, and white space as Unicode has it.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -281,6 +281,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "tex
     def run(batches):
         collects = gc.isenabled()
         gc.disable()  # millions of strings and no cycles
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left
         try:
             coder = _coder(shared.value)
             for batch in blocks(batches, text_col, BLOCK_BYTES):

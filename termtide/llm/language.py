@@ -34,7 +34,7 @@ DOCS_PER_LANG = 1_500
 LONGEST_GRAM = 4
 STEP_WEIGHT = 0.5
 BATCH_ROWS = 500
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 100_000
 
 # Letters and the marks that go with them, as Unicode has them; signs for numbers are neither.
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
@@ -81,7 +81,7 @@ class Model:
         rows = self._rows
         if self._table is None or len(rows) > REMEMBERED_WORDS:
             rows.clear()
-            self._table = np.empty((1 << 16, len(self.langs)))
+            self._table = np.empty((1 << 15, len(self.langs)))
         fresh = list(set(words).difference(rows))
         first, last = len(rows), len(rows) + len(fresh)
         rows.update(zip(fresh, range(first, last)))
