@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from termtide.llm.common import columns_of, use_text_batches
+from termtide.llm.common import columns_of, held, use_text_batches
 
 BLOCK_BYTES = 4 << 20
 KEPT_WORDS = 100_000
@@ -237,16 +237,6 @@ class ByteBpe:
         return raw.decode("utf-8", "replace")
 
 
-_loaded: dict[str, ByteBpe] = {}
-
-
-def _coder(file: str) -> ByteBpe:
-    if file not in _loaded:
-        _loaded.clear()
-        _loaded[file] = ByteBpe(file)
-    return _loaded[file]
-
-
 def blocks(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Iterable[pa.RecordBatch]:
     """The rows in slices whose texts have about `size` bytes."""
     for batch in batches:
@@ -281,9 +271,9 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "tex
     def run(batches):
         collects = gc.isenabled()
         gc.disable()  # millions of strings and no cycles
-        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left
         try:
-            coder = _coder(shared.value)
+            file = shared.value
+            coder = held(("bpe", file), lambda: ByteBpe(file))
             for batch in blocks(batches, text_col, BLOCK_BYTES):
                 ids = coder.encode_batch([t or "" for t in columns_of(batch, text_col)[0]])
                 decoded = pa.array([coder.decode(i) for i in ids], pa.string())

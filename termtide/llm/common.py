@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,12 +30,38 @@ def sha256_hex(raw: bytes) -> str:
     return hashlib.sha256(raw).hexdigest()
 
 
-# Rows per Arrow batch: texts are long, and both sides hold a batch or two of each task.
+# Rows and bytes per Arrow batch: texts are long, and both sides hold a batch or two of each task.
 ARROW_ROWS = 2_000
+ARROW_BYTES = 8 << 20
 
 
 def use_text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], object]):
+    """What `make` builds, kept for later tasks of this Python worker that ask for the same key.
+
+    A worker serves all operators of a job in turn and keeps one such object, so that the tables
+    of one operator do not lie beside those of the next.
+    """
+    if key not in _held:
+        let_go()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Drop what earlier tasks of this Python worker kept, and return free memory to the system."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # absent outside glibc
+    if trim:
+        trim(0)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termtide.llm.common import batch_of, columns_of, cut, id_and_bytes, small_batches, spaced
-from termtide.llm.common import carried, restored
+from termtide.llm.common import carried, held, restored
 from termtide.session import scratch_dir
 
 WINDOW = 10
@@ -115,7 +115,6 @@ def item_windows(raw: bytes | None, window: int) -> list[bytes]:
     return sorted(spans)
 
 
-@lru_cache(maxsize=1)
 def _searcher(folder: str, turn: int):
     """The search and the items of each pattern of a table; a worker keeps them for its next task."""
     files, root = fs.FileSystem.from_uri(folder)
@@ -178,7 +177,9 @@ def _scan(folder: str, turns: int, kept: list[str]):
             hits: dict[int, set[int]] = {}
             items: dict[int, set[str]] = {}
             for turn in range(turns):
-                searcher, items_of = _searcher(folder, turn)
+                searcher, items_of = held(
+                    ("benchmark", folder, turn), partial(_searcher, folder, turn)
+                )
                 for place, text in enumerate(texts):
                     words, found = _hits(text, searcher, items_of)
                     if words:

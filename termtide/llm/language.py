@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.common import batch_of, columns_of, cut, small_batches, use_text_batches
+from termtide.llm.common import batch_of, columns_of, cut, let_go, small_batches, use_text_batches
 
 UNKNOWN = "und"
 DOCS_PER_LANG = 1_500
@@ -186,6 +186,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     added = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches):
+        let_go()
         own = shared.value
         for batch in small_batches(batches, BATCH_ROWS):
             found = [own.predict(text) for text in columns_of(batch, text_col)[0]]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termtide.llm.common import carried, columns_of, restored, small_batches, use_text_batches
+from termtide.llm.common import carried, columns_of, let_go, restored, small_batches, use_text_batches
 
 ROUNDS = 10
 BATCH_ROWS = 2_000
@@ -415,6 +415,7 @@ def pseudonymize(
     secret = hashlib.sha256(key.encode()).digest()
 
     def run(batches):
+        let_go()
         move = mover(secret)
         for batch in small_batches(batches, BATCH_ROWS):
             texts, spans = [], []

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.llm.common import column, columns_of, cut, id_and_bytes, join_spread
-from termtide.llm.common import small_batches, whole_row
+from termtide.llm.common import let_go, small_batches, whole_row
 from termtide.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -137,6 +137,7 @@ def spanning_links(prints: np.ndarray, others: np.ndarray | None, max_bits: int)
 
 def _fingerprints(words: int):
     def run(batches):
+        let_go()
         for batch in small_batches(batches, BATCH_ROWS):
             prints = [fingerprint(raw, words) for raw in columns_of(batch, "raw")[0]]
             yield pa.RecordBatch.from_arrays(
@@ -149,6 +150,7 @@ def _fingerprints(words: int):
 
 def _file(max_bits: int):
     def run(batches):
+        let_go()
         for batch in batches:
             prints = batch.column("print").to_numpy(zero_copy_only=False)
             keys = file_keys(prints.view(np.uint64), max_bits)
