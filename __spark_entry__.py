@@ -51,6 +51,7 @@ from termtide.plans.live import analysis_ledger, words_and_labels
 from termtide.session import (
     scratch_dir,
     spread,
+    spread_in_time,
     use_cluster_sizes,
     use_disk_state,
 )
@@ -373,7 +374,7 @@ def schema_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def win_words(rule: str, stops: tuple[str, ...], size: str, slide: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        texts = spread(reviews(spark, sf).select("review", "event_time"))
+        texts = spread_in_time(reviews(spark, sf).select("review", "event_time"), "event_time")
         words = drop_stop_words(tokenize(texts, "review", rule, keep=["event_time"]), stops)
         return flat(windowed_count(words, "event_time", ["word"], size, slide))
 
@@ -443,7 +444,7 @@ def stream_message_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def saved_windows(spark: SparkSession, sf: str) -> DataFrame:
-    texts = spread(reviews(spark, sf).select("review", "event_time"))
+    texts = spread_in_time(reviews(spark, sf).select("review", "event_time"), "event_time")
     return saved(spark, review_stream.saved_words(texts))
 
 

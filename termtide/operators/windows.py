@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def windowed_count(
@@ -20,8 +21,11 @@ def windowed_count(
     """`(window, *keys, count)` over tumbling or sliding windows, batch or stream.
 
     Rows without a time are in no window. The watermark takes effect in append and
-    update mode only; complete mode keeps all state.
+    update mode only; complete mode keeps all state. Sliding windows of a table are counted
+    in blocks.
     """
+    if slide and not df.isStreaming and in_blocks(df, time, size, slide):
+        return block_windows(block_count(df, time, keys, size, slide), keys, size, slide)
     if watermark:
         df = df.withWatermark(time, watermark)
     window = F.window(time, size, slide) if slide else F.window(time, size)
@@ -61,6 +65,70 @@ def slide_panes(panes: DataFrame, keys: Sequence[str], size: str, slide: str) ->
     return summed.select(F.struct("start", end.alias("end")).alias("window"), *keys, "count")
 
 
+# A block holds the counts of so many panes, each as long as the slide.
+BLOCK_PANES = 16
+# Where the panes that a block shares with the next are more, blocks save little.
+MOST_SHARED = 4
+
+
+def pane_counts() -> list[str]:
+    """Columns of a block's counts, in the order of its panes."""
+    return [f"pane_{place}" for place in range(BLOCK_PANES)]
+
+
+def in_blocks(df: DataFrame, time: str, size: str, slide: str) -> bool:
+    """Whether windows can be counted in blocks: whole panes, and few of them to a window."""
+    try:
+        length, step = seconds(size), seconds(slide)
+    except ValueError:
+        return False
+    known = isinstance(df.schema[time].dataType, T.TimestampType) if time in df.columns else False
+    return known and step > 0 and length % step == 0 and 0 <= length // step - 1 <= MOST_SHARED
+
+
+def block_count(
+    df: DataFrame,
+    time: str,
+    keys: Sequence[str],
+    size: str,
+    slide: str,
+    watermark: str | None = None,
+) -> DataFrame:
+    """`(window, *keys, pane_0, ...)`: the counts of a block's panes in one row, batch or stream.
+
+    `window` is the whole block. It starts some windows and reaches to the end of the last of
+    them, so each window lies whole in the block in which it starts: `block_windows` needs no
+    shuffle, and the panes shared with the next block are the only ones counted twice. Sliding
+    windows would bring a row for each of a key's windows to the shuffle or the state instead.
+    """
+    length, step = seconds(size), seconds(slide)
+    stride = (BLOCK_PANES - length // step + 1) * step
+    if watermark:
+        df = df.withWatermark(time, watermark)
+    placed = df.withColumn("window", F.window(time, f"{BLOCK_PANES * step} seconds", f"{stride} seconds"))
+    inside = F.unix_micros(time) - F.unix_micros("window.start")
+    pane = F.call_function("div", inside, F.lit(step * 1_000_000))
+    placed = placed.select("window", *keys, pane.cast("int").alias("pane"))
+    counts = [F.count(F.when(F.col("pane") == n, 1)).alias(c) for n, c in enumerate(pane_counts())]
+    return placed.groupBy("window", *keys).agg(*counts)
+
+
+def block_windows(blocks: DataFrame, keys: Sequence[str], size: str, slide: str) -> DataFrame:
+    """The windows that start in the blocks of `block_count`, `(window, *keys, count)`."""
+    length, step = seconds(size), seconds(slide)
+    panes, reach = [F.col(c) for c in pane_counts()], length // step
+    sums = [sum(panes[n + 1 : n + reach], panes[n]) for n in range(BLOCK_PANES - reach + 1)]
+    slid = blocks.select(
+        F.unix_micros("window.start").alias("block"), *keys, F.posexplode(F.array(*sums)).alias("place", "count")
+    ).where("count > 0")
+    start = F.col("block") + F.col("place") * F.lit(step * 1_000_000)
+    window = F.struct(
+        F.timestamp_micros(start).alias("start"),
+        F.timestamp_micros(start + F.lit(length * 1_000_000)).alias("end"),
+    )
+    return slid.select(window.alias("window"), *keys, "count")
+
+
 def flat_window(df: DataFrame) -> DataFrame:
     """Replace the `window` struct by `window_start` and `window_end`."""
     others = [c for c in df.columns if c != "window"]

@@ -31,7 +31,14 @@ from termtide.operators.messages import build_messages, parse_messages, required
 from termtide.operators.ranking import by_count, first_records, nth_key, top_k
 from termtide.operators.tokens import drop_stop_table, drop_stop_words, tokenize
 from termtide.operators.trends import recent_top_words, series_keys, wide_trend, word_trend
-from termtide.operators.windows import flat_window, seconds, slide_panes, windowed_count
+from termtide.operators.windows import (
+    block_count,
+    flat_window,
+    seconds,
+    slide_panes,
+    windowed_count,
+)
+from termtide.session import spread_in_time
 
 
 def as_dict(df, *keys):
@@ -309,6 +316,38 @@ def test_durations():
         seconds("soon")
 
 
+@pytest.mark.parametrize("size,slide", [(60, 20), (30, 10), (60, 30), (100, 20), (60, 25)])
+def test_windows_in_blocks(spark, size, slide):
+    """Sliding windows of a table equal Spark's own, and fewer rows than windows are shuffled."""
+    rng = random.Random(size)
+    rows = [
+        (rng.choice([None, "a", "b"]), None if rng.random() < 0.05 else rng.randrange(-3 * 10**9, 3 * 10**9))
+        for _ in range(2_000)
+    ]
+    data = spark.createDataFrame(rows, "word string, us bigint")
+    data = data.select("word", F.timestamp_micros("us").alias("event_time"))
+    lengths = f"{size} seconds", f"{slide} seconds"
+    want = data.groupBy(F.window("event_time", *lengths).alias("window"), "word").count()
+    got = windowed_count(data, "event_time", ["word"], *lengths)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    in_blocks = "pane_0" in got._jdf.queryExecution().executedPlan().toString()
+    assert in_blocks == (size % slide == 0)
+    if in_blocks:
+        assert block_count(data, "event_time", ["word"], *lengths).count() * 5 < want.count()
+
+
+def test_spread_in_time(spark):
+    """Tasks hold spans of time, and equal times are dealt over several."""
+    rows = spark.range(4_000).select(F.when(F.col("id") % 10 > 0, F.pmod("id", F.lit(7))).alias("n"))
+    times = rows.select(F.timestamp_seconds(F.when(F.col("n") > 3, F.lit(3)).otherwise(F.col("n"))).alias("t"))
+    parts = [[r.t for r in p] for p in spread_in_time(times, "t").rdd.glom().collect()]
+    spans = [(min(p), max(p)) for p in parts if p]
+    assert sum(map(len, parts)) == 3_600
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert max(map(len, parts)) < 2_000 < sum(r.t is not None and r.t.second == 3 for r in times.collect())
+
+
 def test_uneven_slide_is_refused(spark):
     panes = windowed_count(timed(spark, [("a", 1)]), "event_time", ["word"], "40 seconds")
     with pytest.raises(ValueError):
