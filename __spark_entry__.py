@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from termtide.functions.stopwords import ENGLISH, STOP7, STOP11
 from termtide.functions.text import base_name, escape_dollar, first_field, iso_time, preview, run_stamp
@@ -503,24 +504,35 @@ def latest_files_by_time(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def message_batches(
-    spark: SparkSession, sf: str, part: Column, parts: int, label: str
-) -> DataFrame:
-    """The reviews as message files read one part at a time, in the order of the parts."""
+    spark: SparkSession,
+    sf: str,
+    part: Column,
+    parts: int,
+    label: str,
+    start: Callable[[DataFrame], StreamingQuery],
+) -> None:
+    """The reviews as message files that arrive one part at a time, in the order of the parts.
+
+    `start` begins a bounded run of the query on its checkpoint, which reads the part that has
+    come. So a part is a batch however many files it has.
+    """
     use_disk_state(spark)
     path = scratch_dir(spark, f"{label}-messages")
     rows = reviews(spark, sf).withColumn("created_at", iso_time(F.col("event_time")))
     for number in range(parts):
         own = rows.where(part == number)
-        spread_out = build_messages(own).coalesce(1)
-        spread_out.write.text(f"{path}/part={number}")
-    return message_files(spark, f"{path}/*", max_files_per_trigger=1)
+        build_messages(spread(own)).write.text(f"{path}/part={number}")
+        start(message_files(spark, f"{path}/*")).awaitTermination()
 
 
 def analysis(spark: SparkSession, sf: str) -> Ledger:
-    """Words, labels, unfit messages and rates of one stream, from four files."""
-    stream = message_batches(spark, sf, F.pmod("doc_id", F.lit(4)), 4, "analysis")
+    """Words, labels, unfit messages and rates of one stream, from four parts."""
     out, offsets = scratch_dir(spark, "analysis"), scratch_dir(spark, "offsets")
-    words_and_labels(stream, out, offsets, bounded=True, quiet=True).awaitTermination()
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return words_and_labels(stream, out, offsets, bounded=True, quiet=True)
+
+    message_batches(spark, sf, F.pmod("doc_id", F.lit(4)), 4, "analysis", start)
     return analysis_ledger(spark, out)
 
 
@@ -552,36 +564,35 @@ def stream_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_windows_ending(spark: SparkSession, sf: str) -> DataFrame:
-    """Sliding word windows whose state ends, from four files in the order of time."""
+    """Sliding word windows whose state ends, from four parts in the order of time."""
     size = table(spark, sf, "documents").agg(F.max("doc_id") + 1).scalar()
     part = F.floor(F.col("doc_id") * 4 / size)
-    stream = message_batches(spark, sf, part, 4, "ending")
     out, offsets = scratch_dir(spark, "windows"), scratch_dir(spark, "offsets")
-    result = review_stream.words_by_event_time(stream)
     delay = review_stream.DELAY
-    query = to_windows(result, out, offsets, ["word"], delay, bounded=True, merge_every=2)
-    query.awaitTermination()
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        result = review_stream.words_by_event_time(stream)
+        return to_windows(result, out, offsets, ["word"], delay, bounded=True, merge_every=2)
+
+    message_batches(spark, sf, part, 4, "ending", start)
     return flat(window_ledger(spark, out, ["word"], delay, 2).read(WINDOWS))
 
 
 def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Label windows on time and late, of messages of which every tenth comes two files late."""
+    """Label windows on time and late, of messages of which every tenth comes two parts late."""
     size = table(spark, sf, "documents").agg(F.max("doc_id") + 1).scalar()
     due = F.floor(F.col("doc_id") * 4 / size)
     part = due + F.when(F.pmod("doc_id", F.lit(10)) == 3, 2).otherwise(0)
-    stream = message_batches(spark, sf, part, 6, "late")
     delay = review_stream.DELAY
     kept = {"labels": Kept(("window", "sentiment"), delay=delay, aside=True)}
     ledger = Ledger(spark, scratch_dir(spark, "late"), kept, every=3)
-    query = to_tables(
-        review_stream.timed_messages(stream),
-        ledger,
-        {"labels": review_stream.labels_in_windows},
-        scratch_dir(spark, "offsets"),
-        "event_time",
-        bounded=True,
-    )
-    query.awaitTermination()
+    offsets = scratch_dir(spark, "offsets")
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        timed, results = review_stream.timed_messages(stream), {"labels": review_stream.labels_in_windows}
+        return to_tables(timed, ledger, results, offsets, "event_time", bounded=True)
+
+    message_batches(spark, sf, part, 6, "late", start)
     on_time, late = (
         flat(ledger.read(name)).withColumn("late", F.lit(name != "labels"))
         for name in ("labels", "labels_late")

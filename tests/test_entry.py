@@ -44,3 +44,12 @@ def test_query(spark, duck, small, name):
 def test_entry(spark):
     result = entry.entry(spark)
     assert result.columns == ["word", "count"] and result.count() == 10
+
+
+def test_message_parts_are_batches_of_several_files(spark, small, tmp_path, monkeypatch):
+    """No task writes or reads a whole part, and each part is one batch of the stream."""
+    monkeypatch.setattr(entry, "scratch_dir", lambda _, label: str(tmp_path / label))
+    ledger = entry.analysis(spark, small)
+    assert [m.batch for m in ledger.marks()] == [0, 1, 2, 3]
+    parts = sorted(glob.glob(f"{tmp_path}/analysis-messages/part=*"))
+    assert len(parts) == 4 and all(len(glob.glob(f"{p}/*.txt")) > 1 for p in parts)
