@@ -395,14 +395,14 @@ def win_words_sorted(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_words_event_time(spark: SparkSession, sf: str) -> DataFrame:
     words = review_stream.words_at_event_time(review_messages(spark, sf))
-    windows = review_stream.windows_from("60 seconds", "20 seconds")
-    return flat(complete(spark, review_stream.panes(words, "20 seconds"), windows))
+    windows = review_stream.windows_from_blocks("60 seconds", "20 seconds")
+    return flat(complete(spark, review_stream.blocks(words, "60 seconds", "20 seconds"), windows))
 
 
 def stream_words_broker_time(spark: SparkSession, sf: str) -> DataFrame:
     words = review_stream.words_at_broker_time(review_messages(spark, sf))
-    windows = review_stream.windows_from("30 seconds", "10 seconds")
-    return flat(complete(spark, review_stream.panes(words, "10 seconds"), windows))
+    windows = review_stream.windows_from_blocks("30 seconds", "10 seconds")
+    return flat(complete(spark, review_stream.blocks(words, "30 seconds", "10 seconds"), windows))
 
 
 def stream_words_saved(spark: SparkSession, sf: str) -> DataFrame:
@@ -568,14 +568,16 @@ def stream_windows_ending(spark: SparkSession, sf: str) -> DataFrame:
     size = table(spark, sf, "documents").agg(F.max("doc_id") + 1).scalar()
     part = F.floor(F.col("doc_id") * 4 / size)
     out, offsets = scratch_dir(spark, "windows"), scratch_dir(spark, "offsets")
-    delay = review_stream.DELAY
+    delay, blocks = review_stream.DELAY, review_stream.WORD_WINDOWS
 
     def start(stream: DataFrame) -> StreamingQuery:
-        result = review_stream.words_by_event_time(stream)
-        return to_windows(result, out, offsets, ["word"], delay, bounded=True, merge_every=2)
+        result = review_stream.word_blocks_by_event_time(stream)
+        return to_windows(
+            result, out, offsets, ["word"], delay, bounded=True, merge_every=2, blocks=blocks
+        )
 
     message_batches(spark, sf, part, 4, "ending", start)
-    return flat(window_ledger(spark, out, ["word"], delay, 2).read(WINDOWS))
+    return flat(window_ledger(spark, out, ["word"], delay, 2, blocks).read(WINDOWS))
 
 
 def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from termtide.operators.windows import BLOCK_PANES, block_windows, pane_counts, seconds
+
 EVERY = 8
 # The base in use, the one before for its readers, and the one being written.
 BASES = 3
@@ -39,19 +41,41 @@ class Kept:
     is one of the keys: windows that ended that long before the newest time seen are closed.
     Counts for a window that was closed before their batch go to the table `<name>_late` where
     `aside` is set, else they are added as well; for `how="last"` Spark has dropped them.
+    With `blocks`, the size and slide of sliding windows, rows are those of `block_count`, of which
+    `window` is a whole block; they become windows when the table is read.
     """
 
     keys: tuple[str, ...]
     how: str = "sum"
     delay: str | None = None
     aside: bool = False
+    blocks: tuple[str, str] | None = None
+
+    def __post_init__(self) -> None:
+        if self.aside and self.blocks:
+            raise ValueError("blocks end later than their windows, so late rows cannot be told")
+
+    @property
+    def counts(self) -> list[str]:
+        return pane_counts() if self.blocks else ["count"]
 
     def merge(self, rows: DataFrame) -> DataFrame:
         if self.how == "sum":
-            count = F.sum("count")
+            counts = [F.sum(name).alias(name) for name in self.counts]
         else:
-            count = F.max_by("count", "batch")
-        return rows.groupBy(*self.keys).agg(count.alias("count"), F.max("batch").alias("batch"))
+            counts = [F.max_by(name, "batch").alias(name) for name in self.counts]
+        return rows.groupBy(*self.keys).agg(*counts, F.max("batch").alias("batch"))
+
+    def result(self, merged: DataFrame) -> DataFrame:
+        """What readers get of merged rows, `(*keys, count)`."""
+        if self.blocks:
+            return block_windows(merged, [k for k in self.keys if k != "window"], *self.blocks)
+        return merged.drop("batch")
+
+    def reach(self) -> datetime.timedelta:
+        """How long before a day a row may start that holds windows of this day."""
+        length = BLOCK_PANES * seconds(self.blocks[1]) if self.blocks else 0
+        return datetime.timedelta(days=-(-length // 86_400))
 
     def ended(self, seen: int) -> Column:
         """Windows that end before the watermark for a newest time, in microseconds."""
@@ -136,7 +160,7 @@ class Ledger:
 
     def _put(self, rows: DataFrame, name: str, batch: int) -> None:
         kept = self.tables[name]
-        rows = rows.select(*kept.keys, "count", F.lit(batch).cast("bigint").alias("batch"))
+        rows = rows.select(*kept.keys, *kept.counts, F.lit(batch).cast("bigint").alias("batch"))
         rows.write.mode("overwrite").parquet(self._changes(name, batch))
 
     def _newest_start(self, batch: int, names: Sequence[str]) -> int | None:
@@ -185,6 +209,9 @@ class Ledger:
         mark, kept = marks[-1], self.tables[name]
         open_rows = self._rows(name, mark, mark.batch)
         rows = open_rows
+        days = since, until
+        if since:
+            since = since - kept.reach()
         if since or until:
             rows = _within(rows, F.to_date("window.start"), since, until)
         if name in mark.closed:
@@ -193,7 +220,8 @@ class Ledger:
             closed = self.spark.read.schema(schema).parquet(f"{self.path}/{name}/closed")
             closed = _within(closed.where(F.col("upto") <= mark.upto), F.col("day"), since, until)
             rows = rows.unionByName(closed.drop("upto", "day"))
-        return kept.merge(rows).drop("batch")
+        found = kept.result(kept.merge(rows))
+        return _within(found, F.to_date("window.start"), *days) if kept.blocks else found
 
 
 def _within(

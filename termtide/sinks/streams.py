@@ -168,13 +168,15 @@ def to_windows(
     bounded: bool = False,
     merge_every: int = EVERY,
     then: Callable[[DataFrame], None] | None = None,
+    blocks: tuple[str, str] | None = None,
 ) -> StreamingQuery:
     """Keep windowed counts of an update-mode query whose watermark lags by `delay`.
 
     Spark drops the state of a window when the watermark passes it; its rows then move to a table
     partitioned by day and are not written again. `then` gets the whole table after each batch.
+    `blocks` is given where the result is a `block_count`: the size and slide of its windows.
     """
-    ledger = window_ledger(result.sparkSession, path, keys, delay, merge_every)
+    ledger = window_ledger(result.sparkSession, path, keys, delay, merge_every, blocks)
 
     def save(rows: DataFrame, batch: int) -> None:
         ledger.write(batch, {WINDOWS: rows})
@@ -186,10 +188,16 @@ def to_windows(
 
 
 def window_ledger(
-    spark: SparkSession, path: str, keys: Sequence[str], delay: str, merge_every: int = EVERY
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    delay: str,
+    merge_every: int = EVERY,
+    blocks: tuple[str, str] | None = None,
 ) -> Ledger:
     """The ledger behind `to_windows`, for reading."""
-    return Ledger(spark, path, {WINDOWS: Kept(("window", *keys), "last", delay)}, merge_every)
+    kept = Kept(("window", *keys), "last", delay, blocks=blocks)
+    return Ledger(spark, path, {WINDOWS: kept}, merge_every)
 
 
 def to_tables(

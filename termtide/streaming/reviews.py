@@ -21,10 +21,11 @@ from termtide.operators.messages import (
     with_event_time,
 )
 from termtide.operators.tokens import drop_stop_words, tokenize
-from termtide.operators.windows import slide_panes, windowed_count
+from termtide.operators.windows import block_count, block_windows, slide_panes, windowed_count
 from termtide.sinks.ledger import Kept
 
 DELAY = "1 minute"
+WORD_WINDOWS = ("60 seconds", "20 seconds")
 EVERY_FAST, EVERY_LABELS, EVERY_SAVED = "5 seconds", "10 seconds", "60 seconds"
 
 
@@ -46,15 +47,21 @@ def words_in_windows(timed: DataFrame) -> DataFrame:
     return windowed_count(words, "event_time", ["word"], "60 seconds", "20 seconds")
 
 
+def words_in_blocks(timed: DataFrame) -> DataFrame:
+    """`words_in_windows` as the blocks that a ledger keeps in place of the windows."""
+    words = drop_stop_words(tokenize(timed, "review", "nonword", keep=["event_time"]), STOP11)
+    return block_count(words, "event_time", ["word"], *WORD_WINDOWS)
+
+
 def labels_in_windows(timed: DataFrame, label: str = "sentiment") -> DataFrame:
     """Labels of parsed messages in 60-second windows every 20 seconds."""
     return windowed_count(timed, "event_time", [label], "60 seconds", "20 seconds")
 
 
 # Results of one parsed stream, and how a ledger keeps them.
-ANALYSIS = {"words": words_in_windows, "labels": label_counts, "unfit": unfit}
+ANALYSIS = {"words": words_in_blocks, "labels": label_counts, "unfit": unfit}
 ANALYSIS_KEPT = {
-    "words": Kept(("window", "word"), delay=DELAY),
+    "words": Kept(("window", "word"), delay=DELAY, blocks=WORD_WINDOWS),
     "labels": Kept(("sentiment",)),
     "unfit": Kept(("unparsed",)),
 }
@@ -71,6 +78,11 @@ def words_by_event_time(messages: DataFrame) -> DataFrame:
     return windowed_count(words, "event_time", ["word"], "60 seconds", "20 seconds", DELAY)
 
 
+def word_blocks_by_event_time(messages: DataFrame) -> DataFrame:
+    """`words_by_event_time` as blocks, whose state ends when the last of their windows does."""
+    return block_count(words_at_event_time(messages), "event_time", ["word"], *WORD_WINDOWS, DELAY)
+
+
 def words_by_broker_time(messages: DataFrame, watermark: str | None = None) -> DataFrame:
     """30-second windows every 10 seconds on the broker's time."""
     words = words_at_broker_time(messages)
@@ -87,6 +99,16 @@ def windows_from(size: str, slide: str) -> Callable[[DataFrame], DataFrame]:
     return lambda stored: slide_panes(stored, ["word"], size, slide)
 
 
+def blocks(words: DataFrame, size: str, slide: str) -> DataFrame:
+    """Counts of several panes in a row, to keep as state in place of `panes`, complete mode."""
+    return block_count(words, "event_time", ["word"], size, slide)
+
+
+def windows_from_blocks(size: str, slide: str) -> Callable[[DataFrame], DataFrame]:
+    """The step from stored blocks to sliding windows, which shuffles nothing."""
+    return lambda stored: block_windows(stored, ["word"], size, slide)
+
+
 def saved_words(timed: DataFrame) -> DataFrame:
     """60-second windows every 30 seconds over raw words of `(review, event_time)`."""
     words = drop_stop_words(tokenize(timed, "review", "ws_raw", keep=["event_time"]), STOP7)

@@ -216,3 +216,34 @@ def test_console_limits_rows(spark, mixed, tmp_path, mode, capfd):
     S.to_console(result, str(tmp_path / "c"), rows=1, mode=mode, bounded=True).awaitTermination()
     shown = [line for line in capfd.readouterr().out.splitlines() if line.startswith("|")]
     assert len(shown) == 2
+
+
+def test_windows_end_in_blocks(spark, tmp_path):
+    """Blocks close and give the windows of all messages, with fewer rows of state than windows."""
+    folder = str(tmp_path / "inbox")
+    one_word_messages(folder, 12, apart=90)
+    stream = message_files(spark, folder, max_files_per_trigger=3)
+    out, blocks = str(tmp_path / "windows"), R.WORD_WINDOWS
+    query = S.to_windows(
+        R.word_blocks_by_event_time(stream), out, str(tmp_path / "c"), ["word"], R.DELAY,
+        bounded=True, merge_every=2, blocks=blocks,
+    )
+    query.awaitTermination()
+    ledger = S.window_ledger(spark, out, ["word"], R.DELAY, 2, blocks)
+    whole = R.words_by_event_time(static(spark, folder))
+    assert rows_of(ledger.read(S.WINDOWS)) == rows_of(whole)
+    state = [p["stateOperators"][0] for p in query.recentProgress]
+    assert sum(s["numRowsRemoved"] for s in state) > 0
+    assert sum(s["numRowsUpdated"] for s in state) * 2 < whole.count()
+    with pytest.raises(ValueError):
+        Kept(("window", "word"), delay=R.DELAY, aside=True, blocks=blocks)
+
+
+def test_blocks_equal_windows(spark, mixed, tmp_path):
+    words = R.words_at_event_time(message_files(spark, mixed, max_files_per_trigger=1))
+    got = str(tmp_path / "out")
+    S.to_snapshots(
+        R.blocks(words, *R.WORD_WINDOWS), got, str(tmp_path / "offsets"), bounded=True,
+        finish=R.windows_from_blocks(*R.WORD_WINDOWS),
+    ).awaitTermination()
+    assert rows_of(S.read_snapshot(spark, got)) == rows_of(R.words_by_event_time(static(spark, mixed)))
