@@ -17,6 +17,9 @@ from termtide.functions.text import base_name, strip
 _FIELD = r'(?:"(?:[^"]|"")*+"|[^",\r\n][^,\r\n]*+|)'
 STRICT_RECORD = rf"(?s)\A{_FIELD}(?:,{_FIELD})*+\z"
 
+# Lines of a file that are put together by one task at a time.
+LINES_TOGETHER = 1_024
+
 BENCH_SCHEMA = T.StructType(
     [
         T.StructField("size", T.LongType()),
@@ -54,7 +57,8 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
     """`read_csv` for files of any size: they are split, and records put together again.
 
     A line starts a record if an even number of quotes stands before it in its file. The
-    quotes are summed per split, and the sums, one row per split, are added up along
+    splits of Spark's reader are cut into runs of `LINES_TOGETHER` lines, called splits below.
+    Quotes are summed per split, and the sums, one row per split, are added up along
     each file. Text is shuffled once, split by split; only the lines of a record that
     crosses into the next split travel further.
 
@@ -70,16 +74,20 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
+            F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq"),
             "value",
             quotes.alias("quotes"),
         )
     )
+    run = F.call_function("div", F.col("seq"), F.lit(LINES_TOGETHER))
+    lines = lines.withColumn("split", F.struct("block", run.alias("run"))).drop("block")
     earlier = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
     opened = lines.groupBy(*split_key).agg(F.sum("quotes").alias("quotes"))
     opened = opened.select(
-        *split_key, F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("opened")
+        *split_key,
+        F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("opened"),
+        (F.count("*").over(earlier) == 0).alias("first"),
     )
 
     in_split = W.partitionBy(*split_key).orderBy("seq")
@@ -93,9 +101,9 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
         .join(opened, split_key)
         .withColumn("starts", starts)
         .withColumn("record", F.sum("starts").over(in_split.rowsBetween(W.unboundedPreceding, 0)))
-        .groupBy(*split_key, "record")
+        .groupBy(*split_key, "record", "first")
         .agg(F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("parts"))
-        .select(*split_key, "record", F.concat_ws("\n", "parts.value").alias("text"))
+        .select(*split_key, "record", "first", F.concat_ws("\n", "parts.value").alias("text"))
     )
 
     last = pieces.groupBy(*split_key).agg(
@@ -111,7 +119,7 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
         .select(*split_key, "last", F.concat_ws("\n", "parts.text").alias("tail"))
     )
     crosses = F.col("record") == F.col("last")
-    is_header = (F.col("split") == 0) & (F.col("record") == 1)
+    is_header = F.col("first") & (F.col("record") == 1)
 
     def refuse(what: str) -> Column:
         said = F.concat(F.lit(f"{what}, use read_csv: "), "file")
@@ -124,6 +132,7 @@ def read_csv_split(spark: SparkSession, path: str) -> DataFrame:
         .select(
             *split_key,
             "record",
+            "first",
             F.when(crosses, joined).otherwise(F.col("text")).alias("text"),
         )
         .withColumn("text", F.rtrim(F.col("text"), F.lit("\r")))

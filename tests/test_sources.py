@@ -117,6 +117,20 @@ def test_split_csv_in_many_small_splits(spark, small, tmp_path):
     assert got == Counter(map(tuple, rows.collect()))
 
 
+def test_split_csv_in_runs_of_lines(spark, tmp_path, monkeypatch):
+    """One split of Spark's is put together in many runs, also where records cross several."""
+    rows = [(f"{n}" + "\n" * (n % 40) + '"x"', f"s{n}") for n in range(300)]
+    for name in ("a", "b"):
+        with open(f"{tmp_path}/{name}.csv", "w", newline="", encoding="utf-8") as out:
+            writer = csv.writer(out, lineterminator="\n")
+            writer.writerow(["review", "sentiment"])
+            writer.writerows(rows)
+    monkeypatch.setattr("termtide.sources.tables.LINES_TOGETHER", 8)
+    got = read_csv_split(spark, str(tmp_path))
+    assert Counter(map(tuple, got.collect())) == Counter(rows * 2)
+    assert "run" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_tsv(spark, tmp_path):
     path = save(f"{tmp_path}/r.tsv", 'id\tbody\n1\ta "b" c\n2\t"q\n')
     table = read_tsv(spark, path, quote="")
