@@ -62,8 +62,10 @@ from termtide.sinks.streams import (
     WINDOWS,
     await_idle,
     read_changes,
+    read_ended_windows,
     read_snapshot,
     to_changes,
+    to_ended_windows,
     to_parquet,
     to_snapshots,
     to_tables,
@@ -162,9 +164,10 @@ def as_messages(rows: DataFrame) -> DataFrame:
     return messages.withColumn("value", F.col("value").cast("binary"))
 
 
-def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf: str, name: str, dealt: bool = True) -> DataFrame:
+    """A table as a stream, its rows dealt over all cores unless the query deals them by itself."""
     rows = table_files(spark, f"{sf}/{name}*.parquet", table(spark, sf, name).schema)
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    return rows.repartition(spark.sparkContext.defaultParallelism) if dealt else rows
 
 
 def review_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -211,6 +214,16 @@ def appended(spark: SparkSession, result: DataFrame) -> DataFrame:
     return read_windowed(spark, out)
 
 
+def ended(spark: SparkSession, timed: DataFrame) -> DataFrame:
+    """Save the word windows of a stream as they end over what is there, and read them."""
+    out, offsets = scratch_dir(spark, "ended"), scratch_dir(spark, "offsets")
+    tokens, windows, delay = review_stream.saved_tokens, review_stream.SAVED_WINDOWS, review_stream.DELAY
+    to_ended_windows(
+        timed, tokens, out, offsets, "event_time", ["word"], windows, delay, bounded=True
+    ).awaitTermination()
+    return read_ended_windows(spark, out)
+
+
 def changed(spark: SparkSession, result: DataFrame, key: str) -> DataFrame:
     """Run an update-mode count over what is there and read the current counts."""
     use_disk_state(spark)
@@ -406,8 +419,8 @@ def stream_words_broker_time(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_words_saved(spark: SparkSession, sf: str) -> DataFrame:
-    timed = as_reviews(table_stream(spark, sf, "documents"))
-    return flat(appended(spark, review_stream.saved_words(timed)))
+    timed = as_reviews(table_stream(spark, sf, "documents", dealt=False))
+    return flat(ended(spark, timed))
 
 
 def stream_labels_saved(spark: SparkSession, sf: str) -> DataFrame:

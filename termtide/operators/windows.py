@@ -101,11 +101,21 @@ def block_count(
     shuffle, and the panes shared with the next block are the only ones counted twice. Sliding
     windows would bring a row for each of a key's windows to the shuffle or the state instead.
     """
-    length, step = seconds(size), seconds(slide)
-    stride = (BLOCK_PANES - length // step + 1) * step
     if watermark:
         df = df.withWatermark(time, watermark)
-    placed = df.withColumn("window", F.window(time, f"{BLOCK_PANES * step} seconds", f"{stride} seconds"))
+    return pane_count(place_in_blocks(df, time, size, slide), time, keys, slide)
+
+
+def place_in_blocks(df: DataFrame, time: str, size: str, slide: str) -> DataFrame:
+    """Each row once for each block that its time is in, `window`."""
+    length, step = seconds(size), seconds(slide)
+    stride = (BLOCK_PANES - length // step + 1) * step
+    return df.withColumn("window", F.window(time, f"{BLOCK_PANES * step} seconds", f"{stride} seconds"))
+
+
+def pane_count(placed: DataFrame, time: str, keys: Sequence[str], slide: str) -> DataFrame:
+    """The counts of `block_count` from rows that are in their blocks already."""
+    step = seconds(slide)
     inside = F.unix_micros(time) - F.unix_micros("window.start")
     pane = F.call_function("div", inside, F.lit(step * 1_000_000))
     placed = placed.select("window", *keys, pane.cast("int").alias("pane"))

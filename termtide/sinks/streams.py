@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from time import monotonic, sleep
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.utils import AnalysisException
 
+from termtide.operators.windows import block_windows, pane_count, place_in_blocks, seconds
+from termtide.session import SPREAD_TASKS_PER_CORE, spread_in_time
 from termtide.sinks.ledger import EVERY, Kept, Ledger
 
 COUNTS, WINDOWS, RATES = "counts", "windows", "rates"
 RATES_KEPT = Kept(("number", "read_at", "seconds"), "last")
 # Markers of snapshots lie in so many places.
 MARKERS = 16
+# What a task counts words of where it holds whole blocks of time, and the most that a block may
+# have to be counted by one task.
+BLOCK_TASK_BYTES = 8 << 20
+BLOCK_MOST_BYTES = 32 << 20
 
 
 def _timed(writer: DataStreamWriter, every: str | None, bounded: bool) -> DataStreamWriter:
@@ -78,19 +86,30 @@ def to_parquet(
     return _timed(writer, every, bounded).start()
 
 
-def _mark_done(spark: SparkSession, path: str, batch_id: int) -> None:
+def _mark_done(spark: SparkSession, path: str, batch_id: int, seen: int | None = None) -> None:
     """A marker beside the results, written once a batch is complete.
 
-    Markers take the places of older ones, so their number does not grow.
+    Markers take the places of older ones, so their number does not grow. `seen` is the newest
+    event time so far in microseconds, where the next batch needs it.
     """
-    spark.range(batch_id, batch_id + 1, 1, 1).write.mode("overwrite").parquet(
-        f"{path}.done/marker={batch_id % MARKERS}"
-    )
+    marker = spark.range(batch_id, batch_id + 1, 1, 1)
+    marker = marker.withColumn("seen", F.lit(seen).cast("bigint"))
+    marker.write.mode("overwrite").parquet(f"{path}.done/marker={batch_id % MARKERS}")
 
 
 def _done(spark: SparkSession, path: str) -> DataFrame:
-    reader = spark.read.schema("id bigint").option("ignoreMissingFiles", True)
-    return reader.parquet(f"{path}.done").select(F.col("id").alias("batch"))
+    reader = spark.read.schema("id bigint, seen bigint").option("ignoreMissingFiles", True)
+    return reader.parquet(f"{path}.done").select(F.col("id").alias("batch"), "seen")
+
+
+def _last_done(spark: SparkSession, path: str) -> Row | None:
+    """The marker of the newest complete batch."""
+    try:
+        return _done(spark, path).orderBy(F.desc("batch")).first()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
 
 
 def _drop_folder(spark: SparkSession, path: str) -> None:
@@ -200,6 +219,89 @@ def window_ledger(
     return Ledger(spark, path, {WINDOWS: kept}, merge_every)
 
 
+def to_ended_windows(
+    stream: DataFrame,
+    tokens: Callable[[DataFrame, Sequence[str]], DataFrame],
+    path: str,
+    checkpoint: str,
+    time: str,
+    keys: Sequence[str],
+    windows: tuple[str, str],
+    delay: str,
+    every: str | None = None,
+    bounded: bool = False,
+) -> StreamingQuery:
+    """Append windowed counts once they end `delay` before the newest time seen, as append mode does.
+
+    For counts over a large vocabulary: no state store holds them. `tokens` gives `(*keys, time)` of
+    rows and the columns it is told to keep; they are counted in sliding `windows`, size and slide.
+    Each batch is counted as a table and writes all of its windows once, `closed` telling those
+    that ended. The next batch reads the open ones from there and counts on, so only windows that
+    had started before it are merged. Rows for windows that were closed before their batch are late
+    and dropped. The markers say which batches are complete; a batch repeated after a failure
+    overwrites its own folder.
+    """
+    size, slide = windows
+
+    def ended(seen: int) -> Column:
+        watermark = F.timestamp_millis(F.lit(seen // 1_000 - seconds(delay) * 1_000))
+        return F.col("window.end") <= watermark
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        last = _last_done(spark, path)
+        if last and last.batch >= batch_id:
+            return
+        texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in batch.dtypes if kind == "string"]
+        sizes = place_in_blocks(batch, time, size, slide).groupBy("window")
+        sizes = sizes.agg(F.max(time).alias("newest"), F.sum(sum(texts, F.lit(1))).alias("bytes")).persist()
+        newest, volume = sizes.agg(F.unix_micros(F.max("newest")), F.sum("bytes")).first()
+        block = F.unix_micros("window.start")
+        full = sizes.where(F.col("bytes") > BLOCK_MOST_BYTES).agg(F.collect_list(block)).first()[0]
+        sizes.unpersist()
+        tasks = spark.sparkContext.defaultParallelism * SPREAD_TASKS_PER_CORE
+        tasks = max(tasks, (volume or 0) // BLOCK_TASK_BYTES)
+
+        def counted(rows: DataFrame) -> DataFrame:
+            """Blocks that fit a task are counted where their rows meet, without a shuffle of counts."""
+            placed, large = place_in_blocks(rows, time, size, slide), block.isin(full)
+            parts = [placed.where(~large).repartition(tasks, "window")]
+            if full:
+                parts.append(spread_in_time(placed.where(large), time, volume))
+            counts = [pane_count(tokens(part, ["window"]), time, keys, slide) for part in parts]
+            return block_windows(reduce(DataFrame.unionByName, counts), keys, size, slide)
+
+        if not last or last.seen is None:
+            seen, counts = newest, counted(batch)
+        else:
+            seen = last.seen if newest is None else max(newest, last.seen)
+            # No window that is open from earlier batches starts later than this.
+            border = F.timestamp_micros(F.lit(last.seen))
+            started = F.col("window.start") <= border
+            reach = F.timestamp_micros(F.lit(last.seen + seconds(size) * 1_000_000))
+            fresh = counted(batch.where(F.col(time) > border)).where(~started)
+            again = counted(batch.where(F.col(time) < reach)).where(started & ~ended(last.seen))
+            before = spark.read.parquet(f"{path}/batch={last.batch}").where(~F.col("closed"))
+            again = again.unionByName(before.drop("closed"))
+            again = again.groupBy("window", *keys).agg(F.sum("count").alias("count"))
+            counts = fresh.unionByName(again)
+        closed = F.lit(False) if seen is None else ended(seen)
+        counts.withColumn("closed", closed).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _mark_done(spark, path, batch_id, seen)
+
+    writer = stream.writeStream.outputMode("append").foreachBatch(save)
+    return _timed(writer.option("checkpointLocation", checkpoint), every, bounded).start()
+
+
+def read_ended_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The windows that ended by the newest complete batch, each one once."""
+    last = _last_done(spark, path)
+    if not last:
+        raise ValueError(f"no batch is complete under {path}")
+    saved = spark.read.parquet(path).where((F.col("batch") <= last.batch) & F.col("closed"))
+    return saved.drop("batch", "closed")
+
+
 def to_tables(
     stream: DataFrame,
     ledger: Ledger,

@@ -6,7 +6,7 @@ result; where it goes, how often and in which mode is the sink's business.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -26,6 +26,7 @@ from termtide.sinks.ledger import Kept
 
 DELAY = "1 minute"
 WORD_WINDOWS = ("60 seconds", "20 seconds")
+SAVED_WINDOWS = ("60 seconds", "30 seconds")
 EVERY_FAST, EVERY_LABELS, EVERY_SAVED = "5 seconds", "10 seconds", "60 seconds"
 
 
@@ -111,8 +112,13 @@ def windows_from_blocks(size: str, slide: str) -> Callable[[DataFrame], DataFram
 
 def saved_words(timed: DataFrame) -> DataFrame:
     """60-second windows every 30 seconds over raw words of `(review, event_time)`."""
-    words = drop_stop_words(tokenize(timed, "review", "ws_raw", keep=["event_time"]), STOP7)
-    return windowed_count(words, "event_time", ["word"], "60 seconds", "30 seconds", DELAY)
+    return windowed_count(saved_tokens(timed), "event_time", ["word"], *SAVED_WINDOWS, DELAY)
+
+
+def saved_tokens(timed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The `(word, event_time)` that `saved_words` counts, with further columns."""
+    words = tokenize(timed, "review", "ws_raw", keep=["event_time", *keep])
+    return drop_stop_words(words, STOP7)
 
 
 def saved_labels(timed: DataFrame, label: str = "sentiment") -> DataFrame:

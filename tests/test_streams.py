@@ -2,10 +2,11 @@
 
 import json
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.utils import AnalysisException, StreamingQueryException
 
 from termtide.operators.ranking import by_count
 from termtide.operators.windows import flat_window, windowed_count
@@ -13,9 +14,11 @@ from termtide.plans import live
 from termtide.sinks.streams import (
     await_idle,
     read_changes,
+    read_ended_windows,
     read_snapshot,
     to_changes,
     to_console,
+    to_ended_windows,
     to_parquet,
     to_snapshots,
 )
@@ -255,6 +258,99 @@ def test_refused_modes(spark, inbox, tmp_path):
         to_snapshots(windowed.withWatermark("t", "1 minute"), "o", "c", bounded=True)
 
 
+# Seconds and words by batch. The watermark lags by 60 s: the second batch counts on in open windows
+# and brings a word too late for all of its windows and one too late for the first of its two; the
+# third has no times at all, the fourth is late as a whole, and the last leaves its windows open.
+SECONDS = [
+    [(5, "k"), (35, "k b"), (95, "c")],
+    [(-20, "late"), (20, "half"), (80, "d"), (96, "c"), (200, "e e"), (130, "f")],
+    [(None, "notime")],
+    [(60, "late")],
+    [(90_000.5, "g"), (89_930, "h")],
+]
+
+
+def ended_by_hand():
+    found, seen = Counter(), None
+    for batch in SECONDS:
+        before = seen
+        for when, text in batch:
+            if when is None:
+                continue
+            for start in (when // 30 * 30, when // 30 * 30 - 30):
+                if before is None or start + 60 > before - 60:
+                    found.update((int(start), word) for word in text.split(" "))
+            seen = when if seen is None else max(seen, when)
+    return {key: n for key, n in found.items() if key[0] + 60 <= seen - 60}
+
+
+def save_ended(spark, tmp_path, batches):
+    """The batches as files of `(review, event_time)`, one run of the stream over them."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    stream = table_files(spark, f"{folder}/*", "review string, event_time timestamp", 1)
+    for number in batches:
+        rows = [(None if when is None else float(when), text) for when, text in SECONDS[number]]
+        rows = spark.createDataFrame(rows, "seconds double, review string")
+        time = F.timestamp_seconds(F.col("seconds") + 1_704_067_200).alias("event_time")
+        path = f"{folder}/part={number}"
+        rows.select("review", time).coalesce(1).write.parquet(path)
+        for name in os.listdir(path):
+            os.utime(f"{path}/{name}", (1_700_000_000 + number,) * 2)
+    stream = stream.select("review", "event_time")
+    return out, to_ended_windows(
+        stream, R.saved_tokens, out, str(tmp_path / "c"), "event_time", ["word"], R.SAVED_WINDOWS, R.DELAY,
+        bounded=True,
+    )
+
+
+def ended_rows(spark, out):
+    start = (F.col("window.start").cast("long") - 1_704_067_200).alias("start")
+    length = F.col("window.end").cast("long") - F.col("window.start").cast("long")
+    rows = read_ended_windows(spark, out).select(start, length.alias("length"), "word", "count").collect()
+    assert all(r.length == 60 for r in rows)
+    assert len({(r.start, r.word) for r in rows}) == len(rows)
+    return {(r.start, r.word): r["count"] for r in rows}
+
+
+@pytest.mark.parametrize("most", (32 << 20, 60, 0))
+def test_ended_windows_over_batches(spark, tmp_path, monkeypatch, most):
+    """Whether no block, some or all of them are above what a task counts."""
+    from termtide.sinks import streams
+
+    monkeypatch.setattr(streams, "BLOCK_MOST_BYTES", most)
+    out, query = save_ended(spark, tmp_path, range(len(SECONDS)))
+    query.awaitTermination()
+    assert len(query.recentProgress) >= len(SECONDS)
+    assert all(not p["stateOperators"] for p in query.recentProgress)
+    want = ended_by_hand()
+    assert want[(60, "c")] == 2 and (0, "half") in want and (-30, "half") not in want
+    assert not {"g", "late", "notime"} & {word for _, word in want}
+    assert ended_rows(spark, out) == want
+
+
+def test_ended_windows_after_a_failure(spark, tmp_path, monkeypatch):
+    """A batch that wrote its windows and was lost before its marker counts once, after a restart."""
+    from termtide.sinks import streams
+
+    mark = streams._mark_done
+
+    def failing(spark, path, batch_id, seen):
+        if batch_id == 1:
+            raise RuntimeError("lost")
+        mark(spark, path, batch_id, seen)
+
+    monkeypatch.setattr(streams, "_mark_done", failing)
+    out, query = save_ended(spark, tmp_path, range(2))
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+    first = ended_rows(spark, out)
+    assert set(first.items()) <= set(ended_by_hand().items())
+    monkeypatch.setattr(streams, "_mark_done", mark)
+    out, query = save_ended(spark, tmp_path, range(2, len(SECONDS)))
+    query.awaitTermination()
+    assert ended_rows(spark, out) == ended_by_hand()
+
+
 def test_only_complete_batches_are_read(spark, tmp_path):
     from termtide.sinks.streams import _mark_done
 
