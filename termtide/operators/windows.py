@@ -131,7 +131,7 @@ def block_windows(blocks: DataFrame, keys: Sequence[str], size: str, slide: str)
     slid = blocks.select(
         F.unix_micros("window.start").alias("block"), *keys, F.posexplode(F.array(*sums)).alias("place", "count")
     ).where("count > 0")
-    start = F.col("block") + F.col("place") * F.lit(step * 1_000_000)
+    start = F.col("block") + F.col("place").cast("bigint") * F.lit(step * 1_000_000)
     window = F.struct(
         F.timestamp_micros(start).alias("start"),
         F.timestamp_micros(start + F.lit(length * 1_000_000)).alias("end"),
