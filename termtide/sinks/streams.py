@@ -254,7 +254,7 @@ def to_ended_windows(
             return
         texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in batch.dtypes if kind == "string"]
         sizes = place_in_blocks(batch, time, size, slide).groupBy("window")
-        sizes = sizes.agg(F.max(time).alias("newest"), F.sum(sum(texts, F.lit(1))).alias("bytes")).persist()
+        sizes = sizes.agg(F.max(time).alias("newest"), F.sum(sum(texts, F.lit(1).cast("bigint"))).alias("bytes")).persist()
         newest, volume = sizes.agg(F.unix_micros(F.max("newest")), F.sum("bytes")).first()
         block = F.unix_micros("window.start")
         full = sizes.where(F.col("bytes") > BLOCK_MOST_BYTES).agg(F.collect_list(block)).first()[0]
