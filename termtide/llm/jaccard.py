@@ -459,12 +459,15 @@ def _list_links(percent: int, across: bool):
                 answers = np.array([m["answers"] for m in members], bool)
                 forest = _Forest(len(nodes))
                 for i in range(len(nodes) - 1):
+                    apart = forest.labels != forest.labels[i]
+                    apart[: i + 1] = False
+                    if not apart.any():
+                        continue
                     if across:
                         ok = (asks != asks[i]) & (answers | answers[i])
                     else:
                         ok = (asks & answers[i]) | (answers & asks[i])
-                    ok &= _may_link(sizes, sketches, i, percent)
-                    ok[: i + 1] = False
+                    ok &= apart & _may_link(sizes, sketches, i, percent)
                     for j in np.nonzero(ok)[0].tolist():
                         if forest.labels[i] != forest.labels[j]:
                             forest.join(i, j)
@@ -492,7 +495,7 @@ def _file_links(rows: DataFrame, leaders: DataFrame, total: int, percent: int, a
 
 
 def candidate_links(sets: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links `(a, b)` between nodes that connect every pair of similar sets."""
+    """Links `(a, b)` between nodes that connect every pair of similar sets; some come repeatedly."""
     filings = _filings(sets)
     shared, total = _shared(filings, "jaccard-files")
     hits = join_spread(filings, shared.drop("leader"), "key", total, "found")
@@ -525,7 +528,7 @@ def candidate_links(sets: DataFrame, words: int, percent: int) -> DataFrame:
             _is_index("filing").alias("answers"),
         )
         links = links.unionAll(_file_links(rows, own, own_total, percent, True))
-    return links.distinct()
+    return links
 
 
 # ---------------------------------------------------------------- exact comparison
@@ -678,7 +681,10 @@ def verified_links(sets: DataFrame, placed: DataFrame, words: int, percent: int)
         return links
     large = sized.filter("parts > 1").drop("rows")
     first = cut(_links_to_leaders(large, sizes, sets, words, percent), "jaccard-first")
-    return links.unionAll(first).unionAll(_links_between(large, first, words, percent))
+    # Stars join what these links join, and leave later rounds of components less to do.
+    labelled = connected_components(first)
+    stars = labelled.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return links.unionAll(stars).unionAll(_links_between(large, labelled, words, percent))
 
 
 def _links_to_leaders(
@@ -719,14 +725,13 @@ def _links_to_leaders(
     return both.groupBy("component", "part").applyInArrow(_compare(words, percent), _LINK).filter("a <> b")
 
 
-def _links_between(large: DataFrame, first: DataFrame, words: int, percent: int) -> DataFrame:
+def _links_between(large: DataFrame, labelled: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between rows of a large component that the first links do not connect.
 
     Rows are put in parts anew: those of a large label in parts of their own, which are not
     compared with one another, the rest in mixed parts. Pairs of parts compare sketches first,
     and only rows that meet another there are sent with their texts.
     """
-    labelled = connected_components(first)
     slim = large.select("component", "node", "size", "sketch")
     slim = slim.join(labelled.select("node", F.col("component").alias("label")), "node", "left")
     slim = cut(slim.withColumn("label", F.coalesce("label", "node")), "jaccard-labels")
