@@ -203,6 +203,28 @@ def test_remove_repeats(docs, block_bytes):
     same(found, brute_repeats(rows_of(table), repeats.SIZE))
 
 
+def test_runs_are_found_without_a_search_for_each_window(monkeypatch):
+    rnd, searched, search = random.Random(8), [], np.searchsorted
+    alphabet = "".join(chr(c) for c in range(97, 123))
+    texts = ["".join(rnd.choices(alphabet, k=rnd.choice([0, 1, 49, 50, 51, 400]))) for _ in range(400)]
+    texts += ["", "", "z" * 300]
+    ends = np.cumsum([len(t) for t in texts])
+    joined = "".join(texts).encode()
+    monkeypatch.setattr(repeats, "PIECE", 1_000)
+
+    def counted(ordered, values, *rest, **named):
+        searched.append(np.size(values))
+        return search(ordered, values, *rest, **named)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    runs = repeats.find_runs(joined, ends)
+    starts = ends - [len(t) for t in texts]
+    spans = zip(runs.starts.tolist(), runs.counts.tolist(), runs.texts.tolist())
+    got = sorted((text, at - starts[text]) for first, n, text in spans for at in range(first, first + n))
+    assert got == [(i, at) for i, t in enumerate(texts) for at in range(len(t) - repeats.SIZE + 1)]
+    assert sum(searched) < len(got) / 100
+
+
 def test_remove_repeats_of_nothing(nothing):
     assert repeats.remove_repeats(nothing).count() == 0
 
