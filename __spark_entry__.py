@@ -584,13 +584,13 @@ def stream_windows_ending(spark: SparkSession, sf: str) -> DataFrame:
     delay, blocks = review_stream.DELAY, review_stream.WORD_WINDOWS
 
     def start(stream: DataFrame) -> StreamingQuery:
-        result = review_stream.word_blocks_by_event_time(stream)
+        timed, tokens = review_stream.messages_at_event_time(stream), review_stream.event_tokens
         return to_windows(
-            result, out, offsets, ["word"], delay, bounded=True, merge_every=2, blocks=blocks
+            timed, out, offsets, ["word"], delay, bounded=True, merge_every=2, blocks=blocks, tokens=tokens
         )
 
     message_batches(spark, sf, part, 4, "ending", start)
-    return flat(window_ledger(spark, out, ["word"], delay, 2, blocks).read(WINDOWS))
+    return flat(window_ledger(spark, out, ["word"], delay, 2, blocks, True).read(WINDOWS))
 
 
 def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -106,11 +106,16 @@ def block_count(
     return pane_count(place_in_blocks(df, time, size, slide), time, keys, slide)
 
 
+def block_stride(size: str, slide: str) -> int:
+    """Seconds from a block to the next."""
+    step = seconds(slide)
+    return (BLOCK_PANES - seconds(size) // step + 1) * step
+
+
 def place_in_blocks(df: DataFrame, time: str, size: str, slide: str) -> DataFrame:
     """Each row once for each block that its time is in, `window`."""
-    length, step = seconds(size), seconds(slide)
-    stride = (BLOCK_PANES - length // step + 1) * step
-    return df.withColumn("window", F.window(time, f"{BLOCK_PANES * step} seconds", f"{stride} seconds"))
+    length, stride = BLOCK_PANES * seconds(slide), block_stride(size, slide)
+    return df.withColumn("window", F.window(time, f"{length} seconds", f"{stride} seconds"))
 
 
 def pane_count(placed: DataFrame, time: str, keys: Sequence[str], slide: str) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from termtide.operators.windows import BLOCK_PANES, block_windows, pane_counts,
 EVERY = 8
 # The base in use, the one before for its readers, and the one being written.
 BASES = 3
+# Where more blocks than this are in several parts, all rows are merged.
+MOST_SHARED = 1_000
 MARK = (
     "batch bigint, upto bigint, merges bigint, total bigint, seen bigint, seen_before bigint, "
     "tables array<string>, closed array<string>"
@@ -43,6 +46,9 @@ class Kept:
     `aside` is set, else they are added as well; for `how="last"` Spark has dropped them.
     With `blocks`, the size and slide of sliding windows, rows are those of `block_count`, of which
     `window` is a whole block; they become windows when the table is read.
+    With `final` batches bring a row of each key at most, and none for blocks that were closed by
+    the newest time before them. So closed rows are whole, and only blocks that several batches
+    share are merged.
     """
 
     keys: tuple[str, ...]
@@ -50,8 +56,11 @@ class Kept:
     delay: str | None = None
     aside: bool = False
     blocks: tuple[str, str] | None = None
+    final: bool = False
 
     def __post_init__(self) -> None:
+        if self.final and not (self.blocks and self.delay and self.how == "sum"):
+            raise ValueError("only sums of blocks that close can be final")
         if self.aside and self.blocks:
             raise ValueError("blocks end later than their windows, so late rows cannot be told")
 
@@ -114,23 +123,32 @@ class Ledger:
                 return []
             raise
 
+    def last_before(self, batch: int) -> Row | None:
+        """The mark that a batch goes on from, or None where the batch has a mark itself."""
+        marks = self.marks()
+        if any(mark.batch == batch for mark in marks):
+            return None
+        none = Row(batch=-1, upto=-1, merges=0, total=0, seen=None, seen_before=None, tables=[], closed=[])
+        return max((m for m in marks if m.batch < batch), key=lambda m: m.batch, default=none)
+
     def write(
         self,
         batch: int,
         results: Mapping[str, DataFrame],
         rows: int = 0,
         seen: int | None = None,
+        closing: Mapping[str, DataFrame] | None = None,
     ) -> None:
         """The results of a batch, by table.
 
         `seen` is the newest event time among its `rows` in microseconds; where it is not given,
         the newest start of a window takes its place. A batch that has a mark is left as it is.
+        `closing` are further rows of `final` tables, of blocks that are in no other batch and
+        closed by `seen`.
         """
-        marks = self.marks()
-        if any(mark.batch == batch for mark in marks):
+        mark = self.last_before(batch)
+        if not mark:
             return
-        none = Row(batch=-1, upto=-1, merges=0, total=0, seen=None, seen_before=None, tables=[], closed=[])
-        mark = max((m for m in marks if m.batch < batch), key=lambda m: m.batch, default=none)
         for name, result in results.items():
             kept = self.tables[name]
             if kept.aside:
@@ -148,10 +166,13 @@ class Ledger:
         late_tables = [f"{name}_late" for name in results if self.tables[name].aside]
         tables = sorted({*mark.tables, *results, *late_tables})
         upto, merges, closed = mark.upto, mark.merges, set(mark.closed)
+        for name, result in (closing or {}).items():
+            self._close(name, result.withColumn("batch", F.lit(batch).cast("bigint")), batch, "own")
+            closed.add(name)
         if batch - upto >= self.every:
             merges += 1
             for name in tables:
-                if self._merge(name, mark, batch, merges):
+                if self._merge(name, mark, batch, merges, newest):
                     closed.add(name)
             upto = batch
         row = (batch, upto, merges, mark.total + rows, newest, mark.seen, tables, sorted(closed))
@@ -168,30 +189,64 @@ class Ledger:
         found = [self.spark.read.parquet(self._changes(n, batch)).select(newest).first()[0] for n in names]
         return max((s for s in found if s is not None), default=None)
 
-    def _rows(self, name: str, mark: Row, batch: int) -> DataFrame:
-        """The base a mark names and the changes after it up to a batch, not merged."""
+    def _parts(self, name: str, mark: Row, batch: int) -> list[str]:
+        """The base a mark names and the changes after it up to a batch."""
         parts = [self._changes(name, b) for b in range(mark.upto + 1, batch + 1)]
         if mark.upto >= 0:
             parts.append(self._base(name, mark.merges))
-        return self.spark.read.parquet(*parts)
+        return parts
 
-    def _merge(self, name: str, mark: Row, batch: int, merges: int) -> bool:
+    def _rows(self, name: str, mark: Row, batch: int) -> DataFrame:
+        """The rows of these parts, merged only where the table is `final`."""
+        kept, parts = self.tables[name], self._parts(name, mark, batch)
+        rows = self.spark.read.parquet(*parts)
+        return self._merge_shared(kept, rows, parts) if kept.final else rows
+
+    def _merge_shared(self, kept: Kept, rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+        """One row for each key, given that no part has two.
+
+        Rows of blocks that are in one part alone stay as they are, so nothing of them is shuffled.
+        """
+        start = F.unix_micros("window.start")
+        places = [self.spark.read.schema(rows.schema).parquet(part).select(start.alias("start")).distinct() for part in parts]
+        places = reduce(DataFrame.unionAll, places).groupBy("start").agg(F.count("*").alias("parts"))
+        shared = [r.start for r in places.where("parts > 1").select("start").limit(MOST_SHARED + 1).collect()]
+        if not shared:
+            return rows
+        if len(shared) > MOST_SHARED:
+            return kept.merge(rows)
+        merged = kept.merge(rows.where(start.isin(shared)))
+        return rows.where(~start.isin(shared)).unionByName(merged)
+
+    def _close(self, name: str, rows: DataFrame, batch: int, origin: str) -> None:
+        """Rows that no later batch changes, in the table by day."""
+        kept, path = self.tables[name], f"{self.path}/{name}/closed/upto={batch}"
+        rows = rows.select(*kept.keys, *kept.counts, "batch", F.to_date("window.start").alias("day"))
+        if kept.final:
+            # They lie in runs of blocks already, and are many.
+            path = f"{path}/origin={origin}"
+        else:
+            rows = rows.hint("rebalance", "day")
+        rows.write.mode("overwrite").partitionBy("day").parquet(path)
+
+    def _merge(self, name: str, mark: Row, batch: int, merges: int, newest: int | None) -> bool:
         """A new base from the last one and the changes since, without what is closed by now.
 
         True if closed windows were looked for, so that their table exists.
         """
         kept = self.tables[name]
-        merged = kept.merge(self._rows(name, mark, batch))
-        if not kept.delay or mark.seen is None:
+        rows = self._rows(name, mark, batch)
+        merged = rows if kept.final else kept.merge(rows)
+        # No later batch is judged by an earlier watermark than this.
+        seen = newest if kept.final else mark.seen
+        if not kept.delay or seen is None:
             merged.write.mode("overwrite").parquet(self._base(name, merges))
             return False
-        # No later batch is judged by an earlier watermark than this.
-        ended = kept.ended(mark.seen)
-        merged = merged.persist()
+        ended = kept.ended(seen)
+        if not kept.final:
+            merged = merged.persist()
         merged.where(~ended).write.mode("overwrite").parquet(self._base(name, merges))
-        closed = merged.where(ended).withColumn("day", F.to_date("window.start"))
-        closed = closed.hint("rebalance", "day").write.mode("overwrite").partitionBy("day")
-        closed.parquet(f"{self.path}/{name}/closed/upto={batch}")
+        self._close(name, merged.where(ended), batch, "merged")
         merged.unpersist()
         return True
 
@@ -217,10 +272,13 @@ class Ledger:
         if name in mark.closed:
             schema = T.StructType([*open_rows.schema.fields])
             schema = schema.add("upto", T.LongType()).add("day", T.DateType())
+            if kept.final:
+                schema = schema.add("origin", T.StringType())
             closed = self.spark.read.schema(schema).parquet(f"{self.path}/{name}/closed")
-            closed = _within(closed.where(F.col("upto") <= mark.upto), F.col("day"), since, until)
-            rows = rows.unionByName(closed.drop("upto", "day"))
-        found = kept.result(kept.merge(rows))
+            upto = mark.batch if kept.final else mark.upto
+            closed = _within(closed.where(F.col("upto") <= upto), F.col("day"), since, until)
+            rows = rows.unionByName(closed.select(*rows.columns))
+        found = kept.result(rows if kept.final else kept.merge(rows))
         return _within(found, F.to_date("window.start"), *days) if kept.blocks else found
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.utils import AnalysisException
 
-from termtide.operators.windows import block_windows, pane_count, place_in_blocks, seconds
+from termtide.operators.windows import BLOCK_PANES, block_stride, block_windows, pane_count, place_in_blocks, seconds
 from termtide.session import SPREAD_TASKS_PER_CORE, spread_in_time
 from termtide.sinks.ledger import EVERY, Kept, Ledger
 
@@ -26,6 +26,13 @@ BLOCK_TASK_BYTES = 8 << 20
 BLOCK_MOST_BYTES = 32 << 20
 
 
+# Blocks near each other share a task in runs of so much text, where they are to be written by day.
+BLOCK_RUN_BYTES = BLOCK_TASK_BYTES // 4
+
+# `(*keys, time)` of rows, and the columns it is told to keep.
+Tokens = Callable[[DataFrame, Sequence[str]], DataFrame]
+
+
 def _timed(writer: DataStreamWriter, every: str | None, bounded: bool) -> DataStreamWriter:
     if bounded:
         return writer.trigger(availableNow=True)
@@ -188,24 +195,59 @@ def to_windows(
     merge_every: int = EVERY,
     then: Callable[[DataFrame], None] | None = None,
     blocks: tuple[str, str] | None = None,
+    tokens: Tokens | None = None,
+    time: str = "event_time",
 ) -> StreamingQuery:
     """Keep windowed counts of an update-mode query whose watermark lags by `delay`.
 
     Spark drops the state of a window when the watermark passes it; its rows then move to a table
     partitioned by day and are not written again. `then` gets the whole table after each batch.
     `blocks` is given where the result is a `block_count`: the size and slide of its windows.
+
+    For a large vocabulary `result` may be the rows to be counted instead, with `blocks` and the
+    `tokens` of rows: no state store holds their counts. Each batch is counted as a table, and the
+    ledger adds up the blocks that are open. Blocks that ended `delay` before the newest time seen
+    are closed, and later rows for them are dropped, as by the watermark. Blocks that start and
+    close within a batch go to the table by day at once.
     """
-    ledger = window_ledger(result.sparkSession, path, keys, delay, merge_every, blocks)
+    ledger = window_ledger(result.sparkSession, path, keys, delay, merge_every, blocks, tokens is not None)
+    kept = ledger.tables[WINDOWS]
 
     def save(rows: DataFrame, batch: int) -> None:
-        ledger.write(batch, {WINDOWS: rows})
+        if tokens:
+            before = ledger.last_before(batch)
+            if not before:
+                return
+            newest, counted = _count_in_blocks(rows, tokens, time, keys, blocks, in_runs=True)
+            on_time, whole = _wanted_blocks(kept, before.seen, newest)
+            closing = {} if whole is None else {WINDOWS: counted(rows, whole)}
+            ledger.write(batch, {WINDOWS: counted(rows, on_time)}, seen=newest, closing=closing)
+        else:
+            ledger.write(batch, {WINDOWS: rows})
         if then:
             then(ledger.read(WINDOWS))
 
-    writer = result.writeStream.outputMode("update").foreachBatch(save)
+    writer = result.writeStream.outputMode("append" if tokens else "update").foreachBatch(save)
     return _timed(writer.option("checkpointLocation", checkpoint), every, bounded).start()
 
 
+def _wanted_blocks(kept: Kept, before: int | None, newest: int | None) -> tuple[Column, Column | None]:
+    """Which blocks of a batch to add to open ones, and which of them no other batch can have.
+
+    The newest time before the batch, and in it, tell. The second is None where no block can be so.
+    """
+    if newest is None:
+        return F.lit(True), None
+    on_time = F.lit(True) if before is None else ~kept.ended(before)
+    watermark = newest - seconds(kept.delay) * 1_000_000
+    if before is not None and watermark - before <= BLOCK_PANES * seconds(kept.blocks[1]) * 1_000_000:
+        return on_time, None
+    whole = kept.ended(newest)
+    if before is not None:
+        whole &= F.unix_micros("window.start") > before
+    return on_time & ~whole, whole
+
+
 def window_ledger(
     spark: SparkSession,
     path: str,
@@ -213,15 +255,62 @@ def window_ledger(
     delay: str,
     merge_every: int = EVERY,
     blocks: tuple[str, str] | None = None,
+    counted: bool = False,
 ) -> Ledger:
-    """The ledger behind `to_windows`, for reading."""
-    kept = Kept(("window", *keys), "last", delay, blocks=blocks)
+    """The ledger behind `to_windows`, for reading; `counted` where that got `tokens`."""
+    how = "sum" if counted else "last"
+    kept = Kept(("window", *keys), how, delay, blocks=blocks, final=counted)
     return Ledger(spark, path, {WINDOWS: kept}, merge_every)
 
 
+def _count_in_blocks(
+    batch: DataFrame,
+    tokens: Tokens,
+    time: str,
+    keys: Sequence[str],
+    windows: tuple[str, str],
+    in_runs: bool = False,
+) -> tuple[int | None, Callable[..., DataFrame]]:
+    """The newest time of a batch in microseconds, and a function that counts rows of it in blocks.
+
+    Blocks that fit a task are counted where their texts meet, without a shuffle of counts; larger
+    ones are dealt over several tasks and their counts shuffled. `in_runs` gives a task runs of
+    blocks near each other, for results that are written by day. The function may be given a
+    condition on the blocks, `window`, to be counted.
+    """
+    size, slide = windows
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in batch.dtypes if kind == "string"]
+    sizes = place_in_blocks(batch, time, size, slide).groupBy("window")
+    sizes = sizes.agg(F.max(time).alias("newest"), F.sum(sum(texts, F.lit(1).cast("bigint"))).alias("bytes")).persist()
+    found = sizes.agg(F.unix_micros(F.max("newest")), F.sum("bytes"), F.count("*")).first()
+    newest, volume, number = found[0], found[1] or 0, max(found[2], 1)
+    block = F.unix_micros("window.start")
+    full = sizes.where(F.col("bytes") > BLOCK_MOST_BYTES).agg(F.collect_list(block)).first()[0]
+    sizes.unpersist()
+    tasks = batch.sparkSession.sparkContext.defaultParallelism * SPREAD_TASKS_PER_CORE
+    tasks = max(tasks, volume // BLOCK_TASK_BYTES)
+    together = max(1, number * BLOCK_RUN_BYTES // max(volume, 1)) if in_runs else 1
+    run = F.call_function("div", block, F.lit(together * block_stride(size, slide) * 1_000_000))
+
+    def counted(rows: DataFrame, wanted: Column | None = None) -> DataFrame:
+        placed = place_in_blocks(rows, time, size, slide)
+        if wanted is not None:
+            placed = placed.where(wanted)
+        large = block.isin(full)
+        small = placed.where(~large).withColumn("_run", run).repartition(tasks, "_run")
+        # Runs are dealt whole, so counts of a run do not leave their task.
+        small = pane_count(tokens(small, ["window", "_run"]), time, ["_run", *keys], slide).drop("_run")
+        if not full:
+            return small
+        dealt = spread_in_time(placed.where(large), time, volume)
+        return small.unionByName(pane_count(tokens(dealt, ["window"]), time, keys, slide))
+
+    return newest, counted
+
+
 def to_ended_windows(
     stream: DataFrame,
-    tokens: Callable[[DataFrame, Sequence[str]], DataFrame],
+    tokens: Tokens,
     path: str,
     checkpoint: str,
     time: str,
@@ -252,24 +341,10 @@ def to_ended_windows(
         last = _last_done(spark, path)
         if last and last.batch >= batch_id:
             return
-        texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in batch.dtypes if kind == "string"]
-        sizes = place_in_blocks(batch, time, size, slide).groupBy("window")
-        sizes = sizes.agg(F.max(time).alias("newest"), F.sum(sum(texts, F.lit(1).cast("bigint"))).alias("bytes")).persist()
-        newest, volume = sizes.agg(F.unix_micros(F.max("newest")), F.sum("bytes")).first()
-        block = F.unix_micros("window.start")
-        full = sizes.where(F.col("bytes") > BLOCK_MOST_BYTES).agg(F.collect_list(block)).first()[0]
-        sizes.unpersist()
-        tasks = spark.sparkContext.defaultParallelism * SPREAD_TASKS_PER_CORE
-        tasks = max(tasks, (volume or 0) // BLOCK_TASK_BYTES)
+        newest, blocks = _count_in_blocks(batch, tokens, time, keys, windows)
 
         def counted(rows: DataFrame) -> DataFrame:
-            """Blocks that fit a task are counted where their rows meet, without a shuffle of counts."""
-            placed, large = place_in_blocks(rows, time, size, slide), block.isin(full)
-            parts = [placed.where(~large).repartition(tasks, "window")]
-            if full:
-                parts.append(spread_in_time(placed.where(large), time, volume))
-            counts = [pane_count(tokens(part, ["window"]), time, keys, slide) for part in parts]
-            return block_windows(reduce(DataFrame.unionByName, counts), keys, size, slide)
+            return block_windows(blocks(rows), keys, size, slide)
 
         if not last or last.seen is None:
             seen, counts = newest, counted(batch)

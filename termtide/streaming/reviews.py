@@ -30,10 +30,20 @@ SAVED_WINDOWS = ("60 seconds", "30 seconds")
 EVERY_FAST, EVERY_LABELS, EVERY_SAVED = "5 seconds", "10 seconds", "60 seconds"
 
 
+def messages_at_event_time(messages: DataFrame) -> DataFrame:
+    """Parsed messages with `event_time` from `created_at`."""
+    return with_event_time(parse_messages(messages))
+
+
+def event_tokens(timed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """`(word, event_time)` of parsed messages, common words dropped, with further columns."""
+    words = tokenize(timed, "review", "nonword", keep=["event_time", *keep])
+    return drop_stop_words(words, STOP11)
+
+
 def words_at_event_time(messages: DataFrame) -> DataFrame:
     """`(word, event_time)` on `created_at`, common words dropped."""
-    timed = with_event_time(parse_messages(messages))
-    return drop_stop_words(tokenize(timed, "review", "nonword", keep=["event_time"]), STOP11)
+    return event_tokens(messages_at_event_time(messages))
 
 
 def timed_messages(messages: DataFrame) -> DataFrame:
@@ -43,15 +53,12 @@ def timed_messages(messages: DataFrame) -> DataFrame:
 
 def words_in_windows(timed: DataFrame) -> DataFrame:
     """`words_by_event_time` of messages that are parsed already, without a watermark."""
-    words = tokenize(timed, "review", "nonword", keep=["event_time"])
-    words = drop_stop_words(words, STOP11)
-    return windowed_count(words, "event_time", ["word"], "60 seconds", "20 seconds")
+    return windowed_count(event_tokens(timed), "event_time", ["word"], "60 seconds", "20 seconds")
 
 
 def words_in_blocks(timed: DataFrame) -> DataFrame:
     """`words_in_windows` as the blocks that a ledger keeps in place of the windows."""
-    words = drop_stop_words(tokenize(timed, "review", "nonword", keep=["event_time"]), STOP11)
-    return block_count(words, "event_time", ["word"], *WORD_WINDOWS)
+    return block_count(event_tokens(timed), "event_time", ["word"], *WORD_WINDOWS)
 
 
 def labels_in_windows(timed: DataFrame, label: str = "sentiment") -> DataFrame:
@@ -70,7 +77,12 @@ ANALYSIS_KEPT = {
 
 def words_at_broker_time(messages: DataFrame) -> DataFrame:
     """`(word, event_time)` on the broker's time, case kept."""
-    return tokenize(with_broker_time(messages), "review", "nonword_cased", keep=["event_time"])
+    return broker_tokens(with_broker_time(messages))
+
+
+def broker_tokens(timed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """`(word, event_time)` of parsed messages, case kept, with further columns."""
+    return tokenize(timed, "review", "nonword_cased", keep=["event_time", *keep])
 
 
 def words_by_event_time(messages: DataFrame) -> DataFrame:

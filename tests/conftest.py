@@ -27,6 +27,14 @@ def spark():
     made.stop()
 
 
+@pytest.fixture(autouse=True)
+def forget_ended_streams(request):
+    """A stream that fails on purpose in one test must not surface in another that waits for any."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").streams.resetTerminated()
+
+
 @pytest.fixture(scope="session")
 def small():
     return SMALL
