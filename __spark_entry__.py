@@ -40,6 +40,7 @@ from termtide.operators.messages import (
     required,
     unfit,
     with_arrival_time,
+    with_broker_time,
     with_event_time,
 )
 from termtide.operators.ranking import by_count, first_records, first_rows, top_k
@@ -60,6 +61,7 @@ from termtide.sinks.ledger import Kept, Ledger
 from termtide.sinks.streams import (
     RATES,
     WINDOWS,
+    Tokens,
     await_idle,
     read_changes,
     read_ended_windows,
@@ -170,8 +172,8 @@ def table_stream(spark: SparkSession, sf: str, name: str, dealt: bool = True) ->
     return rows.repartition(spark.sparkContext.defaultParallelism) if dealt else rows
 
 
-def review_messages(spark: SparkSession, sf: str) -> DataFrame:
-    return as_messages(as_reviews(table_stream(spark, sf, "documents")))
+def review_messages(spark: SparkSession, sf: str, dealt: bool = True) -> DataFrame:
+    return as_messages(as_reviews(table_stream(spark, sf, "documents", dealt)))
 
 
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,6 +208,15 @@ def complete(
     return read_snapshot(spark, out)
 
 
+def complete_windows(
+    spark: SparkSession, timed: DataFrame, tokens: Tokens, windows: tuple[str, str]
+) -> DataFrame:
+    """Keep snapshots of the word windows of a stream over what is there, and read the last one."""
+    out, offsets = scratch_dir(spark, "snapshot"), scratch_dir(spark, "offsets")
+    to_snapshots(timed, out, offsets, bounded=True, tokens=tokens, blocks=windows).awaitTermination()
+    return review_stream.windows_from_blocks(*windows)(read_snapshot(spark, out))
+
+
 def appended(spark: SparkSession, result: DataFrame) -> DataFrame:
     """Run an append-mode query over what is there and read the saved windows."""
     use_disk_state(spark)
@@ -407,15 +418,13 @@ def win_words_sorted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_words_event_time(spark: SparkSession, sf: str) -> DataFrame:
-    words = review_stream.words_at_event_time(review_messages(spark, sf))
-    windows = review_stream.windows_from_blocks("60 seconds", "20 seconds")
-    return flat(complete(spark, review_stream.blocks(words, "60 seconds", "20 seconds"), windows))
+    timed = review_stream.messages_at_event_time(review_messages(spark, sf, dealt=False))
+    return flat(complete_windows(spark, timed, review_stream.event_tokens, ("60 seconds", "20 seconds")))
 
 
 def stream_words_broker_time(spark: SparkSession, sf: str) -> DataFrame:
-    words = review_stream.words_at_broker_time(review_messages(spark, sf))
-    windows = review_stream.windows_from_blocks("30 seconds", "10 seconds")
-    return flat(complete(spark, review_stream.blocks(words, "30 seconds", "10 seconds"), windows))
+    timed = with_broker_time(review_messages(spark, sf, dealt=False))
+    return flat(complete_windows(spark, timed, review_stream.broker_tokens, ("30 seconds", "10 seconds")))
 
 
 def stream_words_saved(spark: SparkSession, sf: str) -> DataFrame:

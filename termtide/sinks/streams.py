@@ -12,9 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.utils import AnalysisException
 
-from termtide.operators.windows import BLOCK_PANES, block_stride, block_windows, pane_count, place_in_blocks, seconds
+from termtide.operators.windows import (
+    BLOCK_PANES,
+    block_stride,
+    block_windows,
+    pane_count,
+    pane_counts,
+    place_in_blocks,
+    seconds,
+)
 from termtide.session import SPREAD_TASKS_PER_CORE, spread_in_time
-from termtide.sinks.ledger import EVERY, Kept, Ledger
+from termtide.sinks.ledger import EVERY, MOST_SHARED, Kept, Ledger
 
 COUNTS, WINDOWS, RATES = "counts", "windows", "rates"
 RATES_KEPT = Kept(("number", "read_at", "seconds"), "last")
@@ -132,27 +140,76 @@ def to_snapshots(
     bounded: bool = False,
     finish: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     keep: int = 3,
+    tokens: Tokens | None = None,
+    blocks: tuple[str, str] | None = None,
+    keys: Sequence[str] = ("word",),
+    time: str = "event_time",
 ) -> StreamingQuery:
     """Write the whole current result of a complete-mode query at each trigger.
 
     `finish` may derive the final table from the state, such as windows from panes.
     Executors write one folder per batch. A batch repeated after a failure overwrites its
     own folder, so nothing counts twice. The last `keep` snapshots stay for readers.
+
+    For windowed counts over a large vocabulary `result` may be the rows to be counted instead, with
+    their `tokens` and `blocks`, the size and slide of the windows: no state store holds the counts.
+    Each batch is counted as a table and added to the snapshot before it. Snapshots are then rows of
+    `block_count`, which readers slide, in place of several times as many windows.
     """
     if keep < 2:
         raise ValueError("keep at least 2, one to read while the next is written")
 
+    def current(batch: DataFrame, batch_id: int) -> DataFrame | None:
+        """The blocks of all batches, or None where the batch has been added already."""
+        last = _last_done(batch.sparkSession, path)
+        if last and last.batch >= batch_id:
+            return None
+        _, counted = _count_in_blocks(batch, tokens, time, keys, blocks)
+        if not last:
+            return counted(batch)
+        before = batch.sparkSession.read.parquet(f"{path}/batch={last.batch}")
+        return _added_blocks(before, batch, counted, time, keys, blocks)
+
     def save(batch: DataFrame, batch_id: int) -> None:
-        finish(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        made = current(batch, batch_id) if tokens else batch
+        if made is None:
+            return
+        finish(made).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         _mark_done(batch.sparkSession, path, batch_id)
         if batch_id >= keep:
             _drop_folder(batch.sparkSession, f"{path}/batch={batch_id - keep}")
 
-    writer = result.writeStream.outputMode("complete").foreachBatch(save)
+    writer = result.writeStream.outputMode("append" if tokens else "complete").foreachBatch(save)
     writer = writer.option("checkpointLocation", checkpoint)
     return _timed(writer, every, bounded).start()
 
 
+def _added_blocks(
+    before: DataFrame,
+    batch: DataFrame,
+    counted: Callable[..., DataFrame],
+    time: str,
+    keys: Sequence[str],
+    windows: tuple[str, str],
+) -> DataFrame:
+    """Earlier blocks and those of a batch. Only blocks that both have are shuffled, if they are few."""
+    start = F.unix_micros("window.start")
+    own = place_in_blocks(batch, time, *windows).select(start.alias("start")).distinct()
+    both = before.select(start.alias("start")).distinct().join(own, "start").limit(MOST_SHARED + 1)
+    both = [row.start for row in both.collect()]
+
+    def added(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("window", *keys).agg(*[F.sum(c).alias(c) for c in pane_counts()])
+
+    if len(both) > MOST_SHARED:
+        return added(before.unionByName(counted(batch)))
+    if not both:
+        return before.unionByName(counted(batch))
+    shared = start.isin(both)
+    apart = before.where(~shared).unionByName(counted(batch, ~shared))
+    return apart.unionByName(added(before.where(shared).unionByName(counted(batch, shared))))
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete snapshot; only its folder is read."""
     newest = _done(spark, path).agg(F.max("batch")).first()[0]
